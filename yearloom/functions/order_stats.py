@@ -22,7 +22,7 @@ ACCURACY = 10_000
 def _smallest(df: DataFrame, column: str, rank: int) -> float:
     """The value of 0-based ``rank`` in a frame already known to be small."""
     picked = df.agg(
-        F.sort_array(F.collect_list(column)).getItem(F.lit(rank)).alias("v")
+        F.get(F.sort_array(F.collect_list(column)), F.lit(rank)).alias("v")
     ).first()
     return picked["v"]
 

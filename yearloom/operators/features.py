@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from yearloom.operators.encode import Vocabulary, encode
 from yearloom.spec import (
-    CORE_COLUMNS, ENGINEERED, FEATURES, IMPORTS, LAGS, PANEL, RATIO, ROLLING, SUPPLY, PanelSpec,
+    ENGINEERED, IMPORTS, LAGS, PANEL, ROLLING, SUPPLY, PanelSpec,
 )
 
 
@@ -77,15 +77,3 @@ def calendar_panel(core: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     return lags.withColumn(
         ROLLING, (F.col("Import_Lag1") + F.col("Import_Lag2") + F.col("Import_Lag3")) / 3
     ).select(*core.columns, *ENGINEERED)
-
-
-def feature_vector_columns() -> list[str]:
-    return list(FEATURES)
-
-
-def training_columns() -> list[str]:
-    return [*CORE_COLUMNS, *ENGINEERED, "Area_enc", "Item_enc"]
-
-
-def targets() -> dict[str, str]:
-    return {"import": IMPORTS, "dep": RATIO}

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
     RandomForestRegressionModel, RandomForestRegressor,
@@ -15,7 +14,6 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.functions.columns import round_to
 from yearloom.session import shared_folder
 from yearloom.spec import (
     FEATURES, IMPORTS, PANEL, RATIO, RF_PARAMS, RIDGE_PARAMS, XGB_PARAMS, PanelSpec,
@@ -163,18 +161,17 @@ def model_table(spark: SparkSession, fitted: list[Fitted]) -> DataFrame:
 
 
 def gram(train: DataFrame, label: str = IMPORTS) -> DataFrame:
-    """Centred cross-products of features and label in one aggregation: all that
-    a ridge solution needs, whatever the number of rows."""
+    """Centred mean cross-products of features and label in one aggregation: with
+    the row count, all that a ridge solution needs however many rows there are."""
     columns = [*FEATURES, label]
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     sums = train.agg(
-        F.count("*").alias("n"),
         *[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
           for i, (a, b) in enumerate(pairs)],
     )
     rows = F.array(*[
         F.struct(F.lit(a).alias("left_col"), F.lit(b).alias("right_col"),
-                 (F.col(f"c{i}") * F.col("n")).alias("cross_product"))
+                 F.col(f"c{i}").alias("cross_product"))
         for i, (a, b) in enumerate(pairs)
     ])
     return sums.select(F.inline(rows))
@@ -190,11 +187,3 @@ def load_models(folder: str, algorithms: list[str] = ALGORITHMS) -> list[Fitted]
         Fitted(algo, target, MODEL_CLASSES[algo].load(f"{folder}/{algo}_{target}"), 0.0)
         for algo in algorithms for target in TARGETS
     ]
-
-
-def rounded_prediction(column: str):
-    return round_to(F.col(column), 2)
-
-
-def feature_arrays(assembled: DataFrame) -> DataFrame:
-    return assembled.withColumn("features", vector_to_array("features"))

@@ -3,7 +3,9 @@
 Unpivoting first would shuffle and sort one row per series and year with the keys
 repeated in each.  Here a series travels as one row with its years in an array;
 filling, averaging, the ratio and the lags are array expressions on it, and rows
-per year appear only at the end.  Same results as the long operators
+per year appear only at the end.  Rows are dropped after that, not by conditions
+on the arrays: the optimizer would push such a condition down and evaluate the
+whole chain once more inside it.  Same results as the long operators
 (`reshape`, `impute`, `panel`, `features`), which remain for long inputs and take
 the keys too often repeated for an array.
 """
@@ -129,7 +131,7 @@ def _histories(wide: DataFrame, spec: PanelSpec) -> DataFrame:
             z["t"].alias(spec.time), z["a"].alias(IMPORTS), z["b"].alias(SUPPLY),
             clip_upper(ratio_pct(z["a"], z["b"]), F.lit(RATIO_CAP)).alias(RATIO),
         )).alias("history"),
-    ).where(F.size("history") > 0)
+    )
 
 
 def _long_core(wide: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -162,7 +164,7 @@ def histories(
 
 
 def core_rows(hist: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
-    return hist.select(*spec.keys, F.inline("history"))
+    return hist.select(*spec.keys, F.inline_outer("history")).where(F.col(spec.time).isNotNull())
 
 
 def lagged_rows(hist: DataFrame, spec: PanelSpec = PANEL, warm: int = 3) -> DataFrame:
@@ -180,7 +182,7 @@ def lagged_rows(hist: DataFrame, spec: PanelSpec = PANEL, warm: int = 3) -> Data
             ((imports[0] + imports[1] + imports[2]) / 3).alias(ROLLING),
         )
 
-    lagged = hist.where(F.size("history") > warm).select(
+    lagged = hist.select(
         *spec.keys, F.slice(F.transform(h, row), warm + 1, F.size("history")).alias("_l")
     )
-    return lagged.select(*spec.keys, F.inline("_l"))
+    return lagged.select(*spec.keys, F.inline_outer("_l")).where(F.col(spec.time).isNotNull())

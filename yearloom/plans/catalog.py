@@ -25,6 +25,7 @@ REPEATED = PanelSpec(ordinal="src_row")
 FIRST_YEAR = derived.YEARS[-1] + 1
 HORIZON = [FIRST_YEAR, FIRST_YEAR + 1, FIRST_YEAR + 2]
 LAST_LAG_YEAR = 2000
+NAIVE_CAP = 0.0
 
 # Fixed formulas for the forecast queries that have a SQL counterpart.
 FORMULAS = forecast.LinearScorer(
@@ -52,13 +53,19 @@ def _core(spark: SparkSession, folder: str, **how) -> DataFrame:
     return training.core(derived.wide(spark, folder, **how), spec)
 
 
+def _kept_core(spark: SparkSession, folder: str) -> DataFrame:
+    """For operators that read the panel several times."""
+    return _core(spark, folder).persist()
+
+
 def _prepared(spark: SparkSession, folder: str) -> training.Prepared:
-    return training.prepare(_core(spark, folder))
+    return training.prepare(_kept_core(spark, folder))
 
 
 def _assigned(spark: SparkSession, folder: str) -> DataFrame:
     """Feature rows without codes, split."""
-    return split.assign_split(training.engineered_rows(derived.wide(spark, folder)))
+    rows = training.engineered_rows(derived.wide(spark, folder)).persist()
+    return split.assign_split(rows)
 
 
 def _at(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -208,11 +215,12 @@ def lag_drop_counts(spark, folder):
 # --- profile ------------------------------------------------------------------
 
 def dataset_info(spark, folder):
-    return profile.dataset_info(_core(spark, folder), _assigned(spark, folder))
+    prepared = training.prepare_wide(derived.wide(spark, folder))
+    return profile.dataset_info(prepared.core, split.assign_split(prepared.features))
 
 
 def measure_stats(spark, folder):
-    return profile.measure_stats(_core(spark, folder))
+    return profile.measure_stats(_kept_core(spark, folder))
 
 
 def _histogram(frame: DataFrame) -> DataFrame:
@@ -220,11 +228,11 @@ def _histogram(frame: DataFrame) -> DataFrame:
 
 
 def winsor_hist(spark, folder):
-    return _histogram(profile.winsor_histogram(_core(spark, folder)))
+    return _histogram(profile.winsor_histogram(_kept_core(spark, folder)))
 
 
 def ratio_hist(spark, folder):
-    return _histogram(profile.histogram(_core(spark, folder), RATIO))
+    return _histogram(profile.histogram(_kept_core(spark, folder), RATIO))
 
 
 def vocabulary(spark, folder):
@@ -256,9 +264,9 @@ def split_counts(spark, folder):
 
 
 def ridge_gram(spark, folder):
-    train = split.assign_split(_prepared(spark, folder).features).where("split = 'train'")
-    per_row = modeling.gram(train).withColumn("cross_product", F.col("cross_product") / train.count())
-    return _at(per_row, 3, "cross_product")
+    rows = _prepared(spark, folder).features.persist()
+    train = split.assign_split(rows).where("split = 'train'")
+    return _at(modeling.gram(train), 3, "cross_product")
 
 
 def _naive(spark, folder):
@@ -282,7 +290,7 @@ def metric_best_flags(spark, folder):
 
 
 def r2_cap_flag(spark, folder):
-    return evaluate.over_cap(_naive(spark, folder), cap=-1.0)
+    return evaluate.over_cap(_naive(spark, folder), cap=NAIVE_CAP)
 
 
 _FITS: dict[tuple[str, str], tuple] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from yearloom.plans.catalog import FORMULAS, HORIZON, LAST_LAG_YEAR
+from yearloom.plans.catalog import FORMULAS, HORIZON, LAST_LAG_YEAR, NAIVE_CAP
 from yearloom.sources.derived import YEARS
 from yearloom.spec import ELEMENTS, ENGINEERED, FEATURES
 
@@ -310,7 +310,7 @@ WHERE r = 1"""),
 SELECT model, r2_test = (SELECT max(r2_test) FROM metrics) AS best_r2_test,
   mae = (SELECT min(mae) FROM metrics) AS best_mae, rmse = (SELECT min(rmse) FROM metrics) AS best_rmse,
   mape = (SELECT min(mape) FROM metrics) AS best_mape FROM metrics"""),
-    "r2_cap_flag": _with(_SCORED, "SELECT model, target, r2_test FROM metrics WHERE r2_test > {cap}"),
+    "r2_cap_flag": _with(_SCORED, f"SELECT model, target, r2_test FROM metrics WHERE r2_test > {NAIVE_CAP}"),
     "point_forecast": _with(
         [*_CODED, _steps(HORIZON[-1], 1)], "SELECT Area, Item, Year, imp, dep FROM future", True),
     "recursive_forecast": _with(
@@ -320,4 +320,3 @@ SELECT Area, Item, Year, 'Historical' AS kind, {_r('Import_Quantity', 2)} AS imp
 FROM (SELECT *, row_number() OVER (PARTITION BY Area, Item ORDER BY Year DESC) AS r FROM core) WHERE r <= 10
 UNION ALL SELECT Area, Item, Year, 'fixed forecast', imp, dep FROM future""", True),
 }
-ORACLE["r2_cap_flag"] = ORACLE["r2_cap_flag"].replace("{cap}", "-1.0")
