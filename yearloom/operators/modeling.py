@@ -25,6 +25,7 @@ ALGORITHM_NAMES = {"rf": "RandomForest", "xgb": "XGBoost", "ridge": "Ridge Regre
 MODEL_CLASSES = {
     "rf": RandomForestRegressionModel, "xgb": GBTRegressionModel, "ridge": LinearRegressionModel,
 }
+PARAMS = {"rf": RF_PARAMS, "xgb": XGB_PARAMS, "ridge": RIDGE_PARAMS}
 MAX_BINS = 256
 
 
@@ -81,27 +82,30 @@ def ridge(train: DataFrame, label: str, params: dict = RIDGE_PARAMS) -> LinearRe
     )
 
 
-def fit(train: DataFrame, algo: str, target: str) -> Fitted:
+def fit(train: DataFrame, algo: str, target: str, params: dict | None = None) -> Fitted:
     """``train`` is assembled; keep it persisted when fitting several models."""
+    settings = params or PARAMS[algo]
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(train.sparkSession))
     label = TARGETS[target]
     started = time.time()
     if algo == "rf":
-        estimator = random_forest(label)
+        estimator = random_forest(label, settings)
     elif algo == "xgb":
-        estimator = boosted_trees(label)
+        estimator = boosted_trees(label, settings)
     elif algo == "ridge":
-        estimator = ridge(train, label)
+        estimator = ridge(train, label, settings)
     else:
         raise ValueError(f"unknown algorithm {algo!r}")
     model = estimator.fit(train)
     return Fitted(algo, target, model, time.time() - started)
 
 
-def fit_all(train: DataFrame, algorithms: list[str] = ALGORITHMS) -> list[Fitted]:
-    return [fit(train, algo, target) for algo in algorithms for target in TARGETS]
+def fit_all(
+    train: DataFrame, algorithms: list[str] = ALGORITHMS, params: dict[str, dict] = PARAMS
+) -> list[Fitted]:
+    return [fit(train, algo, target, params[algo]) for algo in algorithms for target in TARGETS]
 
 
 def predict(assembled: DataFrame, fitted: list[Fitted]) -> DataFrame:

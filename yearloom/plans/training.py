@@ -56,7 +56,8 @@ def prepare_wide(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) ->
 
 
 def fit_and_score(
-    features_df: DataFrame, algorithms: list[str] = modeling.ALGORITHMS, spec: PanelSpec = PANEL
+    features_df: DataFrame, algorithms: list[str] = modeling.ALGORITHMS, spec: PanelSpec = PANEL,
+    params: dict[str, dict] = modeling.PARAMS,
 ) -> tuple[list[modeling.Fitted], DataFrame]:
     """Split, fit every model on the training rows, score all rows in one pass.
 
@@ -64,7 +65,7 @@ def fit_and_score(
     """
     assigned = split.assign_split(features_df, spec=spec)
     rows = modeling.assemble(assigned).persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = modeling.fit_all(rows.where("split = 'train'"), algorithms)
+    fitted = modeling.fit_all(rows.where("split = 'train'"), algorithms, params)
     metrics = evaluate.evaluate(modeling.predictions_long(rows, fitted, spec))
     spark = features_df.sparkSession
     scored = metrics.join(modeling.model_table(spark, fitted), ["model", "target"]).select(
@@ -76,7 +77,10 @@ def fit_and_score(
     return fitted, taken
 
 
-def train(wide: DataFrame, folder: str, spec: PanelSpec = PANEL, elements=ELEMENTS) -> DataFrame:
+def train(
+    wide: DataFrame, folder: str, spec: PanelSpec = PANEL, elements=ELEMENTS,
+    params: dict[str, dict] = modeling.PARAMS,
+) -> DataFrame:
     """The whole run: store the core panel, vocabularies, models and metrics
     under ``folder``; returns the metrics."""
     spark: SparkSession = wide.sparkSession
@@ -87,11 +91,11 @@ def train(wide: DataFrame, folder: str, spec: PanelSpec = PANEL, elements=ELEMEN
         vocab.table.write.mode("overwrite").parquet(f"{folder}/{name}_codes")
     prepared.features.write.mode("overwrite").parquet(f"{folder}/features")
     features_df = spark.read.parquet(f"{folder}/features")
-    fitted, metrics = fit_and_score(features_df, spec=spec)
+    fitted, metrics = fit_and_score(features_df, spec=spec, params=params)
     modeling.save_models(fitted, f"{folder}/models")
     info = profile.dataset_info(stored, split.assign_split(features_df, spec=spec), spec)
     metrics_store.write_metrics(
         f"{folder}/metrics", info, metrics, modeling.importances(spark, fitted),
-        evaluate.best_model(metrics),
+        evaluate.best_model(metrics), params,
     )
     return metrics

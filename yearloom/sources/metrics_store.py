@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from yearloom.spec import FEATURES, RF_PARAMS, RIDGE_PARAMS, XGB_PARAMS
 
-HYPERPARAMETERS = {"random_forest": RF_PARAMS, "xgboost": XGB_PARAMS, "ridge": RIDGE_PARAMS}
+PARAMS = {"rf": RF_PARAMS, "xgb": XGB_PARAMS, "ridge": RIDGE_PARAMS}
+PARAM_NAMES = {"rf": "random_forest", "xgb": "xgboost", "ridge": "ridge"}
 
 SCHEMA = """
 dataset_info struct<
@@ -24,13 +25,15 @@ hyperparameters map<string, map<string, double>>
 TARGET_NAMES = {"import": "import_quantity", "dep": "dependency_pct"}
 
 
-def hyperparameter_rows(spark: SparkSession) -> DataFrame:
-    rows = [(a, n, float(v)) for a, params in HYPERPARAMETERS.items() for n, v in params.items()]
-    return spark.createDataFrame(rows, "algorithm string, parameter string, value double")
+def hyperparameter_rows(document: DataFrame) -> DataFrame:
+    return document.select(F.explode("hyperparameters").alias("algorithm", "p")).select(
+        "algorithm", F.explode("p").alias("parameter", "value")
+    )
 
 
 def metrics_document(
-    info: DataFrame, metrics: DataFrame, importances: DataFrame, best: DataFrame
+    info: DataFrame, metrics: DataFrame, importances: DataFrame, best: DataFrame,
+    params: dict[str, dict] = PARAMS,
 ) -> DataFrame:
     """One nested row from the flat tables; each holds one row per model at most."""
     weights = importances.groupBy("model").agg(
@@ -44,11 +47,11 @@ def metrics_document(
     )
     target = F.when(F.col("target") == "import", TARGET_NAMES["import"]).otherwise(TARGET_NAMES["dep"])
     winners = best.agg(F.map_from_entries(F.collect_list(F.struct(target, F.col("model")))).alias("w"))
-    settings = F.create_map(*[
-        part for algorithm, params in HYPERPARAMETERS.items()
+    recorded = F.create_map(*[
+        part for algo, settings in params.items()
         for part in (
-            F.lit(algorithm),
-            F.create_map(*[x for n, v in params.items() for x in (F.lit(n), F.lit(float(v)))]),
+            F.lit(PARAM_NAMES[algo]),
+            F.create_map(*[x for n, v in settings.items() for x in (F.lit(n), F.lit(float(v)))]),
         )
     ])
     facts = F.struct(
@@ -58,14 +61,15 @@ def metrics_document(
     )
     return info.select(
         facts.alias("dataset_info"), models.scalar().alias("models"),
-        winners.scalar().alias("best_model"), settings.alias("hyperparameters"),
+        winners.scalar().alias("best_model"), recorded.alias("hyperparameters"),
     )
 
 
 def write_metrics(
-    path: str, info: DataFrame, metrics: DataFrame, importances: DataFrame, best: DataFrame
+    path: str, info: DataFrame, metrics: DataFrame, importances: DataFrame, best: DataFrame,
+    params: dict[str, dict] = PARAMS,
 ) -> None:
-    metrics_document(info, metrics, importances, best).write.mode("overwrite").json(path)
+    metrics_document(info, metrics, importances, best, params).write.mode("overwrite").json(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
