@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from yearloom.operators import encode, evaluate, features, modeling, profile, series, split
 from yearloom.sources import metrics_store, panel_store
@@ -40,8 +41,11 @@ def prepare(core_panel: DataFrame, spec: PanelSpec = PANEL) -> Prepared:
 
 def prepare_wide(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) -> Prepared:
     """As `prepare`, straight from wide rows.  The histories (one row per key) are
-    persisted: core, vocabularies and features all start from them."""
-    hist = series.histories(wide, spec, elements).persist(StorageLevel.MEMORY_AND_DISK)
+    persisted: core, vocabularies and features all start from them.  Keys left
+    without a core row get no code; the condition stands above the stored rows,
+    where it is a cheap look at one array."""
+    stored = series.histories(wide, spec, elements).persist(StorageLevel.MEMORY_AND_DISK)
+    hist = stored.where(F.size("history") > 0)
     area, item = spec.keys
     areas = encode.vocabulary(hist, area)
     items = encode.vocabulary(hist, item)
