@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -103,9 +105,17 @@ def fit(train: DataFrame, algo: str, target: str, params: dict | None = None) ->
 
 
 def fit_all(
-    train: DataFrame, algorithms: list[str] = ALGORITHMS, params: dict[str, dict] = PARAMS
+    train: DataFrame, algorithms: list[str] = ALGORITHMS, params: dict[str, dict] = PARAMS,
+    parallelism: int = 2,
 ) -> list[Fitted]:
-    return [fit(train, algo, target, params[algo]) for algo in algorithms for target in TARGETS]
+    """Every algorithm on both targets, ``parallelism`` fits at a time: a fit of
+    trees is a long chain of short jobs, so two chains share the executors well."""
+    wanted = [(algo, target) for algo in algorithms for target in TARGETS]
+    work = inheritable_thread_target(train.sparkSession)(
+        lambda pair: fit(train, *pair, params[pair[0]])
+    )
+    with ThreadPool(parallelism) as pool:
+        return pool.map(work, wanted, chunksize=1)
 
 
 def predict(assembled: DataFrame, fitted: list[Fitted]) -> DataFrame:
