@@ -97,6 +97,14 @@ def series_state(
     return wanted.join(state, list(spec.keys), "left")
 
 
+def _tasks(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
+
+
 class _Series:
     """Which column holds a series' value for a year: history or a prediction."""
 
@@ -152,8 +160,14 @@ def forecast_wide(
     Predictions are rounded to 2 digits and the rounded values become lags.  Years
     need not be contiguous: a lag that no earlier step produced comes from the
     history.  Long horizons are cut by a reliable checkpoint.
+
+    State rows are few bytes but tree models cost much per row, so for those the
+    rows are first spread over all tasks: adaptive execution sizes partitions by
+    bytes and would leave a handful.
     """
     frame = state
+    if any(isinstance(s, ModelScorer) for s in by_algo.values()):
+        frame = frame.repartition(_tasks(frame), *spec.keys)
     for algo, scorer in by_algo.items():
         imp, dep, fs = _Series("imp"), _Series("dep"), _Series("fs")
         for i, year in enumerate(years):

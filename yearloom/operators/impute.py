@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from yearloom.sources.wide import ordinal_block
@@ -12,18 +12,31 @@ from yearloom.spec import PANEL, PanelSpec
 SERIES_LIMIT = 1_000_000
 
 
-def _line(position: Column, before: Column, after: Column) -> Column:
-    """Value at ``position`` on the line between two (at, v) points.
+def _line(at: Column, near: dict[str, Column]) -> Column:
+    """Value at position ``at`` on the line between the two nearest observations;
+    with one neighbour only, its value; with none, NULL."""
+    slope = F.try_divide(
+        near["next_value"] - near["prev_value"], near["next_at"] - near["prev_at"]
+    )
+    between = slope * (at - near["prev_at"]) + near["prev_value"]
+    return F.coalesce(between, near["prev_value"], near["next_value"])
 
-    With one neighbour only, its value; with none, NULL.
-    """
-    slope = F.try_divide(after["v"] - before["v"], after["at"] - before["at"])
-    between = slope * (position - before["at"]) + before["v"]
-    return F.coalesce(between, before["v"], after["v"])
 
+def _nearest(at: Column, value: Column, window: WindowSpec, order: list) -> dict[str, Column]:
+    """Position and value of the last observation up to a row and of the first
+    one from it on.
 
-def _observed(position: Column, value: Column) -> Column:
-    return F.when(value.isNotNull(), F.struct(position.alias("at"), value.alias("v")))
+    The latter looks back along the reversed order: a frame that ends at
+    ``unboundedFollowing`` is evaluated from scratch for every row, which is
+    quadratic in the length of a series; a second sort is not.
+    """
+    seen = F.when(value.isNotNull(), at)
+    found = {}
+    for side, spec in (("prev", window.orderBy(*order)), ("next", window.orderBy(F.desc("_at")))):
+        frame = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found[f"{side}_at"] = F.last(seen, ignorenulls=True).over(frame)
+        found[f"{side}_value"] = F.last(value, ignorenulls=True).over(frame)
+    return found
 
 
 def interpolate_linear(
@@ -56,23 +69,11 @@ def interpolate_linear(
 
 
 def _fill_whole(rows: DataFrame, spec: PanelSpec) -> DataFrame:
-    order = Window.partitionBy(*spec.series).orderBy(*spec.ordering)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    value = F.col(spec.value)
-    placed = rows.withColumn("_at", F.row_number().over(order))
-    seen = _observed(F.col("_at"), value)
-    return placed.select(
-        *[c for c in rows.columns if c != spec.value],
-        F.coalesce(
-            value,
-            _line(
-                F.col("_at"),
-                F.last(seen, ignorenulls=True).over(upto),
-                F.first(seen, ignorenulls=True).over(onward),
-            ),
-        ).alias(spec.value),
-    ).select(*rows.columns)
+    series, order = Window.partitionBy(*spec.series), spec.ordering
+    value, at = F.col(spec.value), F.col("_at")
+    placed = rows.withColumn("_at", F.row_number().over(series.orderBy(*order)))
+    filled = F.coalesce(value, _line(at, _nearest(at, value, series, order)))
+    return placed.withColumn(spec.value, filled).select(*rows.columns)
 
 
 def _fill_pieces(rows: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -83,51 +84,39 @@ def _fill_pieces(rows: DataFrame, spec: PanelSpec) -> DataFrame:
     is then scanned along the series and hands every piece what lies outside it.
     """
     piece = [*spec.series, spec.time, "_block"]
-    order = Window.partitionBy(*piece).orderBy(spec.ordinal)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    value, at = F.col(spec.value), F.col("_at")
-    seen = _observed(at, value)
-    local = (
+    value, at, start = F.col(spec.value), F.col("_at"), F.col("_start")
+    inside, order = Window.partitionBy(*piece), [spec.ordinal]
+    placed = (
         rows.withColumn("_block", ordinal_block(rows, spec.ordinal))
-        .withColumn("_at", F.row_number().over(order).cast("long"))
-        .withColumn("_prev", F.last(seen, ignorenulls=True).over(upto))
-        .withColumn("_next", F.first(seen, ignorenulls=True).over(onward))
+        .withColumn("_at", F.row_number().over(inside.orderBy(*order)).cast("long"))
     )
-    summary = local.groupBy(*piece).agg(
+    seen = F.when(value.isNotNull(), at)
+    summary = placed.groupBy(*piece).agg(
         F.count("*").alias("_n"),
-        F.min_by(seen, F.when(value.isNotNull(), at)).alias("_first"),
-        F.max_by(seen, F.when(value.isNotNull(), at)).alias("_last"),
-    )
-    along = Window.partitionBy(*spec.series).orderBy(spec.time, "_block")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
-    start = F.col("_start")
-
-    def shifted(point: str) -> Column:
-        p = F.col(point)
-        return F.when(
-            p.isNotNull(), F.struct((p["at"] + start).alias("at"), p["v"].alias("v"))
-        )
-
-    outside = (
-        summary
-        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_first", shifted("_first"))
-        .withColumn("_last", shifted("_last"))
-        .withColumn("_before", F.last("_last", ignorenulls=True).over(earlier))
-        .withColumn("_after", F.first("_first", ignorenulls=True).over(later))
-        .select(*piece, "_start", "_before", "_after")
+        F.min(seen).alias("_first_at"), F.min_by(value, seen).alias("_first"),
+        F.max(seen).alias("_last_at"), F.max_by(value, seen).alias("_last"),
     )
-    filled = F.coalesce(
-        value,
-        _line(
-            at + start,
-            F.coalesce(shifted("_prev"), F.col("_before")),
-            F.coalesce(shifted("_next"), F.col("_after")),
-        ),
+    along = Window.partitionBy(*spec.series)
+    earlier = along.orderBy(spec.time, "_block").rowsBetween(Window.unboundedPreceding, -1)
+    later = along.orderBy(F.desc("_start")).rowsBetween(Window.unboundedPreceding, -1)
+    outside = summary.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    outside = outside.select(
+        *piece, "_start",
+        F.last(F.col("_last_at") + start, ignorenulls=True).over(earlier).alias("_before_at"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_before"),
+        F.last(F.col("_first_at") + start, ignorenulls=True).over(later).alias("_after_at"),
+        F.last("_first", ignorenulls=True).over(later).alias("_after"),
     )
-    joined = local.join(outside, piece)
+    joined = placed.withColumns({
+        f"_{name}": c for name, c in _nearest(at, value, inside, order).items()
+    }).join(outside, piece)
+    near = {
+        "prev_at": F.coalesce(F.col("_prev_at") + start, "_before_at"),
+        "prev_value": F.coalesce("_prev_value", "_before"),
+        "next_at": F.coalesce(F.col("_next_at") + start, "_after_at"),
+        "next_value": F.coalesce("_next_value", "_after"),
+    }
+    filled = F.coalesce(value, _line(at + start, near))
     return joined.withColumn(spec.value, filled).select(*rows.columns)
 
 
