@@ -293,48 +293,74 @@ def r2_cap_flag(spark, folder):
     return evaluate.over_cap(_naive(spark, folder), cap=NAIVE_CAP)
 
 
-_FITS: dict[tuple[str, str], tuple] = {}
+_KEPT: dict[tuple, object] = {}
 
 
-def _fitted(spark, folder):
-    """Features, models and metrics; the fits are made once per application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _FITS:
-        p = _prepared(spark, folder)
+def _once(spark, folder, what, make):
+    """Fits take long: each is made once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder, what)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def _inputs(spark, folder) -> tuple[training.Prepared, DataFrame, DataFrame]:
+    """Prepared panel, stored features, assembled rows."""
+    def make():
+        prepared = _prepared(spark, folder)
         path = scratch_path(spark, "features")
-        p.features.write.parquet(path)
+        prepared.features.write.parquet(path)
         stored = spark.read.parquet(path)
-        _FITS[key] = (p, stored, *training.fit_and_score(stored))
-    return _FITS[key]
+        return prepared, stored, training.model_rows(stored)
+
+    return _once(spark, folder, "inputs", make)
+
+
+def _fitted(spark, folder, algorithms=modeling.ALGORITHMS) -> list[modeling.Fitted]:
+    train = _inputs(spark, folder)[2].where("split = 'train'")
+    return [
+        fitted for algo in algorithms
+        for fitted in _once(spark, folder, algo, lambda: modeling.fit_all(train, [algo]))
+    ]
+
+
+def _metrics(spark, folder) -> DataFrame:
+    rows = _inputs(spark, folder)[2]
+    return _once(spark, folder, "metrics", lambda: training.score(rows, _fitted(spark, folder)))
+
+
+def _scores(spark, folder, algo):
+    rows = _inputs(spark, folder)[2]
+    return modeling.predictions_long(rows, _fitted(spark, folder, [algo]))
+
+
+def rf_scores(spark, folder):
+    return _scores(spark, folder, "rf")
+
 
+def gbt_scores(spark, folder):
+    return _scores(spark, folder, "xgb")
 
-def _scores(algo: str) -> Query:
-    def query(spark, folder):
-        _, stored, fitted, _ = _fitted(spark, folder)
-        rows = modeling.assemble(split.assign_split(stored))
-        chosen = [f for f in fitted if f.algo == algo]
-        return modeling.predictions_long(rows, chosen)
 
-    query.__name__ = f"{algo}_scores"
-    return query
+def ridge_scores(spark, folder):
+    return _scores(spark, folder, "ridge")
 
 
 def importance_rank(spark, folder):
-    _, _, fitted, _ = _fitted(spark, folder)
-    return modeling.importances(spark, fitted)
+    return modeling.importances(spark, _fitted(spark, folder))
 
 
 def model_comparison(spark, folder):
-    _, _, _, metrics = _fitted(spark, folder)
-    return metrics.drop("train_time_sec")
+    return _metrics(spark, folder).drop("train_time_sec")
 
 
 def metrics_document(spark, folder):
-    p, stored, fitted, metrics = _fitted(spark, folder)
+    prepared, _, rows = _inputs(spark, folder)
+    metrics = _metrics(spark, folder)
     path = scratch_path(spark, "metrics")
     metrics_store.write_metrics(
-        path, profile.dataset_info(p.core, split.assign_split(stored)), metrics,
-        modeling.importances(spark, fitted), evaluate.best_model(metrics),
+        path, profile.dataset_info(prepared.core, rows), metrics,
+        modeling.importances(spark, _fitted(spark, folder)), evaluate.best_model(metrics),
     )
     document = metrics_store.read_metrics(spark, path)
     return metrics_store.model_rows(document).drop("train_time_sec")
@@ -367,9 +393,9 @@ def trend_series(spark, folder):
 
 
 def forecast_compare(spark, folder):
-    p, _, fitted, _ = _fitted(spark, folder)
+    p, _, _ = _inputs(spark, folder)
     state = serving.coded_state(p.core, p.areas, p.items, HORIZON)
-    return forecast.forecast_compare(state, HORIZON, forecast.scorers(fitted))
+    return forecast.forecast_compare(state, HORIZON, forecast.scorers(_fitted(spark, folder)))
 
 
 QUERIES: dict[str, Query] = {
@@ -386,8 +412,7 @@ QUERIES: dict[str, Query] = {
         split_assign, split_counts, ridge_gram, eval_metrics, best_model, metric_best_flags,
         r2_cap_flag,
         point_forecast, recursive_forecast, trend_series,
-        _scores("rf"), _scores("xgb"), _scores("ridge"), importance_rank, model_comparison,
+        rf_scores, gbt_scores, ridge_scores, importance_rank, model_comparison,
         metrics_document, forecast_compare,
     )
 }
-QUERIES["gbt_scores"] = QUERIES.pop("xgb_scores")

@@ -59,26 +59,37 @@ def prepare_wide(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) ->
     )
 
 
-def fit_and_score(
-    features_df: DataFrame, algorithms: list[str] = modeling.ALGORITHMS, spec: PanelSpec = PANEL,
-    params: dict[str, dict] = modeling.PARAMS,
-) -> tuple[list[modeling.Fitted], DataFrame]:
-    """Split, fit every model on the training rows, score all rows in one pass.
+def model_rows(features_df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
+    """Split and assembled feature rows, persisted: every fit and the scoring read
+    them."""
+    assigned = split.assign_split(features_df, spec=spec)
+    return modeling.assemble(assigned).persist(StorageLevel.MEMORY_AND_DISK)
+
 
-    The assembled panel is persisted: every fit and the scoring read it.
+def score(rows: DataFrame, fitted: list[modeling.Fitted], spec: PanelSpec = PANEL) -> DataFrame:
+    """Metrics of all models from one pass over the rows.
+
+    The result has one row per model; it is taken once, so that no later use
+    scores the rows again.
     """
-    assigned = split.assign_split(features_df, spec=spec)
-    rows = modeling.assemble(assigned).persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = modeling.fit_all(rows.where("split = 'train'"), algorithms, params)
+    spark = rows.sparkSession
     metrics = evaluate.evaluate(modeling.predictions_long(rows, fitted, spec))
-    spark = features_df.sparkSession
     scored = metrics.join(modeling.model_table(spark, fitted), ["model", "target"]).select(
         "model", "algorithm", "target", "position", *evaluate.METRICS, "train_time_sec"
     )
-    # One row per model: taken once, so that no later use scores the rows again.
-    taken = spark.createDataFrame(scored.collect(), scored.schema)
+    return spark.createDataFrame(scored.collect(), scored.schema)
+
+
+def fit_and_score(
+    features_df: DataFrame, algorithms: list[str] = modeling.ALGORITHMS, spec: PanelSpec = PANEL,
+    params: dict[str, dict] = modeling.PARAMS,
+) -> tuple[list[modeling.Fitted], DataFrame]:
+    """Fit every model on the training rows, then score them on all rows."""
+    rows = model_rows(features_df, spec)
+    fitted = modeling.fit_all(rows.where("split = 'train'"), algorithms, params)
+    metrics = score(rows, fitted, spec)
     rows.unpersist()
-    return fitted, taken
+    return fitted, metrics
 
 
 def train(
