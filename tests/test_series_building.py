@@ -180,3 +180,11 @@ def test_result_is_the_same_for_any_partitioning(spark):
         assert rows(series.core_rows(series.histories(frame.repartition(13), REPEATED))) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_repeated_rows_without_ordinal_are_an_error(spark):
+    frame = wide(spark, [
+        ("a", "i", IMPORT, [1, 2]), ("a", "i", IMPORT, [3, 4]), ("a", "i", SUPPLY, [1, 1]),
+    ], [1, 2])
+    with pytest.raises(Exception, match="name an ordinal"):
+        series.core_rows(series.histories(frame)).collect()

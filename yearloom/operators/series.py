@@ -98,16 +98,39 @@ def frequent_keys(wide: DataFrame, spec: PanelSpec, rows_per_key: int) -> DataFr
     )
 
 
-def _histories(wide: DataFrame, spec: PanelSpec) -> DataFrame:
-    """One row per key with ``history``: the core rows of that key in year order."""
-    packed, years = pack_years(wide, spec)
-    rank = F.lit(0) if spec.ordinal is None else F.col(spec.ordinal)
-    row = F.struct(rank.alias("_rank"), F.col("_cells"))
+def _unique_rows(packed: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The one source row of each measure per key.  A second one is an error, not
+    a longer list: without an ordinal nothing says how to order the two."""
     measure = reshape.measure_name(F.col(spec.kind))
-    together = packed.groupBy(*spec.keys).agg(
+    sides = {"_a": measure == IMPORTS, "_b": measure == SUPPLY}
+    found = packed.groupBy(*spec.keys).agg(
+        *[F.any_value(F.when(is_side, F.col("_cells")), True).alias(s) for s, is_side in sides.items()],
+        F.greatest(*[F.count_if(is_side) for is_side in sides.values()]).alias("_n"),
+    ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    repeated = F.raise_error(F.lit("a series has several source rows: name an ordinal"))
+    return found.select(
+        *spec.keys,
+        *[F.array(F.struct(F.when(F.col("_n") > 1, repeated).otherwise(F.col(s)).alias("_cells"))).alias(s)
+          for s in sides],
+    )
+
+
+def _listed_rows(packed: DataFrame, spec: PanelSpec) -> DataFrame:
+    """All source rows of each measure per key, in source order; the caller has
+    taken out keys with too many."""
+    row = F.struct(F.col(spec.ordinal).alias("_rank"), F.col("_cells"))
+    measure = reshape.measure_name(F.col(spec.kind))
+    return packed.groupBy(*spec.keys).agg(
         F.array_sort(F.collect_list(F.when(measure == IMPORTS, row))).alias("_a"),
         F.array_sort(F.collect_list(F.when(measure == SUPPLY, row))).alias("_b"),
     ).where((F.size("_a") > 0) & (F.size("_b") > 0))
+
+
+def _histories(wide: DataFrame, spec: PanelSpec) -> DataFrame:
+    """One row per key with ``history``: the core rows of that key in year order."""
+    packed, years = pack_years(wide, spec)
+    gather = _unique_rows if spec.ordinal is None else _listed_rows
+    together = gather(packed, spec)
     span = len(years)
     cells = together.withColumns({
         f"{s}c": _interleaved(F.col(s), span) for s in ("_a", "_b")
