@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import sharding
+from yearloom.llm import packing, sharding, token_files
+
+#: Tokenizer files lie in the folder this setting names, if it is set.
+TOKENIZERS = "spark.yearloom.tokenizers"
+
+
+#: Ids, segments and loss-bearing ids of a sequence.
+PACK_LIMITS = (2048, 128, 2047)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,8 +22,29 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.interleave(table(spark, folder, "documents"), shards=16)
 
 
+def tokenizer(spark: SparkSession, name: str) -> str:
+    """A tokenizer file's path: in the folder the session names, else the installed package's."""
+    folder = spark.conf.get(TOKENIZERS, None)
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer(spark, "byte_bpe_50k.json"), end=1,
+                        limits=PACK_LIMITS)
+
+
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"), tokenizer(spark, "word_bpe_49k.json"), end=2)
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op5_packing": op5_packing,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}

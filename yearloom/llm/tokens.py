@@ -1,4 +1,4 @@
-"""Token ids of whole texts: every distinct chunk is encoded once per task.
+"""Token ids of whole texts: every distinct chunk is encoded once per worker.
 
 Both tokenizers split a text before merging and never merge across a split, so the
 ids of a text are the ids of its chunks in order.  Chunks are cut here at ASCII white
@@ -9,6 +9,8 @@ written out, rare white space) are encoded whole.
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +21,9 @@ from yearloom.llm import text as tx
 #: Texts with one of these go through the tokenizer whole: special tokens, white space beyond ASCII.
 RARE = re.compile("<\\||[\x1c-\x1f\x85\xa0  -     　]")
 
-#: Distinct chunks remembered in a task; beyond it the memory starts anew, results are the same.
-REMEMBERED = 1_000_000
+#: Distinct chunks remembered in a worker (about 25 bytes each); beyond it the memory starts
+#: anew, results are the same.
+REMEMBERED = 3_000_000
 
 
 def load(path: str):
@@ -98,7 +101,7 @@ def plain_chunks(data: np.ndarray, first: np.ndarray, last: np.ndarray, spaced:
 
 
 class Encoder:
-    """Ids of all documents of a block; remembers chunks over the blocks of a task."""
+    """Ids of all documents of a block; remembers chunks over blocks and tasks."""
 
     def __init__(self, path: str, spaced: bool, remembered: int = REMEMBERED):
         self.tokenizer, self.spaced, self.remembered = load(path), spaced, remembered
@@ -111,10 +114,9 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.place = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        self.sizes = np.zeros(0, np.uint32)
+        self.starts = np.zeros(0, np.uint32)
+        self.pool = np.zeros(0, np.uint16 if len(self.units) <= 1 << 16 else np.uint32)
 
     def one_by_one(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all strings, one after another, and how many each has."""
@@ -161,13 +163,12 @@ class Encoder:
         for k in range(at, len(order), 4_000):
             found.append(self.one_by_one([chunks[i].decode() for i in order[k:k + 4_000].tolist()]))
         counts = np.concatenate([x[1] for x in found])
-        starts = np.cumsum(counts) - counts + len(self.pool)
-        self.pool = np.concatenate([self.pool, *(x[0] for x in found)])
-        self.sizes, self.starts = np.concatenate([self.sizes, counts]), np.concatenate([self.starts, starts])
-        all_keys = np.concatenate([self.keys, keys[order]])
-        places = np.concatenate([self.place, np.arange(len(self.place), len(all_keys))])
-        order = np.argsort(all_keys, kind="stable")
-        self.keys, self.place = all_keys[order], places[order]
+        sizes, starts = np.empty(len(order), np.uint32), np.empty(len(order), np.uint32)
+        sizes[order], starts[order] = counts, np.cumsum(counts) - counts + len(self.pool)
+        self.pool = np.concatenate([self.pool, *(x[0].astype(self.pool.dtype) for x in found)])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.sizes, self.starts = (
+            np.insert(old, at, new) for old, new in ((self.keys, keys), (self.sizes, sizes), (self.starts, starts)))
 
     def block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, one after another, and each document's first (one more entry)."""
@@ -186,9 +187,8 @@ class Encoder:
             new = sample[~known]
             self.learn(data, distinct[~known], first[new], last[new])
             at = np.searchsorted(self.keys, distinct)
-        place = self.place[at][which] if len(distinct) else np.zeros(0, np.int64)
-        sizes, starts = self.sizes[place], self.starts[place]
-        ids = self.pool[np.repeat(starts, sizes) + tx.runs(sizes)]
+        sizes, starts = self.sizes[at][which], self.starts[at][which]
+        ids = self.pool[np.repeat(starts.astype(np.int64), sizes) + tx.runs(sizes)].astype(np.uint32)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         bounds = ends[owner]
         return self._whole(texts, rare, ids, bounds) if rare else (ids, bounds)
@@ -221,8 +221,16 @@ def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray,
     return out, grown
 
 
+def encoder(path: str, spaced: bool) -> Encoder:
+    """The encoder of this worker process: Spark uses a worker for many tasks."""
+    kept = sys.modules.setdefault("_yearloom_worker", types.ModuleType("_yearloom_worker")).__dict__
+    if (path, spaced) not in kept:
+        kept[path, spaced] = Encoder(path, spaced)
+    return kept[path, spaced]
+
+
 def encoded(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end: int):
     """For each block of documents: its rows, their ids with the end id, each document's first."""
-    encoder = Encoder(path, spaced)
+    held = encoder(path, spaced)
     for block in tx.blocks(batches):
-        yield block, *with_end(*encoder.block(block.column("text")), end)
+        yield block, *with_end(*held.block(block.column("text")), end)
