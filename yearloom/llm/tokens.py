@@ -187,8 +187,8 @@ class Encoder:
             new = sample[~known]
             self.learn(data, distinct[~known], first[new], last[new])
             at = np.searchsorted(self.keys, distinct)
-        sizes, starts = self.sizes[at][which], self.starts[at][which]
-        ids = self.pool[np.repeat(starts.astype(np.int64), sizes) + tx.runs(sizes)].astype(np.uint32)
+        sizes, starts = self.sizes[at][which].astype(np.int64), self.starts[at][which].astype(np.int64)
+        ids = self.pool[np.repeat(starts, sizes) + tx.runs(sizes)].astype(np.uint32)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         bounds = ends[owner]
         return self._whole(texts, rare, ids, bounds) if rare else (ids, bounds)
