@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import packing, sharding, token_files
+from yearloom.llm import decontaminate, packing, sharding, token_files, word_model
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
@@ -32,18 +32,28 @@ def tokenizer(spark: SparkSession, name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer(spark, "byte_bpe_50k.json"), end=1,
                         limits=PACK_LIMITS)
 
 
+def op6_word_model(spark: SparkSession, folder: str) -> DataFrame:
+    return word_model.fit_and_score(table(spark, folder, "documents"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), tokenizer(spark, "word_bpe_49k.json"), end=2)
 
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_word_model": op6_word_model,
     "op10_token_files": op10_token_files,
 }
 

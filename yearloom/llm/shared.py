@@ -38,12 +38,12 @@ def write_file(address: str, parts: list) -> None:
     draft = f"{path}.{uuid.uuid4().hex}.tmp"
     with system.open_output_stream(draft) as out:
         for part in parts:
-            out.write(memoryview(np.ascontiguousarray(part)).cast("B") if isinstance(part, np.ndarray) else part)
+            out.write(part.tobytes() if isinstance(part, np.ndarray) else part)
     system.move(draft, path)
 
 
 def write_array(address: str, values: np.ndarray) -> None:
-    write_file(address, [values] if len(values) else [])
+    write_file(address, [values] if values.size else [])
 
 
 def read_array(address: str, kind) -> np.ndarray:
