@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import decontaminate, packing, sharding, token_files, word_model
+from yearloom.llm import decontaminate, language, packing, sharding, token_files, word_model
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
@@ -45,6 +45,10 @@ def op6_word_model(spark: SparkSession, folder: str) -> DataFrame:
     return word_model.fit_and_score(table(spark, folder, "documents"))
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.fit_and_label(table(spark, folder, "documents"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), tokenizer(spark, "word_bpe_49k.json"), end=2)
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_word_model": op6_word_model,
+    "op8_language": op8_language,
     "op10_token_files": op10_token_files,
 }
 
