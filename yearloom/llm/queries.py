@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import decontaminate, language, packing, sharding, token_files, word_model
+from yearloom.llm import decontaminate, language, packing, sharding, token_files, vectors, word_model
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
@@ -49,6 +49,10 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.fit_and_label(table(spark, folder, "documents"))
 
 
+def op9_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), tokenizer(spark, "word_bpe_49k.json"), end=2)
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_word_model": op6_word_model,
     "op8_language": op8_language,
+    "op9_vectors": op9_vectors,
     "op10_token_files": op10_token_files,
 }
 
