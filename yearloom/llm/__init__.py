@@ -8,4 +8,7 @@ import sys
 
 from pyspark import cloudpickle
 
+from yearloom import session
+
+cloudpickle.register_pickle_by_value(session)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yearloom.llm import shared
 from yearloom.llm import text as tx
 
 WINDOW = 10
@@ -240,13 +241,13 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int
     sets = phrase_sets(benchmark, window, limit) or [Phrases([], window)]
     for k, phrases in enumerate(sets, 1):
         schema = out.schema if keep_text or k < len(sets) else out.drop("text").schema
-        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(phrases), schema.names), schema)
+        out = out.mapInArrow(_marker(shared.sent(spark, phrases), schema.names), schema)
     return out
 
 
-def _marker(shared, names: list[str]):
+def _marker(sent, names: list[str]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, hasher = shared.value, tx.Hasher()
+        phrases, hasher = shared.received(sent), tx.Hasher()
         for block in tx.blocks(batches):
             words = Words(hasher, block.column("text"))
             hit, document, item = hits(words, phrases)
@@ -305,13 +306,13 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: i
     spark = docs.sparkSession
     out = docs
     for phrases in phrase_sets(benchmark, window, limit):
-        out = out.mapInArrow(_remover(spark.sparkContext.broadcast(phrases)), docs.schema)
+        out = out.mapInArrow(_remover(shared.sent(spark, phrases)), docs.schema)
     return out
 
 
-def _remover(shared):
+def _remover(sent):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, hasher = shared.value, tx.Hasher()
+        phrases, hasher = shared.received(sent), tx.Hasher()
         for block in tx.blocks(batches):
             texts, emptied = cut_spans(block, phrases, hasher)
             columns = {name: block.column(name) for name in block.schema.names}

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearloom.llm import shared
 from yearloom.llm import text as tx
 
 #: Size of the table of hashed n-grams; bounds the model whatever the corpus.
@@ -292,10 +293,10 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     learned no language; ties go to the first language by name; repeated rows are labelled
     alike.  ``docs`` has doc_id, text and held_out; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared.sent(docs.sparkSession, model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeler = Labeler(shared.value)
+        labeler = Labeler(shared.received(sent))
         for block in tx.blocks(batches):
             names, score, spans = labeler.block(block.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -307,10 +308,10 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The documents, unchanged, of which one language has at least ``least`` of the words' bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared.sent(docs.sparkSession, model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeler = Labeler(shared.value)
+        labeler = Labeler(shared.received(sent))
         for block in tx.blocks(batches):
             names, score, _ = labeler.block(block.column("text"))
             kept = np.array([n != UNDETERMINED for n in names]) & (score >= least)

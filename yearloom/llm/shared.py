@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow.fs as pafs
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from yearloom.session import scratch_path
@@ -53,3 +54,12 @@ def read_array(address: str, kind) -> np.ndarray:
         return np.memmap(path, dtype=kind, mode="r") if os.path.getsize(path) else np.zeros(0, kind)
     with system.open_input_file(path) as source:
         return np.frombuffer(source.read_buffer(), dtype=kind)
+
+
+def sent(spark: SparkSession, value) -> Broadcast:
+    """Broadcasts an object with its class, so workers need not import it; the caller bounds its size."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(value: Broadcast):
+    return cloudpickle.loads(value.value)
