@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import decontaminate, language, packing, sharding, token_files, vectors, word_model
+from yearloom.llm import decontaminate, jaccard, language, packing, sharding, token_files, vectors, word_model
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
@@ -18,6 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(table(spark, folder, "documents"))
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.interleave(table(spark, folder, "documents"), shards=16)
 
@@ -58,6 +62,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
