@@ -42,16 +42,16 @@ def tally(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
-def to_blobs(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
-    """Rows for sorted keys whose shards do not decrease."""
+def to_blobs(keys: np.ndarray, counts: np.ndarray | None, shard: np.ndarray) -> pa.RecordBatch:
+    """Rows for sorted keys, with or without counts, whose shards do not decrease."""
     first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, np.int64)
     last = np.append(first[1:], len(shard))
-    kept = [(squeeze(np.diff(keys[a:b], prepend=np.uint64(0))), squeeze(counts[a:b].astype(np.int64)))
-            for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(shard[first].astype(np.int32)), pa.array((last - first).astype(np.int64)),
-         pa.array([k for k, _ in kept], pa.binary()), pa.array([c for _, c in kept], pa.binary())],
-        names=["shard", "n", "keys", "counts"])
+    ends = list(zip(first.tolist(), last.tolist(), strict=True))
+    columns = {"shard": pa.array(shard[first].astype(np.int32)), "n": pa.array((last - first).astype(np.int64)),
+               "keys": pa.array([squeeze(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in ends], pa.binary())}
+    if counts is not None:
+        columns["counts"] = pa.array([squeeze(counts[a:b].astype(np.int64)) for a, b in ends], pa.binary())
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def collected(parts: Iterator[tuple[np.ndarray, np.ndarray]], shard_of, limit: int = HELD_KEYS) -> Iterator[pa.RecordBatch]:

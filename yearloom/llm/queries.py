@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import decontaminate, jaccard, language, packing, sharding, token_files, vectors, word_model
+from yearloom.llm import decontaminate, jaccard, language, packing, quality, sharding, token_files, vectors, word_model
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
@@ -49,6 +49,10 @@ def op6_word_model(spark: SparkSession, folder: str) -> DataFrame:
     return word_model.fit_and_score(table(spark, folder, "documents"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.fit_and_label(table(spark, folder, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_word_model": op6_word_model,
+    "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_vectors": op9_vectors,
     "op10_token_files": op10_token_files,
