@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.llm import decontaminate, jaccard, language, packing, quality, sharding, token_files, vectors, word_model
+from yearloom.llm import decontaminate, jaccard, language, packing, quality, quotes, sharding, token_files, vectors, word_model
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
@@ -36,6 +36,10 @@ def tokenizer(spark: SparkSession, name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.unquoted(table(spark, folder, "conversations"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -68,6 +72,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
+    "op3_quotes": op3_quotes,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_word_model": op6_word_model,
