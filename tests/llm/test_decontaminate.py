@@ -1,0 +1,105 @@
+import hashlib
+
+import numpy as np
+import pytest
+from cases import SMALL, documents, words
+
+from yearloom.llm import decontaminate as dc
+
+
+def windows(items, size):
+    found = {}
+    for name, text in items:
+        own = words(text)
+        k = min(size, len(own))
+        for i in range(len(own) - k + 1 if k else 0):
+            found.setdefault(tuple(own[i:i + k]), set()).add(name)
+    return found
+
+
+def brute(text, found):
+    own = words(text)
+    hit, items = [False] * len(own), set()
+    for k in {len(w) for w in found}:
+        for i in range(len(own) - k + 1):
+            if tuple(own[i:i + k]) in found:
+                hit[i:i + k] = [True] * k
+                items |= found[tuple(own[i:i + k])]
+    return len(own), sum(hit), sorted(items)
+
+
+def test_index_finds_every_occurrence():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        runs = [rng.integers(1, 4, rng.integers(1, 9)) for _ in range(rng.integers(1, 6))]
+        text = np.concatenate([np.append(r, 0) for r in runs])
+        phrases = np.zeros((6, 4), np.int64)
+        for row in phrases:
+            k = rng.integers(1, 5)
+            row[4 - k:] = rng.integers(1, 4, k)
+        index = dc.FMIndex(text, 3, sample=4)
+        which, low, high = index.search(phrases)
+        got = {}
+        for w, a, b in zip(which, low, high, strict=True):
+            got[w] = sorted(index.locate(np.arange(a, b)).tolist())
+        for w, row in enumerate(phrases):
+            p = row[row > 0]
+            want = [i for i in range(len(text) - len(p) + 1) if (text[i:i + len(p)] == p).all()]
+            assert got.get(w, []) == want
+
+
+@pytest.mark.parametrize("limit", [2_000, dc.PHRASE_BYTES])
+def test_report_agrees_with_brute_force(spark, limit):
+    docs, benchmark = documents(spark), spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    found = windows([(str(r.item_id), r.text) for r in benchmark.collect()], 10)
+    got = {r.doc_id: r for r in dc.mark(docs, benchmark, limit=limit).collect()}
+    report = {r.doc_id: r for r in dc.report(docs, benchmark).collect()}
+    assert any(r.contaminated for r in report.values())
+    for row in docs.collect():
+        n, hit, items = brute(row.text, found)
+        own = got[row.doc_id]
+        assert (own.n_words, sum(s["last"] - s["first"] for s in own.spans), own.items) == (n, hit, items)
+        digest = hashlib.sha256(",".join(items).encode()).hexdigest()
+        assert tuple(report[row.doc_id]) == (row.doc_id, n, hit, len(items), digest, hit > 0)
+
+
+@pytest.mark.parametrize("limit", [2_000, dc.PHRASE_BYTES])
+def test_removal_leaves_no_window_and_clean_texts_alone(spark, limit):
+    docs, benchmark = documents(spark), spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    found = windows([(str(r.item_id), r.text) for r in benchmark.collect()], 10)
+    left = {r.doc_id: r for r in dc.remove(docs, benchmark, limit=limit).collect()}
+    for row in docs.collect():
+        if brute(row.text, found)[1] == 0:
+            assert left[row.doc_id] == row
+        elif row.doc_id in left:
+            assert brute(left[row.doc_id].text, found)[1] == 0
+            assert left[row.doc_id].n_chars == len(left[row.doc_id].text)
+
+
+@pytest.mark.parametrize("limit", [10, dc.PHRASE_BYTES])
+def test_odd_rows(spark, limit):
+    docs = spark.createDataFrame(
+        [(1, "One two three", None), (2, None, 7), (3, "", 1), (4, "x one TWO three y alpha beta one two three", 2), (4, "é", 2), (4, "é", 2)],
+        "doc_id long, text string, n_words int")
+    benchmark = spark.createDataFrame(
+        [(5, "one two three"), (10, "ALPHA beta"), (None, "x"), (7, None), (8, "!!")], "item_id long, text string")
+    marked = [(r.doc_id, r.n_words, [tuple(s) for s in r.spans], r.items) for r in dc.mark(docs, benchmark, limit=limit).collect()]
+    assert sorted(marked) == [(1, 3, [(0, 3)], ["5"]), (2, 0, [], []), (3, 0, [], []), (4, 1, [], []), (4, 1, [], []),
+                              (4, 10, [(1, 4), (5, 10)], ["10", "5"])]
+    left = sorted(dc.remove(docs, benchmark, limit=limit).collect(), key=str)
+    assert [tuple(r) for r in left] == [(2, None, 7), (3, "", 1), (4, "x  y ", 2), (4, "é", 2), (4, "é", 2)]
+    assert dc.mark(docs.limit(0), benchmark).collect() == []
+    assert dc.mark(docs, benchmark.limit(0)).where("size(items) > 0").count() == 0
+    assert dc.remove(docs, benchmark.limit(0)).count() == 6
+
+
+def test_cut_that_joins_a_window_is_cut_again(spark):
+    docs = spark.createDataFrame([(1, "a b x y c d keep")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "x y"), (2, "a b c d")], "item_id long, text string")
+    assert [words(r.text) for r in dc.remove(docs, benchmark).collect()] == [["keep"]]
+
+
+def test_windows_do_not_cross_documents(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(2, "a b c d")], "item_id long, text string")
+    assert dc.report(docs, benchmark).where("contaminated").count() == 0
