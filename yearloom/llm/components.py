@@ -12,18 +12,14 @@ from yearloom.llm import shared
 MOST_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step: every node's larger (or not larger) neighbours are tied to its smallest one."""
-    if large:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = edges
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    joined = both.join(least, "a")
-    tied = joined.where("b > a" if large else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    if not large:
-        tied = tied.unionByName(least.select("a", F.col("m").alias("b")))
-    return tied.where("a <> b").distinct()
+def _round(edges: DataFrame) -> DataFrame:
+    """A large and a small star on edges from larger nodes a to smaller ones b."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    tied = edges.join(least.withColumnRenamed("a", "b"), "b", "left")
+    large = tied.select("a", F.coalesce("m", "b").alias("b")).distinct()
+    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    below = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return below.unionByName(least.withColumnRenamed("m", "b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     seen = None
     for _ in range(MOST_ROUNDS):
-        current = shared.stored(_star(_star(current, large=True), large=False), "components")
+        current = shared.stored(_round(current), "components")
         state = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             return current.select(F.col("a").alias("node"), F.col("b").alias("component"))

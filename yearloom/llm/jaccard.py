@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,9 @@ MOST_HASHES = 160
 #: Classes of a cluster compared side by side with as many others; in large clusters the root of their number.
 TILE = 64
 
+#: Bits of the map that tells which documents' sets are wanted; its size does not grow with the data.
+MAP_BITS = 1 << 25
+
 #: Distinct n-grams of a tile counted at once.
 COLUMNS = 1 << 16
 
@@ -188,20 +192,22 @@ def _verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, threshol
         clusters.join(sizes, "component").withColumn("blocks", F.ceil(F.col("members") / tile).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         .join(classes.select(F.col("rep").alias("node"), "set_a", "set_b", "copies"), "node")
-        .select(F.col("node").alias("doc_id"), "component", "blocks", "block", "set_a", "set_b", "copies")
+        .select(F.col("node").alias("rep"), "component", "blocks", "block", "set_a", "set_b", "copies")
     )
     members = shared.stored(members, "jaccard-members")
+    wanted = shared.sent(docs.sparkSession, _id_map(members))
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = tx.Hasher()
-        for part in tx.blocks(batches):
-            grams, bounds = shingles(hasher, part.column("text"), size)
-            a, b = set_keys(grams, bounds)
-            same = (a == part.column("set_a").to_numpy()) & (b == part.column("set_b").to_numpy())  # else another row of this doc_id
-            raw = [grams[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            columns = [part.column(c) for c in ("doc_id", "component", "blocks", "block", "copies")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(raw, pa.binary())], names=[
-                "rep", "component", "blocks", "block", "copies", "grams"]).filter(pa.array(same))
+        hasher, bits = tx.Hasher(), shared.received(wanted)
+        for batch in batches:
+            place = _map_place(pc.fill_null(batch.column("doc_id"), -1).to_numpy())
+            some = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            for part in tx.blocks(iter([some])):
+                grams, bounds = shingles(hasher, part.column("text"), size)
+                raw = [grams[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *(pa.array(x) for x in set_keys(grams, bounds)), pa.array(raw, pa.binary())],
+                    names=["rep", "set_a", "set_b", "grams"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
@@ -242,14 +248,32 @@ def _verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, threshol
         yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[roots[some]])],
                                          names=["rep", "links", "root"])
 
-    with_sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(members, "doc_id").mapInArrow(
-        full_sets, "rep long, component long, blocks int, block int, copies long, grams binary")
+    with_sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        full_sets, "rep long, set_a long, set_b long, grams binary").join(members, ["rep", "set_a", "set_b"])
     tiles = with_sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "rep", "component", "block", "copies", "grams", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     return tiles.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y", "rep").mapInArrow(
         compare, "rep long, links long, root long")
 
 
+def _map_place(ids: np.ndarray) -> np.ndarray:
+    return (tx.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(MAP_BITS)).astype(np.int64)
+
+
+def _id_map(members: DataFrame) -> np.ndarray:
+    """Bits set for the members' ids.  Other ids may meet a bit that is set: the join that follows is exact."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_map_place(batch.column("rep").to_numpy()))], names=["place"])
+
+    bit = F.expr("shiftleft(1, cast(place % 8 as int))")
+    found = members.select("rep").mapInArrow(task, "place long").groupBy(F.expr("place div 8").alias("byte")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(MAP_BITS // 8, np.uint8)
+    out[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
 def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE) -> DataFrame:
     """The documents, unchanged, of which no other of their class has a smaller doc_id.
 
