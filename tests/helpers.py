@@ -5,6 +5,7 @@ import random
 
 IMPORT = "Import Quantity"
 SUPPLY = "Food supply quantity (kg/capita/yr)"
+CORE_SCHEMA = "Area string, Item string, Year int, Import_Quantity double, Food_Supply double, Dependency_Pct double"
 
 
 def rows(df):

@@ -1,9 +1,9 @@
 import pytest
-from helpers import random_series, rows, wide
+from helpers import CORE_SCHEMA, random_series, rows, wide
 
 from yearloom.operators import encode, features, forecast, profile, series
 from yearloom.plans import training
-from yearloom.spec import CORE_COLUMNS, CORE_SCHEMA, ENGINEERED, PanelSpec
+from yearloom.spec import ENGINEERED, PANEL, PanelSpec
 
 
 def core(spark, entries):
@@ -56,7 +56,7 @@ def test_prepare_from_wide_agrees_with_prepare_from_core(spark):
     years = range(1990, 1998)
     frame = wide(spark, random_series(12, 40, years), years)
     a, b = training.prepare_wide(frame), training.prepare(training.core(frame))
-    names = [*CORE_COLUMNS, *ENGINEERED, "Area_enc", "Item_enc"]
+    names = [*PANEL.core, *ENGINEERED, "Area_enc", "Item_enc"]
     assert rows(a.features.select(*names)) == rows(b.features.select(*names))
     assert rows(a.core) == rows(b.core)
 

@@ -1,12 +1,12 @@
 """Forecasts against a plain per-series computation."""
 
 import pytest
-from helpers import random_series, rows, wide
+from helpers import CORE_SCHEMA, random_series, rows, wide
 
 from yearloom.operators import forecast, profile
 from yearloom.plans import serving, training
 from yearloom.plans.catalog import FORMULAS
-from yearloom.spec import CORE_SCHEMA, FEATURES
+from yearloom.spec import FEATURES
 
 
 @pytest.fixture(scope="module")

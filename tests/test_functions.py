@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from yearloom.functions.columns import (
     MISSING_TOKENS, clip_upper, missing_to_null, nan_to_null, round_to, to_number,
 )
-from yearloom.functions.order_stats import exact_quantiles, order_statistic
+from yearloom.functions.order_stats import exact_quantiles, order_statistics
 
 
 def column(spark, values, kind):
@@ -55,24 +55,35 @@ def test_order_statistic_by_bracketing(spark, hot):
     values = [5.0 if rng.random() < hot else round(rng.gauss(0, 10), 3) for _ in range(4000)]
     df = column(spark, values, "double").repartition(5)
     ordered = sorted(values)
-    for rank in (0, 1, 1999, 2000, 3998, 3999):
-        assert order_statistic(df, "x", rank, 4000, small=20, accuracy=50) == ordered[rank]
+    ranks = [0, 1, 1999, 2000, 3998, 3999]
+    found = order_statistics(df, [("x", r) for r in ranks], {"x": 4000}, gathered=20, accuracy=50)
+    assert found == [ordered[r] for r in ranks]
 
 
 def test_order_statistic_two_values(spark):
     df = column(spark, [1.0, 2.0] * 500 + [None], "double")
-    assert order_statistic(df, "x", 499, 1000, small=10, accuracy=10) == 1.0
-    assert order_statistic(df, "x", 500, 1000, small=10, accuracy=10) == 2.0
+    assert order_statistics(df, [("x", 499), ("x", 500)], {"x": 1000}, gathered=10, accuracy=10) == [1.0, 2.0]
     with pytest.raises(ValueError):
-        order_statistic(df, "x", 1000, 1000)
+        order_statistics(df, [("x", 1000)], {"x": 1000})
 
 
-@pytest.mark.parametrize("small", [10, 100_000])
-def test_exact_quantiles_match_numpy(spark, small):
+def test_order_statistics_take_few_jobs(spark):
+    """All columns and ranks share the jobs of a pass: two a pass, one at the end."""
+    df = spark.range(20_000).selectExpr("cast(hash(id) as double) x", "cast(id % 7 as double) y", "cast(-id as double) z").repartition(4)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    totals = dict.fromkeys("xyz", 20_000)
+    found = order_statistics(df, [(c, r) for c in "xyz" for r in (10, 9_999, 19_000)], totals, gathered=500, accuracy=1_000)
+    assert found[3:6] == [0.0, 3.0, 6.0] and found[6:] == [-19_989.0, -10_000.0, -999.0]
+    jobs = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before)
+    assert len(jobs) <= 9  # two aggregates of the one pass and the last, each three jobs with its shuffles
+
+
+@pytest.mark.parametrize("gathered", [10, 100_000])
+def test_exact_quantiles_match_numpy(spark, gathered):
     rng = random.Random(3)
     values = [rng.expovariate(0.1) for _ in range(3001)]
     probabilities = [0.0, 0.25, 0.5, 0.95, 1.0]
-    found = exact_quantiles(column(spark, values, "double"), {"x": probabilities}, small)["x"]
+    found = exact_quantiles(column(spark, values, "double"), {"x": probabilities}, gathered)["x"]
     assert np.allclose(found, np.quantile(values, probabilities), rtol=1e-12)
 
 

@@ -3,11 +3,11 @@ import random
 
 import numpy as np
 import pytest
-from helpers import rows
+from helpers import CORE_SCHEMA, rows
 
 from yearloom.operators import evaluate, modeling, split
 from yearloom.session import scratch_path
-from yearloom.spec import CORE_SCHEMA, FEATURES
+from yearloom.spec import FEATURES
 
 FEW = {
     "rf": dict(modeling.RF_PARAMS, n_estimators=8),

@@ -41,7 +41,8 @@ def test_raw_to_features_is_one_exchange(spark):
     for df in (training.core(frame), training.engineered_rows(frame)):
         plan = planned(df)
         assert exchanges(plan) == 1
-        assert not re.search(r"Python|Window|CartesianProduct|NestedLoop|SinglePartition", plan)
+        assert not re.search(r"Python|Window|CartesianProduct|NestedLoop|SinglePartition|SortAggregate", plan)
+        assert plan.count("Scan parquet") == 1 and not re.search(r"\bSort \[", plan)
 
 
 def test_scan_reads_keys_and_year_columns_only(spark):
@@ -66,6 +67,7 @@ def test_branch_for_frequent_keys_is_dropped_when_there_are_none(spark):
     frame = stored(spark, ordinal=True, max_repeats=2)
     _, plan = final(training.core(frame, REPEATED))
     assert "Window" not in plan and "Union" not in plan
+    assert plan.count("Scan parquet") == 1
     long = reshape.unpivot_years(frame, REPEATED)
     _, plan = final(impute.interpolate_linear(long, REPEATED))
     assert "_block" not in plan and "Union" not in plan
@@ -140,6 +142,55 @@ def test_whole_run(spark):
     assert kinds == {"Historical", "rf forecast"}
 
 
+def test_training_leaves_nothing_in_memory(spark):
+    few = {"rf": dict(modeling.RF_PARAMS, n_estimators=2), "xgb": dict(modeling.XGB_PARAMS, n_estimators=2), "ridge": modeling.RIDGE_PARAMS}
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    training.train(stored(spark), scratch_path(spark, "run"), params=few)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
+def test_whole_run_under_other_names(spark):
+    few = {"rf": dict(modeling.RF_PARAMS, n_estimators=2), "xgb": dict(modeling.XGB_PARAMS, n_estimators=2), "ridge": modeling.RIDGE_PARAMS}
+    spec = PanelSpec(keys=("nation", "part"), kind="flag", time="yr")
+    frame = stored(spark).withColumnsRenamed({"Area": "nation", "Item": "part", "Element": "flag"})
+    folder = scratch_path(spark, "run")
+    metrics = training.train(frame, folder, spec, params=few)
+    plain = training.train(stored(spark), scratch_path(spark, "run"), params=few)
+    assert metrics.count() == 6
+    scores = [rows(m.where("algorithm = 'Ridge Regression'").drop("train_time_sec", "position")) for m in (metrics, plain)]
+    assert scores[0] == scores[1]
+    loaded = serving.load(spark, folder, spec=spec)
+    assert loaded.core.columns[:3] == ["nation", "part", "yr"]
+    assert serving.compare(loaded, spec=spec).columns[:3] == ["nation", "part", "yr"]
+    assert serving.predict(loaded, [2001], "ridge", loaded.core.select("nation", "part").limit(2), spec).count() <= 2
+    assert "yr" in serving.trends(loaded, [2001], "rf", spec).columns
+
+
+def test_lookup_reads_one_range_of_the_keys(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    from yearloom.sources import panel_store
+
+    path = scratch_path(spark, "core").removeprefix("file://")
+    core = spark.range(4_000).selectExpr(
+        "concat('a', id % 40) Area", "concat('i', id % 7) Item", "cast(id as int) Year", "1.0 Import_Quantity", "1.0 Food_Supply", "1.0 Dependency_Pct")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        panel_store.write_core(core, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hits = files = 0
+    for name in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        for g in range(meta.num_row_groups):
+            bounds = meta.row_group(g).column(0).statistics
+            files += 1
+            hits += bounds.min <= "a17" <= bounds.max
+    assert files > 4 and hits <= 2
+    assert panel_store.read_series(panel_store.read_core(spark, path), "a17", "i3").count() > 0
+
+
 def test_long_horizon_survives_its_checkpoints(spark):
     from yearloom.operators import forecast
     from yearloom.plans.catalog import FORMULAS

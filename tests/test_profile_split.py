@@ -1,11 +1,12 @@
 import math
 
 import numpy as np
-from helpers import random_series, rows, wide
+from helpers import CORE_SCHEMA, random_series, rows, wide
 
 from yearloom.operators import profile, split
 from yearloom.plans import training
-from yearloom.spec import CORE_SCHEMA, IMPORTS, RATIO
+from yearloom.spec import IMPORTS, RATIO
+
 
 
 def panel(spark, seed=1, keys=60):
@@ -73,7 +74,12 @@ def test_split_is_exact_stable_and_total(spark):
     first = split.assign_split(core)
     counts = dict(rows(split.split_counts(first)))
     assert counts == {"test": math.ceil(0.2 * n), "train": n - math.ceil(0.2 * n)}
-    again = split.assign_split(core.repartition(9), small=30)
+    again = split.assign_split(core.repartition(9), gathered=30)
     assert rows(again) == rows(first)
     assert rows(split.assign_split(core, seed=7)) != rows(first)
     assert split.assign_split(core.limit(0)).count() == 0
+
+
+def test_draws_tell_keys_apart(spark):
+    df = spark.createDataFrame([("a|b", "c", 1), ("a", "b|c", 1)], "Area string, Item string, Year int")
+    assert df.select(split.row_draw()).distinct().count() == 2

@@ -58,7 +58,8 @@ def test_repeated_source_rows_interleave(spark):
 def test_rows_without_full_key_go(spark):
     frame = wide(spark, [("a", None, IMPORT, [1]), ("a", "i", IMPORT, [2])], [1])
     assert impute.interpolate_linear(reshape.unpivot_years(frame)).count() == 1
-    assert series.pack_years(frame)[0].count() == 1
+    both = wide(spark, [("a", None, IMPORT, [1]), ("a", "i", IMPORT, [2]), ("a", "i", SUPPLY, [2]), ("a", None, SUPPLY, [2])], [1])
+    assert [r["Item"] for r in series.core_rows(series.histories(both)).collect()] == ["i"]
 
 
 def test_negative_values_shape_neighbours_then_go(spark):
@@ -182,6 +183,51 @@ def test_result_is_the_same_for_any_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+VALUE = "Import Value"
+
+
+@pytest.mark.parametrize("limit", [0, 5, 1000])
+def test_elements_of_one_measure_are_filled_apart(spark, limit):
+    """Filled per element, averaged per measure, on either path."""
+    frame = wide(spark, [
+        ("a", "i", IMPORT, [1, None, 9], 0), ("a", "i", VALUE, [100, 100, 100], 1), ("a", "i", SUPPLY, [1, 1, 1], 2)], [1, 2, 3], ordinal=True)
+    hist = series.histories(frame, REPEATED, (IMPORT, VALUE, SUPPLY), rows_per_key=limit)
+    assert [r["Import_Quantity"] for r in series.core_rows(hist).orderBy("Year").collect()] == [50.5, 52.5, 54.5]
+    alone = series.histories(frame.drop("src_row"), PanelSpec(), (IMPORT, VALUE, SUPPLY))
+    assert [r["Import_Quantity"] for r in series.core_rows(alone).orderBy("Year").collect()] == [50.5, 52.5, 54.5]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_three_elements_agree_on_all_paths(spark, seed):
+    years = list(range(1990, 1998))
+    found = random_series(seed, 20, years, max_repeats=3, hot=(3, 25))
+    more = [(*s[:2], VALUE, *s[3:]) for s in random_series(seed + 10, 20, years, max_repeats=2) if s[2] == IMPORT]
+    frame = wide(spark, found + [(*s[:4], s[4] + 10_000) for s in more], years, ordinal=True)
+    elements = (IMPORT, VALUE, SUPPLY)
+    want = rows(long_core(frame, REPEATED))
+    for limit in (0, 5, 1000):
+        assert rows(series.core_rows(series.histories(frame, REPEATED, elements, rows_per_key=limit))) == want
+
+
+def test_scan_numbers_are_the_default_ordinal(spark):
+    frame = wide(spark, [
+        ("a", "i", IMPORT, [1, None, 9], 0), ("a", "i", IMPORT, [10, None, None], 1), ("a", "i", SUPPLY, [1, 1, 1], 2)], [1, 2, 3], ordinal=True)
+    core = series.core_rows(series.histories(frame)).orderBy("Year").collect()
+    assert [r["Import_Quantity"] for r in core] == [5.5, 9.5, 9]
+
+
+def test_repeated_rows_without_ordinal_are_an_error_in_the_long_path(spark):
+    frame = wide(spark, [("a", "i", IMPORT, [1, None, 9]), ("a", "i", IMPORT, [10, None, None])], [1, 2, 3])
+    with pytest.raises(Exception, match="name an ordinal"):
+        impute.interpolate_linear(reshape.unpivot_years(frame)).collect()
+
+
+def test_infinite_numbers_are_missing(spark):
+    frame = wide(spark, [("a", "i", IMPORT, [1, float("inf"), 3]), ("a", "i", SUPPLY, [1, 1, 1])], [1, 2, 3])
+    core = series.core_rows(series.histories(frame)).orderBy("Year").collect()
+    assert [r["Import_Quantity"] for r in core] == [1, 2, 3]
+
+
 def test_repeated_rows_without_ordinal_are_an_error(spark):
     frame = wide(spark, [
         ("a", "i", IMPORT, [1, 2]), ("a", "i", IMPORT, [3, 4]), ("a", "i", SUPPLY, [1, 1]),

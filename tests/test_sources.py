@@ -10,7 +10,7 @@ from yearloom.plans import training
 from yearloom.session import cut_lineage, scratch_path, shared_folder
 from yearloom.sources import panel_store
 from yearloom.sources import wide as wide_scan
-from yearloom.spec import CORE_COLUMNS, PanelSpec
+from yearloom.spec import PANEL, PanelSpec
 
 REPEATED = PanelSpec(ordinal="src_row")
 
@@ -76,6 +76,40 @@ def test_whole_run_from_csv_equals_typed_input(spark, tmp_path):
     assert training.core(scanned, REPEATED).count() == len(want)
 
 
+def test_rows_with_too_many_fields_are_an_error(spark, tmp_path):
+    path = write(tmp_path / "raw.csv", "Area,Item,Element,Y1,Y2\na,i,Import Quantity,1,2,3\nb,i,Import Quantity,1\n")
+    with pytest.raises(Exception, match="more fields than the header: 3"):
+        wide_scan.scan_wide_csv(spark, path).collect()
+    short = write(tmp_path / "short.csv", "Area,Item,Element,Y1,Y2\nb,i,Import Quantity,1\n")
+    assert [(r["Y1"], r["Y2"]) for r in wide_scan.scan_wide_csv(spark, short).collect()] == [("1", None)]
+
+
+def test_csv_panel_keeps_every_label(spark):
+    labels = ['12" pipe, steel', " b", "x ", "back\\slash", 'say "hi"', "c,d", "\ttab", "semi;colon", "two\nlines", "Côte"]
+    core = spark.createDataFrame([(a, "i", 1, 1.5, 2.0, 75.0) for a in labels],
+                                 "Area string, Item string, Year int, Import_Quantity double, Food_Supply double, Dependency_Pct double")
+    path = scratch_path(spark, "csv")
+    panel_store.write_core(core, path, "csv")
+    assert rows(panel_store.read_core(spark, path, "csv", multiline=True)) == rows(core)
+
+
+def test_years_come_from_the_data(spark, tmp_path):
+    from datetime import datetime
+
+    from yearloom.sources import derived
+
+    folder = "/root/testdata/sf0.001"
+    for name in ("lineitem", "orders", "customer", "nation", "part"):
+        frame = spark.read.parquet(f"{folder}/{name}.parquet")
+        if name == "orders":
+            first = frame.agg({"o_orderkey": "min"}).first()[0]
+            frame = frame.withColumn("o_orderdate", F.when(F.col("o_orderkey") == first, F.lit(datetime(1990, 5, 1))).otherwise(F.col("o_orderdate")))
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    years = derived.years(spark, str(tmp_path))
+    assert years[0] == 1990 and "Y1990" in derived.wide(spark, str(tmp_path)).columns
+    assert derived.years(spark, folder)[0] > 1990
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_core_panel_roundtrip(spark, fmt):
     years = range(1990, 1996)
@@ -83,7 +117,7 @@ def test_core_panel_roundtrip(spark, fmt):
     path = scratch_path(spark, "core")
     panel_store.write_core(core, path, fmt)
     back = panel_store.read_core(spark, path, fmt)
-    assert back.columns == CORE_COLUMNS
+    assert back.columns == PANEL.core
     assert rows(back) == rows(core)
     one = back.first()
     series = panel_store.read_series(back, one["Area"], one["Item"]).collect()

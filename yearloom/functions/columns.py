@@ -22,7 +22,8 @@ def missing_to_null(text: Column) -> Column:
 
 
 def nan_to_null(number: Column) -> Column:
-    return F.when(~F.isnan(number), number)
+    """What is not finite is missing, as in text."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def to_number(text: Column) -> Column:

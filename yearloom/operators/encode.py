@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from yearloom.session import cut_lineage
+from yearloom.session import cut_lineage, scratch_path
 
 # A vocabulary up to this size is ranked in one task and broadcast.
 SMALL_VOCABULARY = 1_000_000
@@ -25,12 +25,14 @@ class Vocabulary:
 def vocabulary(df: DataFrame, column: str, limit: int = SMALL_VOCABULARY) -> Vocabulary:
     """Distinct labels in sorted order, numbered from 0.
 
-    The distinct labels are persisted: the size check and the ranking share them.
+    The distinct labels are stored once: the size check and the ranking share them.
     Beyond ``limit`` labels the rank comes from a distributed sort: running
     numbers inside its partitions, stored by a reliable checkpoint so that they
     cannot change between the two uses, plus the sizes of earlier partitions.
     """
-    labels = df.select(F.col(column).alias("label")).dropna().distinct().persist()
+    path = scratch_path(df.sparkSession, "labels")
+    df.select(F.col(column).alias("label")).dropna().distinct().write.parquet(path)
+    labels = df.sparkSession.read.parquet(path)
     if labels.limit(limit + 1).count() <= limit:
         code = F.row_number().over(Window.orderBy("label")) - 1
         return Vocabulary(labels.select("label", code.cast("int").alias("code")), True)

@@ -147,7 +147,8 @@ def calendar_lags(
     """The serving features of every requested series for one year."""
     state = series_state(core, [year], requests, spec)
     columns = lag_columns(_Series("imp"), _Series("dep"), _Series("fs"), year)
-    return state.select(*spec.keys, *[c.alias(name) for name, c in columns.items()])
+    return state.select(
+        *spec.keys, *[c.alias(spec.time if name == "Year" else name) for name, c in columns.items()])
 
 
 def forecast_wide(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from yearloom.session import scratch_path
 from yearloom.sources.wide import ordinal_block
 from yearloom.spec import PANEL, PanelSpec
 
@@ -48,23 +49,26 @@ def interpolate_linear(
     key go.
 
     If (series, time) is unique, a series has at most one row per year column
-    and one window does it.  With an ordinal a series may repeat without bound:
-    those above ``series_limit`` cells (``hot``, found by a key-only count when
-    not given) take the piecewise path, all others the window.  There can be at
-    most rows/limit hot keys, hence the broadcast.  When there are none, adaptive
-    execution drops that branch before it starts.
+    and one window does it; a repeated (series, time) without an ordinal is an
+    error, as nothing orders the two.  With an ordinal a series may repeat without
+    bound: those above ``series_limit`` cells (``hot``, found by a key-only count
+    when not given, stored once) take the piecewise path, all others the window.
+    A limit of 0 sends every series through the pieces.
     """
     rows = long.dropna(subset=spec.series)
     if spec.ordinal is None:
         return _fill_whole(rows, spec)
+    if series_limit <= 0:
+        return _fill_pieces(rows, spec)
     if hot is None:
-        hot = (
-            rows.groupBy(*spec.series).count()
-            .where(F.col("count") > series_limit).select(*spec.series)
-        )
-    few = F.broadcast(hot)
-    whole = _fill_whole(rows.join(few, spec.series, "left_anti"), spec)
-    pieces = _fill_pieces(rows.join(few, spec.series, "left_semi"), spec)
+        path = scratch_path(rows.sparkSession, "long-series")
+        rows.groupBy(*spec.series).count().where(
+            F.col("count") > series_limit).select(*spec.series).write.parquet(path)
+        hot = rows.sparkSession.read.parquet(path)
+    if hot.isEmpty():
+        return _fill_whole(rows, spec)
+    whole = _fill_whole(rows.join(hot, spec.series, "left_anti"), spec)
+    pieces = _fill_pieces(rows.join(hot, spec.series, "left_semi"), spec)
     return whole.unionByName(pieces)
 
 
@@ -73,6 +77,10 @@ def _fill_whole(rows: DataFrame, spec: PanelSpec) -> DataFrame:
     value, at = F.col(spec.value), F.col("_at")
     placed = rows.withColumn("_at", F.row_number().over(series.orderBy(*order)))
     filled = F.coalesce(value, _line(at, _nearest(at, value, series, order)))
+    if spec.ordinal is None:
+        repeated = F.lag(spec.time).over(series.orderBy(*order)) == F.col(spec.time)
+        error = F.raise_error(F.lit("a series has several source rows: name an ordinal")).cast("double")
+        filled = F.when(repeated, error).otherwise(filled)
     return placed.withColumn(spec.value, filled).select(*rows.columns)
 
 

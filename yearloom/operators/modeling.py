@@ -43,10 +43,10 @@ class Fitted:
         return f"{self.algo}_{self.target}"
 
 
-def assemble(features: DataFrame) -> DataFrame:
+def assemble(features: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """Codes stay plain numbers: they carry no nominal metadata, so trees split
     them by order and their number is not limited by the bins."""
-    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features)
+    return VectorAssembler(inputCols=spec.features, outputCol="features").transform(features)
 
 
 def random_forest(label: str, params: dict = RF_PARAMS) -> RandomForestRegressor:
@@ -174,10 +174,10 @@ def model_table(spark: SparkSession, fitted: list[Fitted]) -> DataFrame:
     )
 
 
-def gram(train: DataFrame, label: str = IMPORTS) -> DataFrame:
+def gram(train: DataFrame, label: str = IMPORTS, spec: PanelSpec = PANEL) -> DataFrame:
     """Centred mean cross-products of features and label in one aggregation: with
     the row count, all that a ridge solution needs however many rows there are."""
-    columns = [*FEATURES, label]
+    columns = [*spec.features, label]
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     sums = train.agg(
         *[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearloom.functions.columns import clip_upper, round_to
-from yearloom.functions.order_stats import SMALL, exact_quantiles
+from yearloom.functions.order_stats import GATHERED, exact_quantiles
 from yearloom.spec import ENGINEERED, FEATURES, IMPORTS, PANEL, RATIO, PanelSpec
 
 
@@ -26,12 +26,14 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
 def dataset_info(core: DataFrame, training: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """One row on the core panel and on the split feature panel (column ``split``)."""
     area, item = spec.keys
-    before = core.agg(
-        F.count("*").alias("total_rows"),
+    pairs = core.groupBy(area, item).agg(
+        F.count("*").alias("n"), F.min(spec.time).alias("first"), F.max(spec.time).alias("last"))
+    before = pairs.agg(  # distinct counts over one row per series, not over the panel
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.count_distinct(area).alias("n_countries"),
         F.count_distinct(item).alias("n_items"),
-        F.min(spec.time).alias("year_min"),
-        F.max(spec.time).alias("year_max"),
+        F.min("first").alias("year_min"),
+        F.max("last").alias("year_max"),
     )
     after = training.agg(
         F.struct(
@@ -47,10 +49,10 @@ def dataset_info(core: DataFrame, training: DataFrame, spec: PanelSpec = PANEL)
     )
 
 
-def measure_stats(core: DataFrame, small: int = SMALL) -> DataFrame:
+def measure_stats(core: DataFrame, gathered: int = GATHERED) -> DataFrame:
     """Mean, exact median and maximum of imports and of the ratio."""
     columns = [IMPORTS, RATIO]
-    medians = exact_quantiles(core, {c: [0.5] for c in columns}, small)
+    medians = exact_quantiles(core, {c: [0.5] for c in columns}, gathered)
     stats = core.agg(*[
         f(c).alias(f"{name}_{c}") for c in columns for name, f in (("mean", F.avg), ("max", F.max))
     ])
@@ -87,8 +89,8 @@ def code_ranges(features: DataFrame) -> DataFrame:
     )
 
 
-def upper_quantile(df: DataFrame, column: str, probability: float, small: int = SMALL):
-    return exact_quantiles(df, {column: [probability]}, small)[column][0]
+def upper_quantile(df: DataFrame, column: str, probability: float, gathered: int = GATHERED):
+    return exact_quantiles(df, {column: [probability]}, gathered)[column][0]
 
 
 def histogram(

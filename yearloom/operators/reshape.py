@@ -32,8 +32,15 @@ def unpivot_years(wide: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     })
 
 
-def measure_name(kind: Column) -> Column:
+def measure_of(element: str) -> str | None:
     """The measure an element text stands for, by what it contains."""
+    if "Import" in element:
+        return IMPORTS
+    return SUPPLY if "Food supply" in element or "Food Supply" in element else None
+
+
+def measure_name(kind: Column) -> Column:
+    """`measure_of` of a column."""
     return (
         F.when(kind.contains("Import"), IMPORTS)
         .when(kind.contains("Food supply") | kind.contains("Food Supply"), SUPPLY)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from yearloom.functions.columns import clip_upper, ratio_pct
 from yearloom.operators import impute, panel, reshape
+from yearloom.session import scratch_path
 from yearloom.sources.wide import year_columns
 from yearloom.spec import (
     ELEMENTS, IMPORTS, LAGS, PANEL, RATIO, RATIO_CAP, ROLLING, SUPPLY, PanelSpec,
@@ -26,15 +27,9 @@ from yearloom.spec import (
 ROWS_PER_KEY = 1_000
 
 
-def pack_years(wide: DataFrame, spec: PanelSpec = PANEL) -> tuple[DataFrame, list[int]]:
-    """Year columns as one array in year order; returns the years as well."""
-    named = sorted((int(c.replace("Y", "")), c) for c in year_columns(wide.columns))
-    extra = [] if spec.ordinal is None else [spec.ordinal]
-    packed = wide.dropna(subset=spec.series).select(
-        *spec.series, *extra,
-        F.array(*[reshape.number(wide, c) for _, c in named]).alias("_cells"),
-    )
-    return packed, [year for year, _ in named]
+def _years(wide: DataFrame) -> list[tuple[int, str]]:
+    """Year columns in year order."""
+    return sorted((int(c.replace("Y", "")), c) for c in year_columns(wide.columns))
 
 
 def _points(cells: Column) -> Column:
@@ -75,76 +70,100 @@ def _interleaved(rows: Column, years: int) -> Column:
     )
 
 
-def _yearly_mean(cells: Column, rows: Column, years: int) -> Column:
-    """Per year the mean of the non-negative cells, NULL where there is none."""
-    repeats = F.size(rows)
-
+def _yearly_mean(parts: list[tuple[Column, Column]], years: int) -> Column:
+    """Per year the mean of the non-negative cells of all parts (filled cells and
+    source rows), NULL where there is none."""
     def mean(y: Column) -> Column:
-        kept = F.filter(F.slice(cells, y * repeats + 1, repeats), lambda v: v >= 0)
+        cells = [F.slice(filled, y * F.size(rows) + 1, F.size(rows)) for filled, rows in parts]
+        kept = F.filter(F.concat(*cells), lambda v: v >= 0)
         total = F.aggregate(kept, F.lit(0.0), lambda a, v: a + v)
         return F.try_divide(total, F.size(kept))
 
-    return F.when(
-        repeats == 1, F.transform(cells, lambda v: F.when(v >= 0, v))
-    ).otherwise(F.transform(F.sequence(F.lit(0), F.lit(years - 1)), mean))
+    several = F.transform(F.sequence(F.lit(0), F.lit(years - 1)), mean)
+    if len(parts) > 1:
+        return several
+    filled, rows = parts[0]
+    return F.when(F.size(rows) == 1, F.transform(filled, lambda v: F.when(v >= 0, v))).otherwise(several)
 
 
 def frequent_keys(wide: DataFrame, spec: PanelSpec, rows_per_key: int) -> DataFrame:
-    """Keys with too many source rows; reads key columns only, and can return at
-    most rows/limit of them."""
-    return (
+    """Keys with too many source rows; reads key columns only.  Stored, so that
+    counting happens once however often the list is used."""
+    spark = wide.sparkSession
+    path = scratch_path(spark, "frequent-keys")
+    (
         wide.dropna(subset=spec.series).groupBy(*spec.keys).count()
         .where(F.col("count") > rows_per_key).select(*spec.keys)
-    )
+    ).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _unique_rows(packed: DataFrame, spec: PanelSpec) -> DataFrame:
-    """The one source row of each measure per key.  A second one is an error, not
-    a longer list: without an ordinal nothing says how to order the two."""
-    measure = reshape.measure_name(F.col(spec.kind))
-    sides = {"_a": measure == IMPORTS, "_b": measure == SUPPLY}
-    found = packed.groupBy(*spec.keys).agg(
-        *[F.any_value(F.when(is_side, F.col("_cells")), True).alias(s) for s, is_side in sides.items()],
-        F.greatest(*[F.count_if(is_side) for is_side in sides.values()]).alias("_n"),
-    ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    repeated = F.raise_error(F.lit("a series has several source rows: name an ordinal"))
-    return found.select(
-        *spec.keys,
-        *[F.array(F.struct(F.when(F.col("_n") > 1, repeated).otherwise(F.col(s)).alias("_cells"))).alias(s)
-          for s in sides],
+def _unique_rows(wide: DataFrame, spec: PanelSpec, elements: tuple[str, ...]) -> DataFrame:
+    """The one source row of each element per key, as a list of one.  A second one
+    is an error, not a longer list: without an ordinal nothing says how to order
+    the two.
+
+    Rows move once, as they are; the cells are gathered as plain doubles, which a
+    hash aggregate can do without sorting, and become arrays afterwards.
+    """
+    years = [c for _, c in _years(wide)]
+    kind = F.col(spec.kind)
+    numbers = wide.dropna(subset=spec.series).select(
+        *spec.series, *[reshape.number(wide, c).alias(c) for c in years])
+    found = numbers.repartition(*spec.keys).groupBy(*spec.keys).agg(
+        *[F.max(F.when(kind == e, F.col(c))).alias(f"_{i}{c}") for i, e in enumerate(elements) for c in years],
+        *[F.count_if(kind == e).alias(f"_{i}n") for i, e in enumerate(elements)],
     )
+    repeated = F.raise_error(F.lit("a series has several source rows: name an ordinal"))
+    empty = F.array().cast("array<struct<_cells: array<double>>>")
+    return found.select(*spec.keys, *[
+        F.when(F.col(f"_{i}n") > 1, repeated.cast("array<struct<_cells: array<double>>>"))
+        .when(F.col(f"_{i}n") == 1, F.array(F.struct(F.array(*[F.col(f"_{i}{c}") for c in years]).alias("_cells"))))
+        .otherwise(empty).alias(f"_r{i}")
+        for i in range(len(elements))
+    ])
 
 
-def _listed_rows(packed: DataFrame, spec: PanelSpec) -> DataFrame:
-    """All source rows of each measure per key, in source order; the caller has
+def _listed_rows(wide: DataFrame, spec: PanelSpec, elements: tuple[str, ...]) -> DataFrame:
+    """All source rows of each element per key, in source order; the caller has
     taken out keys with too many."""
-    row = F.struct(F.col(spec.ordinal).alias("_rank"), F.col("_cells"))
-    measure = reshape.measure_name(F.col(spec.kind))
-    return packed.groupBy(*spec.keys).agg(
-        F.array_sort(F.collect_list(F.when(measure == IMPORTS, row))).alias("_a"),
-        F.array_sort(F.collect_list(F.when(measure == SUPPLY, row))).alias("_b"),
-    ).where((F.size("_a") > 0) & (F.size("_b") > 0))
+    packed = wide.dropna(subset=spec.series).select(
+        *spec.series, F.struct(
+            F.col(spec.ordinal).alias("_rank"),
+            F.array(*[reshape.number(wide, c) for _, c in _years(wide)]).alias("_cells"),
+        ).alias("_row"))
+    return packed.groupBy(*spec.keys).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col(spec.kind) == e, F.col("_row")))).alias(f"_r{i}")
+        for i, e in enumerate(elements)
+    ])
 
 
-def _histories(wide: DataFrame, spec: PanelSpec) -> DataFrame:
-    """One row per key with ``history``: the core rows of that key in year order."""
-    packed, years = pack_years(wide, spec)
+def _histories(wide: DataFrame, spec: PanelSpec, elements: tuple[str, ...]) -> DataFrame:
+    """One row per key with ``history``: the core rows of that key in year order.
+
+    Gaps are filled element by element; elements that stand for the same measure
+    meet in its yearly mean.
+    """
+    years = [year for year, _ in _years(wide)]
+    sides = {m: [i for i, e in enumerate(elements) if reshape.measure_of(e) == m] for m in (IMPORTS, SUPPLY)}
     gather = _unique_rows if spec.ordinal is None else _listed_rows
-    together = gather(packed, spec)
-    span = len(years)
-    cells = together.withColumns({
-        f"{s}c": _interleaved(F.col(s), span) for s in ("_a", "_b")
-    })
-    points = cells.withColumns({f"{s}p": _points(F.col(f"{s}c")) for s in ("_a", "_b")})
-    filled = points.withColumns({
-        f"{s}f": _filled(F.col(f"{s}c"), F.col(f"{s}p")) for s in ("_a", "_b")
-    })
+    together = gather(wide, spec, elements)
+    for chosen in sides.values():
+        sizes = [F.size(f"_r{i}") for i in chosen] or [F.lit(0)]
+        together = together.where(sum(sizes[1:], sizes[0]) > 0)
+    span, used = len(years), [i for chosen in sides.values() for i in chosen]
+    cells = together.withColumns({f"_c{i}": _interleaved(F.col(f"_r{i}"), span) for i in used})
+    points = cells.withColumns({f"_p{i}": _points(F.col(f"_c{i}")) for i in used})
+    filled = points.withColumns({f"_f{i}": _filled(F.col(f"_c{i}"), F.col(f"_p{i}")) for i in used})
+
+    def mean(measure: str) -> Column:
+        parts = [(F.col(f"_f{i}"), F.col(f"_r{i}")) for i in sides[measure]]
+        return _yearly_mean(parts, span) if parts else F.array_repeat(F.lit(None).cast("double"), span)
+
     means = filled.select(
         *spec.keys,
         F.arrays_zip(
-            F.array(*map(F.lit, years)).alias("t"),
-            _yearly_mean(F.col("_af"), F.col("_a"), span).alias("a"),
-            _yearly_mean(F.col("_bf"), F.col("_b"), span).alias("b"),
+            F.array(*map(F.lit, years)).alias("t"), mean(IMPORTS).alias("a"), mean(SUPPLY).alias("b"),
         ).alias("_z"),
     )
     kept = F.filter("_z", lambda z: z["a"].isNotNull() & (z["b"] > 0))
@@ -170,16 +189,20 @@ def histories(
     """Core rows of every key as ``history: array<struct<time, imports, supply,
     ratio>>``, in year order and one entry per year.
 
-    Keys repeated in more than ``rows_per_key`` source rows are built by the long
-    operators and gathered after the per-year mean, when they too have at most
-    one row per year.
+    Rows are numbered by the spec's ordinal or the scan's own.  Keys repeated in
+    more than ``rows_per_key`` source rows, found by one count of the keys, are
+    built by the long operators and gathered after the per-year mean, when they
+    too have at most one row per year; both ways give the same rows.
     """
+    spec = spec.numbered(wide.columns)
     rows = wide.where(F.col(spec.kind).isin(*elements))
     if spec.ordinal is None:
-        return _histories(rows, spec)
-    many = F.broadcast(frequent_keys(rows, spec, rows_per_key))
+        return _histories(rows, spec, elements)
+    many = frequent_keys(rows, spec, rows_per_key)
+    if many.isEmpty():
+        return _histories(rows, spec, elements)
     keys = list(spec.keys)
-    usual = _histories(rows.join(many, keys, "left_anti"), spec)
+    usual = _histories(rows.join(many, keys, "left_anti"), spec, elements)
     core = _long_core(rows.join(many, keys, "left_semi"), spec)
     entry = F.struct(spec.time, IMPORTS, SUPPLY, RATIO)
     large = core.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("history"))

@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.functions.columns import round_to, to_number
 from yearloom.operators import (
-    evaluate, features, forecast, impute, modeling, panel, profile, reshape, split,
+    evaluate, features, forecast, impute, modeling, panel, profile, reshape, series, split,
 )
 from yearloom.plans import serving, training
 from yearloom.session import scratch_path
 from yearloom.sources import derived, metrics_store, panel_store
 from yearloom.sources import wide as wide_scan
 from yearloom.spec import (
-    ENGINEERED, IMPORTS, RATIO, SUPPLY, PanelSpec,
+    ELEMENTS, ENGINEERED, IMPORTS, RATIO, SUPPLY, PanelSpec,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 REPEATED = PanelSpec(ordinal="src_row")
-FIRST_YEAR = derived.YEARS[-1] + 1
-HORIZON = [FIRST_YEAR, FIRST_YEAR + 1, FIRST_YEAR + 2]
-LAST_LAG_YEAR = 2000
-NAIVE_CAP = 0.0
+# Years forecast beyond the last one of the data.
+AHEAD = 3
+# Name of the third element where it stands for the first measure too.
+SECOND_IMPORT = "Import Value"
 
 # Fixed formulas for the forecast queries that have a SQL counterpart.
 FORMULAS = forecast.LinearScorer(
@@ -34,8 +35,33 @@ FORMULAS = forecast.LinearScorer(
 )
 
 
+# Three formulas side by side, as three algorithms would be.
+FORMULA_SETS = {
+    "plain": FORMULAS,
+    "steady": forecast.LinearScorer(
+        imports=(0.0, [0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]),
+        ratio=(0.0, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0])),
+    "mean": forecast.LinearScorer(
+        imports=(1.0, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.75, 0.0]),
+        ratio=(2.0, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.5, 0.25, 0.0, 0.125])),
+}
+
+
 # --- shared steps -------------------------------------------------------------
 
+def horizon(spark: SparkSession, folder: str) -> list[int]:
+    """The years after the last one with an order."""
+    last = derived.years(spark, folder)[-1]
+    return [last + k for k in range(1, AHEAD + 1)]
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """For what several jobs read: a table in the shared folder, nothing in memory."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _selected(spark: SparkSession, folder: str, **how) -> DataFrame:
     """Filtered and projected wide rows."""
     raw = derived.wide(spark, folder, **how)
@@ -55,7 +81,7 @@ def _core(spark: SparkSession, folder: str, **how) -> DataFrame:
 
 def _kept_core(spark: SparkSession, folder: str) -> DataFrame:
     """For operators that read the panel several times."""
-    return _core(spark, folder).persist()
+    return _stored(_core(spark, folder), "core")
 
 
 def _prepared(spark: SparkSession, folder: str) -> training.Prepared:
@@ -64,8 +90,7 @@ def _prepared(spark: SparkSession, folder: str) -> training.Prepared:
 
 def _assigned(spark: SparkSession, folder: str) -> DataFrame:
     """Feature rows without codes, split."""
-    rows = training.engineered_rows(derived.wide(spark, folder)).persist()
-    return split.assign_split(rows)
+    return split.assign_split(_stored(training.engineered_rows(derived.wide(spark, folder)), "features"))
 
 
 def _at(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -90,16 +115,28 @@ def core_roundtrip(spark, folder):
 
 
 def stage_counts(spark, folder):
-    raw = derived.wide(spark, folder)
+    """Every stage starts from the stored wide rows; core and features share the
+    stored histories."""
+    raw = _stored(derived.wide(spark, folder), "wide")
+    hist = _stored(series.histories(raw), "histories")
     selected = wide_scan.select_years(wide_scan.filter_elements(raw))
     long = reshape.unpivot_years(selected)
     clean = impute.clean_long(impute.interpolate_linear(long))
     return profile.stage_counts({
         "raw": raw, "selected": selected, "long": long, "clean": clean,
-        "core": training.core(raw), "features": training.engineered_rows(raw),
+        "core": series.core_rows(hist), "features": series.lagged_rows(hist),
     }).select("stage", "row_count")
 
 
+def scan_csv(spark, folder):
+    """The wide table through a text file in the source's encoding and back."""
+    path = scratch_path(spark, "wide-csv")
+    derived.wide(spark, folder).write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    raw = wide_scan.select_years(wide_scan.scan_wide_csv(spark, path))
+    years = wide_scan.year_columns(raw.columns)
+    return raw.withColumns({c: to_number(F.col(c)) for c in years})
+
+
 # --- reshape and clean --------------------------------------------------------
 
 def unpivot_years(spark, folder):
@@ -153,6 +190,13 @@ def core_panel_repeated(spark, folder):
     return _at(core, 4, IMPORTS, SUPPLY, RATIO)
 
 
+def core_panel_elements(spark, folder):
+    """Two elements that stand for one measure: filled apart, averaged together."""
+    raw = derived.wide(spark, folder, repeated=True, signed=True, other=SECOND_IMPORT)
+    core = training.core(raw, REPEATED, (*ELEMENTS, SECOND_IMPORT))
+    return _at(core, 4, IMPORTS, SUPPLY, RATIO)
+
+
 def core_panel_long(spark, folder):
     """The same from the long operators."""
     return _at(panel.core_panel(_measures(spark, folder)), 4, IMPORTS, SUPPLY, RATIO)
@@ -194,7 +238,7 @@ def feature_panel_long(spark, folder):
 def calendar_lags(spark, folder):
     """For every pair of the raw table, with or without history."""
     raw = derived.wide(spark, folder)
-    frame = forecast.calendar_lags(training.core(raw), LAST_LAG_YEAR, raw)
+    frame = forecast.calendar_lags(training.core(raw), derived.years(spark, folder)[-1] - 1, raw)
     return _at(frame, 4, *ENGINEERED)
 
 
@@ -250,6 +294,11 @@ def series_lookup(spark, folder):
 
 
 def history_tail(spark, folder):
+    return profile.history_tail(_core(spark, folder))
+
+
+def history_tail_short(spark, folder):
+    """Fewer years than most series have."""
     return profile.history_tail(_core(spark, folder), rows=4)
 
 
@@ -264,7 +313,7 @@ def split_counts(spark, folder):
 
 
 def ridge_gram(spark, folder):
-    rows = _prepared(spark, folder).features.persist()
+    rows = _stored(_prepared(spark, folder).features, "features")
     train = split.assign_split(rows).where("split = 'train'")
     return _at(modeling.gram(train), 3, "cross_product")
 
@@ -290,48 +339,35 @@ def metric_best_flags(spark, folder):
 
 
 def r2_cap_flag(spark, folder):
-    return evaluate.over_cap(_naive(spark, folder), cap=NAIVE_CAP)
-
-
-_KEPT: dict[tuple, object] = {}
+    """Which models the sanity cap reports."""
+    metrics = _naive(spark, folder).select("model", "target", "r2_test")
+    over = evaluate.over_cap(metrics).select("model", "target", F.lit(True).alias("over"))
+    joined = metrics.join(over, ["model", "target"], "left")
+    return joined.select("model", "target", "r2_test", F.coalesce("over", F.lit(False)).alias("over_cap"))
 
 
-def _once(spark, folder, what, make):
-    """Fits take long: each is made once per application and folder."""
-    key = (spark.sparkContext.applicationId, folder, what)
-    if key not in _KEPT:
-        _KEPT[key] = make()
-    return _KEPT[key]
+@dataclass(frozen=True)
+class _Fits:
+    prepared: training.Prepared
+    split: DataFrame
+    rows: DataFrame
+    fitted: list[modeling.Fitted]
 
 
-def _inputs(spark, folder) -> tuple[training.Prepared, DataFrame, DataFrame]:
-    """Prepared panel, stored features, assembled rows."""
-    def make():
-        prepared = _prepared(spark, folder)
-        path = scratch_path(spark, "features")
-        prepared.features.write.parquet(path)
-        stored = spark.read.parquet(path)
-        return prepared, stored, training.model_rows(stored)
-
-    return _once(spark, folder, "inputs", make)
-
-
-def _fitted(spark, folder, algorithms=modeling.ALGORITHMS) -> list[modeling.Fitted]:
-    train = _inputs(spark, folder)[2].where("split = 'train'")
-    return [
-        fitted for algo in algorithms
-        for fitted in _once(spark, folder, algo, lambda: modeling.fit_all(train, [algo]))
-    ]
-
-
-def _metrics(spark, folder) -> DataFrame:
-    rows = _inputs(spark, folder)[2]
-    return _once(spark, folder, "metrics", lambda: training.score(rows, _fitted(spark, folder)))
+def _fits(spark, folder, algorithms=modeling.ALGORITHMS) -> _Fits:
+    """Fits on the stored split feature rows; the rows are held in memory only
+    while the fits read them."""
+    prepared = _prepared(spark, folder)
+    stored = _stored(split.assign_split(_stored(prepared.features, "features")), "split")
+    held = training.model_rows(stored)
+    fitted = modeling.fit_all(held.where("split = 'train'"), algorithms)
+    held.unpersist()
+    return _Fits(prepared, stored, modeling.assemble(stored), fitted)
 
 
 def _scores(spark, folder, algo):
-    rows = _inputs(spark, folder)[2]
-    return modeling.predictions_long(rows, _fitted(spark, folder, [algo]))
+    fits = _fits(spark, folder, [algo])
+    return modeling.predictions_long(fits.rows, fits.fitted)
 
 
 def rf_scores(spark, folder):
@@ -346,21 +382,36 @@ def ridge_scores(spark, folder):
     return _scores(spark, folder, "ridge")
 
 
+def _score_counts(scores: DataFrame) -> DataFrame:
+    """What of a scoring does not depend on the fit: rows and labels."""
+    return scores.groupBy("model", "target", "split").agg(
+        F.count("p").alias("row_count"), round_to(F.sum("y"), 2).alias("label_sum"))
+
+
+def rf_score_counts(spark, folder):
+    return _score_counts(rf_scores(spark, folder))
+
+
+def ridge_score_counts(spark, folder):
+    return _score_counts(ridge_scores(spark, folder))
+
+
 def importance_rank(spark, folder):
-    return modeling.importances(spark, _fitted(spark, folder))
+    return modeling.importances(spark, _fits(spark, folder).fitted)
 
 
 def model_comparison(spark, folder):
-    return _metrics(spark, folder).drop("train_time_sec")
+    fits = _fits(spark, folder)
+    return training.score(fits.rows, fits.fitted).drop("train_time_sec")
 
 
 def metrics_document(spark, folder):
-    prepared, _, rows = _inputs(spark, folder)
-    metrics = _metrics(spark, folder)
+    fits = _fits(spark, folder)
+    metrics = training.score(fits.rows, fits.fitted)
     path = scratch_path(spark, "metrics")
     metrics_store.write_metrics(
-        path, profile.dataset_info(prepared.core, rows), metrics,
-        modeling.importances(spark, _fitted(spark, folder)), evaluate.best_model(metrics),
+        path, profile.dataset_info(fits.prepared.core, fits.split), metrics,
+        modeling.importances(spark, fits.fitted), evaluate.best_model(metrics),
     )
     document = metrics_store.read_metrics(spark, path)
     return metrics_store.model_rows(document).drop("train_time_sec")
@@ -380,39 +431,59 @@ def _forecast(spark, folder, years):
 
 def point_forecast(spark, folder):
     """One year beyond a gap: nothing is fed back."""
-    return _forecast(spark, folder, [HORIZON[-1]])[1].drop("algo")
+    return _forecast(spark, folder, horizon(spark, folder)[-1:])[1].drop("algo")
 
 
 def recursive_forecast(spark, folder):
-    return _forecast(spark, folder, HORIZON)[1].drop("algo")
+    return _forecast(spark, folder, horizon(spark, folder))[1].drop("algo")
+
+
+def requested_forecast(spark, folder):
+    """Every known area with every known item: pairs without history start from zeros."""
+    years = horizon(spark, folder)
+    p = _prepared(spark, folder)
+    raw = derived.wide(spark, folder).select("Area", "Item").distinct()
+    known = raw.join(p.areas.table.select(F.col("label").alias("Area")), "Area").join(
+        p.items.table.select(F.col("label").alias("Item")), "Item")
+    state = serving.coded_state(p.core, p.areas, p.items, years, known)
+    return forecast.forecast(state, years, {"fixed": FORMULAS}).drop("algo")
 
 
 def trend_series(spark, folder):
-    core, future = _forecast(spark, folder, HORIZON)
+    core, future = _forecast(spark, folder, horizon(spark, folder))
     return forecast.trend_series(core, future)
 
 
+def formula_compare(spark, folder):
+    """Three fixed formulas side by side."""
+    years = horizon(spark, folder)
+    _, state = _state(spark, folder, years)
+    return forecast.forecast_compare(state, years, FORMULA_SETS)
+
+
 def forecast_compare(spark, folder):
-    p, _, _ = _inputs(spark, folder)
-    state = serving.coded_state(p.core, p.areas, p.items, HORIZON)
-    return forecast.forecast_compare(state, HORIZON, forecast.scorers(_fitted(spark, folder)))
+    years = horizon(spark, folder)
+    fits = _fits(spark, folder)
+    p = fits.prepared
+    state = serving.coded_state(p.core, p.areas, p.items, years)
+    return forecast.forecast_compare(state, years, forecast.scorers(fits.fitted))
 
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        scan_wide, filter_elements, core_roundtrip, stage_counts,
+        scan_wide, scan_csv, filter_elements, core_roundtrip, stage_counts,
         unpivot_years, coerce_numeric, interpolate_linear, interpolate_repeated,
         interpolate_pieces, clean_long, pivot_measures, core_panel, core_panel_repeated,
-        core_panel_long,
+        core_panel_elements, core_panel_long,
         lag_features, rolling_mean, label_encode, code_ranges, feature_panel,
         feature_panel_long, calendar_lags, calendar_panel, feature_non_null, lag_drop_counts,
         dataset_info, measure_stats, winsor_hist, ratio_hist, vocabulary, series_lookup,
-        history_tail,
+        history_tail, history_tail_short,
         split_assign, split_counts, ridge_gram, eval_metrics, best_model, metric_best_flags,
         r2_cap_flag,
-        point_forecast, recursive_forecast, trend_series,
-        rf_scores, gbt_scores, ridge_scores, importance_rank, model_comparison,
+        point_forecast, recursive_forecast, requested_forecast, trend_series, formula_compare,
+        rf_scores, gbt_scores, ridge_scores, rf_score_counts, ridge_score_counts, importance_rank, model_comparison,
         metrics_document, forecast_compare,
     )
 }

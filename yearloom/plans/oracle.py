@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from yearloom.plans.catalog import FORMULAS, HORIZON, LAST_LAG_YEAR, NAIVE_CAP
-from yearloom.sources.derived import YEARS
-from yearloom.spec import ELEMENTS, ENGINEERED, FEATURES
+from yearloom.plans.catalog import AHEAD, FORMULA_SETS, FORMULAS, SECOND_IMPORT
+from yearloom.spec import ELEMENTS, ENGINEERED, FEATURES, R2_CAP
 
 CORE_VALUES = ["Import_Quantity", "Food_Supply", "Dependency_Pct"]
 
@@ -18,7 +17,11 @@ def _rounded(columns: list[str], digits: int = 4) -> str:
     return ", ".join(f"{_r(c, digits)} AS {c}" for c in columns)
 
 
+# The years of the data, found by the SQL itself; the last of them.
+_LAST = "(SELECT max(yr) FROM span)"
+
 _TRADE = f"""
+span AS (SELECT DISTINCT year(o_orderdate) AS yr FROM orders WHERE o_orderdate IS NOT NULL),
 trade AS (
   SELECT n_name AS Area, p_brand || '/' || p_type AS Item,
          CASE l_returnflag WHEN 'N' THEN '{ELEMENTS[0]}' WHEN 'R' THEN '{ELEMENTS[1]}'
@@ -29,20 +32,25 @@ trade AS (
   JOIN part ON l_partkey = p_partkey)"""
 
 
-def _wide(signed: bool, repeated: bool) -> str:
+def _wide(signed: bool, repeated: bool, other: str = "") -> str:
+    """The series, and the grid of their cells."""
     q = "CASE WHEN l_linestatus = 'F' THEN -l_quantity ELSE l_quantity END" if signed else "l_quantity"
     row = "CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END::BIGINT" if repeated else "0::BIGINT"
-    years = ", ".join(f"sum(CASE WHEN yr = {y} THEN {q} END) AS Y{y}" for y in YEARS)
+    kept = ", ".join(f"'{e}'" for e in (*ELEMENTS, *([other] if other else [])))
+    named = f"CASE WHEN Element = 'Production' THEN '{other}' ELSE Element END" if other else "Element"
     return f"""
-wide AS (
-  SELECT Area, Item, Element, {row} AS src_row, {years} FROM trade GROUP BY 1, 2, 3, 4),
-selected AS (SELECT * FROM wide WHERE Element IN ('{ELEMENTS[0]}', '{ELEMENTS[1]}'))"""
+cells AS (
+  SELECT Area, Item, {named} AS Element, {row} AS src_row, yr, sum({q}) AS Value FROM trade GROUP BY 1, 2, 3, 4, 5),
+wide AS (SELECT DISTINCT Area, Item, Element, src_row FROM cells),
+selected AS (SELECT * FROM wide WHERE Element IN ({kept}))"""
 
 
-_LONG = f"""
+_LONG = """
 long AS (
-  SELECT Area, Item, Element, src_row, CAST(replace(yname, 'Y', '') AS INTEGER) AS Year, Value
-  FROM selected UNPIVOT INCLUDE NULLS (Value FOR yname IN ({', '.join(f'Y{y}' for y in YEARS)})))"""
+  SELECT s.Area, s.Item, s.Element, s.src_row, CAST(g.yr AS INTEGER) AS Year, c.Value
+  FROM selected s CROSS JOIN span g
+  LEFT JOIN cells c ON c.Area = s.Area AND c.Item = s.Item AND c.Element = s.Element
+    AND c.src_row = s.src_row AND c.yr = g.yr)"""
 
 _FILLED = """
 placed AS (
@@ -98,7 +106,7 @@ features AS (
 
 _SPLIT = """
 drawn AS (
-  SELECT *, ('0x' || substr(md5('42|' || Area || '|' || Item || '|' || Year), 1, 15))::BIGINT AS draw
+  SELECT *, ('0x' || substr(md5('42|' || length(Area) || ':' || Area || '|' || length(Item) || ':' || Item || '|' || length(Year::VARCHAR) || ':' || Year), 1, 15))::BIGINT AS draw
   FROM features),
 assigned AS (
   SELECT *, CASE WHEN row_number() OVER (ORDER BY draw) <= ceil(0.2::DOUBLE * count(*) OVER ())
@@ -130,13 +138,10 @@ def _linear(part: tuple[float, list[float]]) -> str:
     return total
 
 
-_IMP, _DEP = _linear(FORMULAS.imports), _linear(FORMULAS.ratio)
-
-
-def _state(year: int) -> str:
+def _state(year: str) -> str:
     """One row per series: values of the three years before ``year``."""
     at = {
-        f"{s}{k}": f"max(CASE WHEN Year = {year - k} THEN {c} END)"
+        f"{s}{k}": f"max(CASE WHEN Year = {year} - {k} THEN {c} END)"
         for s, c, ks in (("i", "Import_Quantity", (1, 2, 3)), ("d", "Dependency_Pct", (1, 2)),
                          ("f", "Food_Supply", (1,)))
         for k in ks
@@ -149,20 +154,21 @@ state AS (
 coded AS (SELECT state.*, Area_enc, Item_enc FROM state JOIN areas USING (Area) JOIN items USING (Item))"""
 
 
-def _steps(start: int, count: int) -> str:
+def _steps(start: str, count: int, formula=FORMULAS, name: str = "") -> str:
     """Each round turns one state row per series into the next year's."""
+    imp, dep = _linear(formula.imports), _linear(formula.ratio)
     shown = """Area_enc, Item_enc, Year, i1 AS Import_Lag1, i2 AS Import_Lag2, i3 AS Import_Lag3,
       d1 AS Dep_Lag1, d2 AS Dep_Lag2, (i1 + i2 + i3) / 3 AS Import_RollingMean3, f1 AS FoodSupply_Lag1"""
-    return f"""{_state(start)},
-steps AS (
-  SELECT Area, Item, Area_enc, Item_enc, {start - 1} AS Year,
+    return f"""
+steps{name} AS (
+  SELECT Area, Item, Area_enc, Item_enc, ({start} - 1)::INTEGER AS Year,
          i1, i2, i3, d1, d2, f1 FROM coded
   UNION ALL
   SELECT Area, Item, Area_enc, Item_enc, Year,
-         {_r(_IMP, 2)} AS i1, Import_Lag1, Import_Lag2, {_r(_DEP, 2)} AS d1, Dep_Lag1, FoodSupply_Lag1
-  FROM (SELECT Area, Item, {shown.replace('Year,', 'Year + 1 AS Year,', 1)} FROM steps
-        WHERE Year < {start + count - 1})),
-future AS (SELECT Area, Item, Year, i1 AS imp, d1 AS dep FROM steps WHERE Year >= {start})"""
+         {_r(imp, 2)} AS i1, Import_Lag1, Import_Lag2, {_r(dep, 2)} AS d1, Dep_Lag1, FoodSupply_Lag1
+  FROM (SELECT Area, Item, {shown.replace('Year,', 'Year + 1 AS Year,', 1)} FROM steps{name}
+        WHERE Year < {start} + {count} - 1)),
+future{name} AS (SELECT Area, Item, Year, i1 AS imp, d1 AS dep FROM steps{name} WHERE Year >= {start})"""
 
 
 _PLAIN = [_TRADE, _wide(False, False), _LONG, _FILLED, _CORE]
@@ -196,9 +202,24 @@ SELECT bin, {_r('any_value(lo) + bin * any_value(w)', 4)} AS lo,
 FROM binned GROUP BY bin"""
 
 
+def _tail(rows: int) -> str:
+    return f"""
+SELECT {_KEYS}, {_rounded(['Import_Quantity', 'Dependency_Pct'], 2)}
+FROM (SELECT *, row_number() OVER (PARTITION BY Area, Item ORDER BY Year DESC) AS r FROM core)
+WHERE r <= {rows}"""
+
+
+def _score_counts(model: str) -> str:
+    """Rows and label sums of both targets by split."""
+    return " UNION ALL ".join(
+        f"SELECT '{model}_{target}' AS model, '{target}' AS target, split, count(*) AS row_count, "
+        f"{_r(f'sum({column})', 2)} AS label_sum FROM assigned GROUP BY split"
+        for target, column in (("import", "Import_Quantity"), ("dep", "Dependency_Pct")))
+
+
 _CALENDAR = f"""
 , pairs AS (SELECT DISTINCT Area, Item FROM wide)
-SELECT pairs.Area, pairs.Item, {LAST_LAG_YEAR} AS Year,
+SELECT pairs.Area, pairs.Item, ({_LAST} - 1)::INTEGER AS Year,
   {_r('coalesce(i1, 0)', 4)} AS Import_Lag1, {_r('coalesce(i2, 0)', 4)} AS Import_Lag2,
   {_r('coalesce(i3, 0)', 4)} AS Import_Lag3, {_r('coalesce(d1, 0)', 4)} AS Dep_Lag1,
   {_r('coalesce(d2, 0)', 4)} AS Dep_Lag2,
@@ -230,9 +251,22 @@ _GRAM = " UNION ALL ".join(
     for i, a in enumerate(_GRAM_COLUMNS) for b in _GRAM_COLUMNS[i:]
 )
 
+_PIVOTED = _with(_PLAIN[:1], """
+SELECT * FROM (PIVOT (SELECT Area, Item, Element, 'Y' || yr AS y, l_quantity FROM trade)
+               ON y USING sum(l_quantity) GROUP BY Area, Item, Element)""")
+
+_FIRST = f"({_LAST} + 1)"
+_AHEAD = [*_CODED, _state(_FIRST)]
+_REQUESTED = [*_CODED, f"""{_state(_FIRST).split("coded AS")[0]}
+coded AS (
+  SELECT p.Area, p.Item, {', '.join(f'coalesce({c}, 0.0::DOUBLE) AS {c}' for c in ('i1', 'i2', 'i3', 'd1', 'd2', 'f1'))},
+    Area_enc, Item_enc
+  FROM (SELECT DISTINCT Area, Item FROM wide) p JOIN areas USING (Area) JOIN items USING (Item)
+  LEFT JOIN state USING (Area, Item))"""]
+
 ORACLE: dict[str, str] = {
-    "scan_wide": _with(
-        _PLAIN[:2], f"SELECT Area, Item, Element, {', '.join(f'Y{y}' for y in YEARS)} FROM wide"),
+    "scan_wide": _PIVOTED,
+    "scan_csv": _PIVOTED,
     "filter_elements": _with(_PLAIN[:2], "SELECT Element, count(*) AS row_count FROM selected GROUP BY 1"),
     "core_roundtrip": _with(_PLAIN, _CORE_ROWS),
     "stage_counts": _with(_MODEL, " UNION ALL ".join(
@@ -256,6 +290,7 @@ FROM (SELECT *, CASE l_linenumber
     "core_panel": _with(_PLAIN, _CORE_ROWS),
     "core_panel_repeated": _with(_BOTH, _CORE_ROWS),
     "core_panel_long": _with(_BOTH, _CORE_ROWS),
+    "core_panel_elements": _with([_TRADE, _wide(True, True, SECOND_IMPORT), _LONG, _FILLED, _CORE], _CORE_ROWS),
     "lag_features": _with(
         [*_PLAIN, _ENGINEERED], f"SELECT {_KEYS}, {_rounded(_LAGS)} FROM engineered"),
     "rolling_mean": _with(
@@ -267,7 +302,7 @@ FROM (SELECT DISTINCT Area, Item FROM core) JOIN areas USING (Area) JOIN items U
         _MODEL, "SELECT max(Area_enc) AS max_area_code, max(Item_enc) AS max_item_code FROM features"),
     "feature_panel": _with(_MODEL, _FEATURE_ROWS),
     "feature_panel_long": _with(_MODEL, _FEATURE_ROWS),
-    "calendar_lags": _with([*_CODED, _state(LAST_LAG_YEAR)], "").rstrip() + _CALENDAR,
+    "calendar_lags": _with([*_CODED, _state(f"({_LAST} - 1)")], "").rstrip() + _CALENDAR,
     "calendar_panel": _with(_BOTH, "").rstrip() + _CALENDAR_PANEL,
     "feature_non_null": _with([*_PLAIN, _ENGINEERED], " UNION ALL ".join(
         f"SELECT '{c}' AS feature, count({c}) AS non_null FROM engineered" for c in ENGINEERED)),
@@ -293,10 +328,8 @@ SELECT 'Area' AS kind, Area AS label, Area_enc::INTEGER AS code FROM areas
 UNION ALL SELECT 'Item', Item, Item_enc::INTEGER FROM items"""),
     "series_lookup": _with(
         _PLAIN, f"{_CORE_ROWS} WHERE Area = 'NATION_7' AND Item = 'Brand#12/PROMO'"),
-    "history_tail": _with(_PLAIN, f"""
-SELECT {_KEYS}, {_rounded(['Import_Quantity', 'Dependency_Pct'], 2)}
-FROM (SELECT *, row_number() OVER (PARTITION BY Area, Item ORDER BY Year DESC) AS r FROM core)
-WHERE r <= 4"""),
+    "history_tail": _with(_PLAIN, _tail(10)),
+    "history_tail_short": _with(_PLAIN, _tail(4)),
     "split_assign": _with(_DRAWN, f"SELECT {_KEYS}, split FROM assigned"),
     "split_counts": _with(_DRAWN, "SELECT split, count(*) AS row_count FROM assigned GROUP BY 1"),
     "ridge_gram": _with(_DRAWN, _GRAM),
@@ -310,13 +343,24 @@ WHERE r = 1"""),
 SELECT model, r2_test = (SELECT max(r2_test) FROM metrics) AS best_r2_test,
   mae = (SELECT min(mae) FROM metrics) AS best_mae, rmse = (SELECT min(rmse) FROM metrics) AS best_rmse,
   mape = (SELECT min(mape) FROM metrics) AS best_mape FROM metrics"""),
-    "r2_cap_flag": _with(_SCORED, f"SELECT model, target, r2_test FROM metrics WHERE r2_test > {NAIVE_CAP}"),
+    "r2_cap_flag": _with(_SCORED, f"SELECT model, target, r2_test, r2_test > {R2_CAP} AS over_cap FROM metrics"),
+    "rf_score_counts": _with(_DRAWN, _score_counts("rf")),
+    "ridge_score_counts": _with(_DRAWN, _score_counts("ridge")),
     "point_forecast": _with(
-        [*_CODED, _steps(HORIZON[-1], 1)], "SELECT Area, Item, Year, imp, dep FROM future", True),
+        [*_CODED, _state(f"({_LAST} + {AHEAD})"), _steps(f"({_LAST} + {AHEAD})", 1)],
+        "SELECT Area, Item, Year, imp, dep FROM future", True),
     "recursive_forecast": _with(
-        [*_CODED, _steps(HORIZON[0], len(HORIZON))], "SELECT Area, Item, Year, imp, dep FROM future", True),
-    "trend_series": _with([*_CODED, _steps(HORIZON[0], len(HORIZON))], f"""
+        [*_AHEAD, _steps(_FIRST, AHEAD)], "SELECT Area, Item, Year, imp, dep FROM future", True),
+    "requested_forecast": _with(
+        [*_REQUESTED, _steps(_FIRST, AHEAD)], "SELECT Area, Item, Year, imp, dep FROM future", True),
+    "trend_series": _with([*_AHEAD, _steps(_FIRST, AHEAD)], f"""
 SELECT Area, Item, Year, 'Historical' AS kind, {_r('Import_Quantity', 2)} AS imp, {_r('Dependency_Pct', 2)} AS dep
 FROM (SELECT *, row_number() OVER (PARTITION BY Area, Item ORDER BY Year DESC) AS r FROM core) WHERE r <= 10
 UNION ALL SELECT Area, Item, Year, 'fixed forecast', imp, dep FROM future""", True),
+    "formula_compare": _with(
+        [*_AHEAD, *[_steps(_FIRST, AHEAD, formula, f"_{name}") for name, formula in FORMULA_SETS.items()]],
+        "SELECT Area, Item, Year, "
+        + ", ".join(f"future_{n}.{c} AS {n}_{t}" for c, t in (("imp", "import"), ("dep", "dep")) for n in FORMULA_SETS)
+        + " FROM " + " JOIN ".join(
+            f"future_{n}" + (" USING (Area, Item, Year)" if i else "") for i, n in enumerate(FORMULA_SETS)), True),
 }

@@ -20,9 +20,10 @@ class Loaded:
     metrics: DataFrame
 
 
-def load(spark: SparkSession, folder: str, cache: bool = True) -> Loaded:
-    """Everything `training.train` stored; the core panel cached by default."""
-    core = panel_store.read_core(spark, f"{folder}/core")
+def load(spark: SparkSession, folder: str, cache: bool = False, spec: PanelSpec = PANEL) -> Loaded:
+    """Everything `training.train` stored.  ``cache`` keeps the core panel in memory
+    until the caller unpersists it."""
+    core = panel_store.read_core(spark, f"{folder}/core", spec=spec)
     if cache:
         core = core.cache()
     return Loaded(

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators import encode, evaluate, features, modeling, profile, series, split
+from yearloom.session import scratch_path
 from yearloom.sources import metrics_store, panel_store
-from yearloom.spec import CORE_COLUMNS, ELEMENTS, ENGINEERED, PANEL, PanelSpec
+from yearloom.spec import ELEMENTS, ENGINEERED, PANEL, PanelSpec
 
 
 def core(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) -> DataFrame:
@@ -41,11 +42,14 @@ def prepare(core_panel: DataFrame, spec: PanelSpec = PANEL) -> Prepared:
 
 def prepare_wide(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) -> Prepared:
     """As `prepare`, straight from wide rows.  The histories (one row per key) are
-    persisted: core, vocabularies and features all start from them.  Keys left
-    without a core row get no code; the condition stands above the stored rows,
-    where it is a cheap look at one array."""
-    stored = series.histories(wide, spec, elements).persist(StorageLevel.MEMORY_AND_DISK)
-    hist = stored.where(F.size("history") > 0)
+    stored in the shared folder: core, vocabularies and features all start from
+    them, and nothing stays in memory.  Keys left without a core row get no code;
+    the condition stands above the stored rows, where it is a cheap look at one
+    array."""
+    spec = spec.numbered(wide.columns)
+    path = scratch_path(wide.sparkSession, "histories")
+    series.histories(wide, spec, elements).write.parquet(path)
+    hist = wide.sparkSession.read.parquet(path).where(F.size("history") > 0)
     area, item = spec.keys
     areas = encode.vocabulary(hist, area)
     items = encode.vocabulary(hist, item)
@@ -55,15 +59,15 @@ def prepare_wide(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) ->
     ))
     return Prepared(
         series.core_rows(hist, spec), areas, items,
-        rows.select(*CORE_COLUMNS, *ENGINEERED, "Area_enc", "Item_enc"),
+        rows.select(*spec.core, *ENGINEERED, "Area_enc", "Item_enc"),
     )
 
 
 def model_rows(features_df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """Split and assembled feature rows, persisted: every fit and the scoring read
-    them."""
-    assigned = split.assign_split(features_df, spec=spec)
-    return modeling.assemble(assigned).persist(StorageLevel.MEMORY_AND_DISK)
+    them, and the caller lets go of them.  Rows that are split already stay so."""
+    assigned = features_df if "split" in features_df.columns else split.assign_split(features_df, spec=spec)
+    return modeling.assemble(assigned, spec).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def score(rows: DataFrame, fitted: list[modeling.Fitted], spec: PanelSpec = PANEL) -> DataFrame:
@@ -100,15 +104,15 @@ def train(
     under ``folder``; returns the metrics."""
     spark: SparkSession = wide.sparkSession
     prepared = prepare_wide(wide, spec, elements)
-    panel_store.write_core(prepared.core, f"{folder}/core")
-    stored = panel_store.read_core(spark, f"{folder}/core")
+    panel_store.write_core(prepared.core, f"{folder}/core", spec=spec)
+    stored = panel_store.read_core(spark, f"{folder}/core", spec=spec)
     for name, vocab in (("area", prepared.areas), ("item", prepared.items)):
         vocab.table.write.mode("overwrite").parquet(f"{folder}/{name}_codes")
-    prepared.features.write.mode("overwrite").parquet(f"{folder}/features")
+    split.assign_split(prepared.features, spec=spec).write.mode("overwrite").parquet(f"{folder}/features")
     features_df = spark.read.parquet(f"{folder}/features")
     fitted, metrics = fit_and_score(features_df, spec=spec, params=params)
     modeling.save_models(fitted, f"{folder}/models")
-    info = profile.dataset_info(stored, split.assign_split(features_df, spec=spec), spec)
+    info = profile.dataset_info(stored, features_df, spec)
     metrics_store.write_metrics(
         f"{folder}/metrics", info, metrics, modeling.importances(spark, fitted),
         evaluate.best_model(metrics), params,

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from yearloom.spec import ELEMENTS
 
-YEARS = list(range(1995, 2002))
 OTHER_ELEMENT = "Production"
 
 
@@ -19,7 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def trade(spark: SparkSession, folder: str, item: str = "type") -> DataFrame:
+def years(spark: SparkSession, folder: str) -> list[int]:
+    """All years with an order, whatever they are; one small row each."""
+    found = table(spark, folder, "orders").select(F.year("o_orderdate").alias("y")).dropna().distinct()
+    return sorted(r["y"] for r in found.collect())
+
+
+def trade(spark: SparkSession, folder: str, item: str = "type", other: str = OTHER_ELEMENT) -> DataFrame:
     """Area, Item, Element, yr, l_linestatus, l_quantity: one row per order line.
 
     Only `nation` is marked for broadcast (25 rows by definition); for the other
@@ -51,21 +56,23 @@ def trade(spark: SparkSession, folder: str, item: str = "type") -> DataFrame:
     return rows.select(
         "Area", "Item",
         F.when(flag == "N", ELEMENTS[0]).when(flag == "R", ELEMENTS[1])
-        .otherwise(OTHER_ELEMENT).alias("Element"),
+        .otherwise(other).alias("Element"),
         "yr", "l_linestatus", "l_quantity",
     )
 
 
 def wide(
     spark: SparkSession, folder: str, item: str = "type",
-    signed: bool = False, repeated: bool = False,
+    signed: bool = False, repeated: bool = False, other: str = OTHER_ELEMENT,
 ) -> DataFrame:
     """The raw wide table: year columns plus flag columns that scans must skip.
 
     ``signed`` makes lines of status F negative; ``repeated`` gives every series
-    one source row per line status, numbered by ``src_row``.
+    one source row per line status, numbered by ``src_row``.  ``other`` names the
+    third element.
     """
-    lines = trade(spark, folder, item)
+    lines = trade(spark, folder, item, other)
+    found = years(spark, folder)
     quantity = F.col("l_quantity")
     if signed:
         quantity = F.when(F.col("l_linestatus") == "F", -quantity).otherwise(quantity)
@@ -73,8 +80,8 @@ def wide(
     if repeated:
         keys.append(F.when(F.col("l_linestatus") == "F", 0).otherwise(1).cast("long").alias("src_row"))
     return lines.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("yr") == y, quantity)).alias(f"Y{y}") for y in YEARS]
-    ).select("*", *[F.lit("E").alias(f"Y{y}F") for y in YEARS])
+        *[F.sum(F.when(F.col("yr") == y, quantity)).alias(f"Y{y}") for y in found]
+    ).select("*", *[F.lit("E").alias(f"Y{y}F") for y in found])
 
 
 def text_values(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,34 +6,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.functions.columns import missing_to_null, to_number
-from yearloom.spec import CORE_COLUMNS, CORE_SCHEMA, IMPORTS, RATIO, SUPPLY
+from yearloom.spec import IMPORTS, PANEL, RATIO, SUPPLY, PanelSpec
 
 
-def write_core(core: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Six columns in fixed order, every year kept, as a folder of part files."""
-    writer = core.select(*CORE_COLUMNS).write.mode("overwrite")
+def write_core(core: DataFrame, path: str, fmt: str = "parquet", spec: PanelSpec = PANEL) -> None:
+    """Six columns in fixed order, every year kept, as a folder of part files.
+
+    Parquet files hold ranges of the keys in order, so a lookup of one series skips
+    all files and row groups but those of its range.
+    """
+    rows = core.select(*spec.core)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        (
+            rows.write.mode("overwrite").option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        )
     elif fmt == "parquet":
-        writer.parquet(path)
+        ordered = rows.repartitionByRange(*spec.keys).sortWithinPartitions(*spec.keys, spec.time)
+        ordered.write.mode("overwrite").parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
 
-def read_core(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_core(
+    spark: SparkSession, path: str, fmt: str = "parquet", spec: PanelSpec = PANEL, multiline: bool = False
+) -> DataFrame:
+    """The stored panel; ``multiline``: labels of a CSV form may hold line breaks."""
+    texts, numbers = spec.keys, (IMPORTS, SUPPLY, RATIO)
     if fmt == "parquet":
-        return spark.read.schema(CORE_SCHEMA).parquet(path)
+        schema = ", ".join([*(f"`{c}` string" for c in texts), f"`{spec.time}` int", *(f"{c} double" for c in numbers)])
+        return spark.read.schema(schema).parquet(path)
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
     return raw.select(
-        missing_to_null(F.col("Area")).alias("Area"),
-        missing_to_null(F.col("Item")).alias("Item"),
-        F.col("Year").cast("int").alias("Year"),
-        *[to_number(F.col(c)).alias(c) for c in (IMPORTS, SUPPLY, RATIO)],
+        *[missing_to_null(F.col(f"`{c}`")).alias(c) for c in texts],
+        F.col(f"`{spec.time}`").cast("int").alias(spec.time),
+        *[to_number(F.col(c)).alias(c) for c in numbers],
     )
 
 
-def read_series(core: DataFrame, area: str, item: str) -> DataFrame:
+def read_series(core: DataFrame, area: str, item: str, spec: PanelSpec = PANEL) -> DataFrame:
     """One series in year order; both key predicates reach the Parquet scan."""
-    return core.where((F.col("Area") == area) & (F.col("Item") == item)).orderBy("Year")
+    first, second = spec.keys
+    return core.where((F.col(first) == area) & (F.col(second) == item)).orderBy(spec.time)

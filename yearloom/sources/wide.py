@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearloom.functions.columns import missing_to_null
-from yearloom.spec import ELEMENTS, PANEL, PanelSpec
+from yearloom.spec import ELEMENTS, ORDINAL, PANEL, PanelSpec
 
-ORDINAL = "src_row"
 ROWS_PER_BLOCK = 1 << 20
+EXCESS = "_excess"
 
 
 def year_columns(columns: list[str]) -> list[str]:
@@ -23,20 +23,27 @@ def scan_wide_csv(
 ) -> DataFrame:
     """All columns as text, missing tokens as NULL, plus ``src_row``.
 
+    A row with fewer fields than the header ends in NULLs; one with more is an
+    error, its values would be lost.
+
     ``src_row`` orders rows as they stand in the source whatever the packing of
     splits into tasks: file, start of the split, running number inside it.  The
     running number depends on split planning, so a job that needs the same
     numbers twice stores the scan first (`stage_wide`).
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
-        .csv(path)
     )
-    texts = [missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    names = reader.csv(path).columns
+    texts = [T.StructField(c, T.StringType()) for c in [*names, EXCESS]]
+    raw = reader.schema(T.StructType(texts)).csv(path)
+    error = F.raise_error(F.concat(F.lit("a row has more fields than the header: "), F.col(EXCESS)))
+    raw = raw.where(F.when(F.col(EXCESS).isNotNull(), error.cast("boolean")).otherwise(True))
+    texts = [missing_to_null(F.col(f"`{c}`")).alias(c) for c in names]
     return raw.select(
         *texts,
         F.struct(

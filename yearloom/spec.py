@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 # --- fixed values: names and numbers that results must agree on -------------
 IMPORTS = "Import_Quantity"
@@ -42,11 +42,8 @@ PREDICTOR_YEARS = list(range(2014, 2019))
 DASHBOARD_YEARS = list(range(2014, 2017))
 # -----------------------------------------------------------------------------
 
-CORE_SCHEMA = (
-    "Area string, Item string, Year int, "
-    f"{IMPORTS} double, {SUPPLY} double, {RATIO} double"
-)
-CORE_COLUMNS = ["Area", "Item", "Year", IMPORTS, SUPPLY, RATIO]
+# Name under which scans number the source rows.
+ORDINAL = "src_row"
 
 
 @dataclass(frozen=True)
@@ -54,7 +51,8 @@ class PanelSpec:
     """Names of the panel's parts; the defaults are the food-balance names.
 
     ``ordinal`` numbers source rows.  It is needed only where a series may occur
-    in several source rows; ``None`` states that (series, time) is unique.
+    in several source rows; ``None`` states that (series, time) is unique, and a
+    repeated one is an error.
     """
 
     keys: tuple[str, ...] = ("Area", "Item")
@@ -63,10 +61,26 @@ class PanelSpec:
     value: str = "Value"
     ordinal: str | None = None
 
+    def numbered(self, columns: list[str]) -> PanelSpec:
+        """This spec with the scan's row numbers as ordinal, if it names none and they are there."""
+        if self.ordinal is None and ORDINAL in columns:
+            return replace(self, ordinal=ORDINAL)
+        return self
+
     @property
     def series(self) -> list[str]:
         return [*self.keys, self.kind]
 
+    @property
+    def core(self) -> list[str]:
+        """Columns of the core panel."""
+        return [*self.keys, self.time, IMPORTS, SUPPLY, RATIO]
+
+    @property
+    def features(self) -> list[str]:
+        """The model's features in their fixed order, the time under this panel's name."""
+        return [self.time if c == "Year" else c for c in FEATURES]
+
     @property
     def ordering(self) -> list[str]:
         return [self.time] if self.ordinal is None else [self.time, self.ordinal]
