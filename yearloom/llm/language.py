@@ -35,6 +35,9 @@ WORD_CAP = 12.0
 #: A language needs so many training words in a script to be a candidate for it.
 SCRIPT_SHARE = 0.001
 
+#: Bytes of text labelled at once; scores of all words and languages are held meanwhile.
+BLOCK_BYTES = 1_000_000
+
 #: Languages the model can hold; more are an error.
 MOST_LANGUAGES = 1_000
 
@@ -99,18 +102,19 @@ class Words:
         first, sizes = self.first[self.sample], (self.last - self.first)[self.sample] + 2
         ends = np.cumsum(sizes)
         padded = np.full(int(sizes.sum()), 0x5F, np.uint8)
-        word = np.repeat(np.arange(len(sizes)), sizes)
+        word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         place = tx.runs(sizes)
         inside = (place > 0) & (place < sizes[word] - 1)
         padded[inside] = self.data[(first[word] + place - 1)[inside]]
         left = ends[word] - np.arange(len(padded))  # bytes up to the end of the word
+        del place, inside
         value, places, words = np.zeros(len(padded), np.uint64), [], []
         for k in range(max(ORDERS)):
             value[:len(padded) - k] |= padded[k:].astype(np.uint64) << np.uint64(8 * k)
             if k + 1 in ORDERS:
                 whole = left > k
                 mixed = tx.mix(value[whole] + (np.uint64(k + 1) << np.uint64(56)))
-                places.append((mixed >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
+                places.append((mixed >> np.uint64(64 - TABLE_BITS)).astype(np.int32))
                 words.append(word[whole])
         return np.concatenate(places), np.concatenate(words)
 
@@ -147,7 +151,7 @@ def fit(train: DataFrame) -> Model:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts = tx.Hasher(), {}
-        for block in tx.blocks(batches):
+        for block in tx.blocks(batches, limit=BLOCK_BYTES):
             words = Words(hasher, block.column("text"))
             places, word = words.n_grams()
             scripts = words.scripts()
@@ -297,7 +301,7 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeler = Labeler(shared.received(sent))
-        for block in tx.blocks(batches):
+        for block in tx.blocks(batches, limit=BLOCK_BYTES):
             names, score, spans = labeler.block(block.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), block.column("held_out"), pa.array(names, pa.string()), pa.array(score), spans],
@@ -312,7 +316,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFr
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeler = Labeler(shared.received(sent))
-        for block in tx.blocks(batches):
+        for block in tx.blocks(batches, limit=BLOCK_BYTES):
             names, score, _ = labeler.block(block.column("text"))
             kept = np.array([n != UNDETERMINED for n in names]) & (score >= least)
             yield block.filter(pa.array(kept))

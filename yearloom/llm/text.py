@@ -6,6 +6,7 @@ array of UTF-8 bytes with the offsets of its documents; null texts are empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once in a task; a longer text is a block of its own.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 
 #: Odd multiplier of the polynomial word hash and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
@@ -45,7 +46,10 @@ def nonspace_mask() -> np.ndarray:
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in record batches of at most ``limit`` bytes of text, a longer text alone."""
+    """The same rows in record batches of at most ``limit`` bytes of text, a longer text alone.
+
+    After the last one the task's freed memory goes back to the system: workers live on.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -55,6 +59,15 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             last = max(int(np.searchsorted(size, before + limit, side="right")), first + 1)
             yield batch.slice(first, last - first)
             first, before = last, int(size[last - 1])
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

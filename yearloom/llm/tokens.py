@@ -193,11 +193,14 @@ class Encoder:
         bounds = ends[owner]
         return self._whole(texts, rare, ids, bounds) if rare else (ids, bounds)
 
-    @staticmethod
-    def _odd(data: np.ndarray) -> bool:
-        """Whether a rare sequence may occur: a bar, a separator or a lead byte of wide white space."""
-        seen = np.bincount(data, minlength=256)
-        return bool(seen[124] or seen[28:32].any() or seen[0xC2] or seen[0xE1:0xE4].any())
+    def _odd(self, data: np.ndarray) -> bool:
+        """Whether a rare sequence may occur, by its first two bytes."""
+        one, two = data[:-1], data[1:]
+        odd = (one == 60) & (two == 124)
+        if self.spaced:
+            odd |= (one == 0xC2) & ((two == 0x85) | (two == 0xA0)) | (one == 0xE1) & (two == 0x9A)
+            odd |= (one == 0xE2) & ((two == 0x80) | (two == 0x81)) | (one == 0xE3) & (two == 0x80)
+        return bool(odd.any() or (self.spaced and ((data >= 28) & (data < 32)).any()))
 
     def _whole(self, texts, rare, ids, bounds):
         fixed, counts = self.one_by_one([texts[i].as_py() for i in rare])
@@ -232,5 +235,8 @@ def encoder(path: str, spaced: bool) -> Encoder:
 def encoded(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end: int):
     """For each block of documents: its rows, their ids with the end id, each document's first."""
     held = encoder(path, spaced)
+    held.hasher = tx.Hasher()
     for block in tx.blocks(batches):
         yield block, *with_end(*held.block(block.column("text")), end)
+    held.hasher = tx.Hasher()  # what stays in the worker is the chunks' ids alone
+    tx.give_back()
