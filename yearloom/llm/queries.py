@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from yearloom.llm import decontaminate, jaccard, language, packing, quality, quotes, sharding, token_files, vectors, word_model
+from yearloom.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
 
-
 #: Ids, segments and loss-bearing ids of a sequence.
 PACK_LIMITS = (2048, 128, 2047)
 
@@ -81,5 +83,3 @@ QUERIES = {
     "op9_vectors": op9_vectors,
     "op10_token_files": op10_token_files,
 }
-
-ORACLE: dict[str, str] = {}

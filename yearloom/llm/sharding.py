@@ -43,12 +43,13 @@ def interleave(docs: DataFrame, shards: int, seed: int = 42, source: str = "sour
     """
     count = docs.count()
     buckets = max(1, math.isqrt(count))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select(
         F.col("doc_id"),
         F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(source))).alias("_stratum"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 12).alias("_draw"),
+        F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("long").alias("_draw"),
     ).withColumn("_bucket", F.floor(F.col("_draw") / F.lit(float(_WIDTH)) * buckets))
     place = Window.partitionBy("_stratum", "_bucket").orderBy("_draw", "doc_id", "text_crc32")
     ranked = (
