@@ -7,75 +7,48 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from yearloom.session import cut_lineage, scratch_path
-
-# A vocabulary up to this size is ranked in one task and broadcast.
-SMALL_VOCABULARY = 1_000_000
-SALTS = 64
+from yearloom.session import scratch_path
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``table``: label, code.  ``small`` is the outcome of a size check."""
+    """``table``: label, code."""
 
     table: DataFrame
-    small: bool
 
 
-def vocabulary(df: DataFrame, column: str, limit: int = SMALL_VOCABULARY) -> Vocabulary:
+def vocabulary(df: DataFrame, column: str) -> Vocabulary:
     """Distinct labels in sorted order, numbered from 0.
 
-    The distinct labels are stored once: the size check and the ranking share them.
-    Beyond ``limit`` labels the rank comes from a distributed sort: running
-    numbers inside its partitions, stored by a reliable checkpoint so that they
-    cannot change between the two uses, plus the sizes of earlier partitions.
+    The rank comes from a distributed sort: running numbers inside its partitions,
+    stored so that they cannot change between their two uses, plus the sizes of
+    earlier partitions.  No task holds the vocabulary, however large it is.
     """
     path = scratch_path(df.sparkSession, "labels")
-    df.select(F.col(column).alias("label")).dropna().distinct().write.parquet(path)
-    labels = df.sparkSession.read.parquet(path)
-    if labels.limit(limit + 1).count() <= limit:
-        code = F.row_number().over(Window.orderBy("label")) - 1
-        return Vocabulary(labels.select("label", code.cast("int").alias("code")), True)
-    numbered = cut_lineage(
-        labels.orderBy("label").withColumn("_id", F.monotonically_increasing_id())
-    )
+    labels = df.select(F.col(column).alias("label")).dropna().distinct()
+    labels.orderBy("label").withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
     part = F.shiftright("_id", 33).alias("_part")
-    sizes = numbered.groupBy(part).agg(F.count("*").alias("_n"))
+    numbered = df.sparkSession.read.parquet(path).withColumn("_part", part)
+    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
-    )
-    ranked = numbered.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     return Vocabulary(
-        ranked.select("label", (F.col("_start") + inside).cast("int").alias("code")), False
-    )
+        numbered.join(starts, "_part").select("label", (F.col("_start") + inside).cast("int").alias("code")))
 
 
 def encode(df: DataFrame, vocab: Vocabulary, column: str, output: str) -> DataFrame:
     """Append the code of ``column``; a label without code is an error.
 
-    A small vocabulary is broadcast.  A large one is repeated once per salt and
-    joined on (label, salt), so that the rows of a frequent label spread over
-    many tasks; the salt is a function of the row, hence the same on a retry.
+    Whether the vocabulary is broadcast is decided by its size in bytes, as for any
+    join; otherwise adaptive execution splits the rows of a frequent label.
     """
-    if vocab.small:
-        table = F.broadcast(vocab.table.select(F.col("label").alias(column), "code"))
-        joined = df.join(table, column, "left")
-    else:
-        table = vocab.table.select(
-            F.col("label").alias(column), "code",
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-        )
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
-        joined = df.withColumn("_salt", salt).join(table, [column, "_salt"], "left")
+    table = vocab.table.select(F.col("label").alias(column), F.col("code").alias("_code"))
     unknown = F.raise_error(F.concat(F.lit(f"no code for {column}: "), F.col(column)))
-    return joined.select(
-        *df.columns, F.coalesce("code", unknown.cast("int")).alias(output)
-    )
+    return df.join(table, column, "left").select(
+        *df.columns, F.coalesce("_code", unknown.cast("int")).alias(output))
 
 
-def stored_vocabulary(spark: SparkSession, path: str, limit: int = SMALL_VOCABULARY) -> Vocabulary:
+def stored_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
     """A vocabulary table written earlier."""
-    table = spark.read.parquet(path)
-    return Vocabulary(table, table.count() <= limit)
+    return Vocabulary(spark.read.parquet(path))
