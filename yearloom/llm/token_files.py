@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yearloom.llm import shared
-from yearloom.llm import text as tx
 from yearloom.llm import tokens as tk
 
 MAGIC = 0x31304B54  # "TK01"
