@@ -2,11 +2,10 @@
 
 import re
 
-import pytest
 from helpers import random_series, rows, wide
 from pyspark.sql import functions as F
 
-from yearloom.operators import features, impute, modeling, reshape, series, split
+from yearloom.operators import features, impute, modeling, reshape, split
 from yearloom.plans import serving, training
 from yearloom.session import scratch_path
 from yearloom.spec import PanelSpec
