@@ -95,11 +95,11 @@ def test_all_models_fit_score_save_and_load(spark, training):
     assert rows(modeling.predictions_long(training, again)) == rows(long)
 
 
-def test_fits_repeat_under_the_same_seed(training):
+def test_fits_repeat_under_the_same_seed(spark, training):
     train = training.where("split = 'train'")
     for algo in ("rf", "xgb"):
         a, b = (modeling.fit(train, algo, "dep", FEW[algo]) for _ in range(2))
-        assert modeling.importance_values(a) == modeling.importance_values(b)
+        assert rows(modeling.importances(spark, [a])) == rows(modeling.importances(spark, [b]))
 
 
 def test_codes_above_the_bins_are_plain_numbers(spark):
@@ -161,3 +161,11 @@ def test_cap_and_frames(spark):
     assert [r[0] for r in rows(evaluate.over_cap(table(spark)))] == ["rf_import", "ridge_import", "xgb_import"]
     assert evaluate.for_target(table(spark), "dep").count() == 3
     assert evaluate.error_frame(table(spark)).columns == ["model", "target", "mae", "rmse"]
+
+
+def test_shares_of_equal_and_zero_sizes(spark):
+    df = spark.createDataFrame(
+        [("a", i, f"f{i}", s) for i, s in enumerate([-1.0, 2.0, 1.0, 0.0])] + [("z", i, f"f{i}", 0.0) for i in range(2)],
+        "model string, position int, feature string, size double")
+    got = rows(modeling.ranked_shares(df))
+    assert got == [("a", "f0", 0.25, 2), ("a", "f1", 0.5, 1), ("a", "f2", 0.25, 3), ("a", "f3", 0.0, 4), ("z", "f0", 0.0, 1), ("z", "f1", 0.0, 2)]

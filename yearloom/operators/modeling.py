@@ -13,9 +13,10 @@ from pyspark.ml.regression import (
     GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
     RandomForestRegressionModel, RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from yearloom.functions.columns import round_to
 from yearloom.session import shared_folder
 from yearloom.spec import (
     FEATURES, IMPORTS, PANEL, RATIO, RF_PARAMS, RIDGE_PARAMS, XGB_PARAMS, PanelSpec,
@@ -141,26 +142,42 @@ def predictions_long(
     return predict(assembled, fitted).select(*spec.keys, spec.time, "split", F.inline(rows))
 
 
-def importance_values(fitted: Fitted) -> list[float]:
-    """Tree importances, or absolute coefficients scaled to sum 1."""
-    if fitted.algo == "ridge":
-        sizes = [abs(float(c)) for c in fitted.model.coefficients]
-        total = sum(sizes) or 1.0
-        return [s / total for s in sizes]
-    return [float(v) for v in fitted.model.featureImportances.toArray()]
+def ranked_shares(sizes: DataFrame) -> DataFrame:
+    """Importances of any models from (model, position, feature, size): the shares of
+    the absolute sizes at 4 digits, ranked; equal shares keep the order of the
+    features.  A model whose sizes are all 0 has shares of 0."""
+    model = Window.partitionBy("model")
+    total = F.sum(F.abs("size")).over(model)
+    share = round_to(F.abs("size") / F.when(total == 0, 1.0).otherwise(total), 4)
+    rank = F.row_number().over(model.orderBy(F.desc("importance"), "position"))
+    return sizes.select("model", "position", "feature", share.alias("importance")).select(
+        "model", "feature", "importance", rank.alias("importance_rank"))
 
 
 def importances(spark: SparkSession, fitted: list[Fitted]) -> DataFrame:
-    """Importance per model and feature at 4 digits, ranked; equal values keep
-    the order of the feature list."""
-    rows = []
-    for f in fitted:
-        values = [round(v, 4) for v in importance_values(f)]
-        order = sorted(range(len(FEATURES)), key=lambda i: -values[i])
-        rows += [(f.key, FEATURES[i], values[i], r + 1) for r, i in enumerate(order)]
-    return spark.createDataFrame(
-        rows, "model string, feature string, importance double, importance_rank int"
-    )
+    """Importance per model and feature: of trees as they report it, of linear models
+    by their coefficients; one row per feature of each model, whatever the data."""
+    rows = [
+        (f.key, i, name, float(v)) for f in fitted
+        for i, (name, v) in enumerate(zip(
+            FEATURES, f.model.coefficients if f.algo == "ridge" else f.model.featureImportances, strict=True))
+    ]
+    return ranked_shares(spark.createDataFrame(rows, "model string, position int, feature string, size double"))
+
+
+def slopes(train: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
+    """(model, position, feature, size): the slope of each target on each feature alone,
+    under the model names ``slope_<target>``; both targets in one pass."""
+    pairs = [(t, y, i, c) for t, y in TARGETS.items() for i, c in enumerate(spec.features)]
+    sums = train.agg(*[
+        F.try_divide(F.covar_pop(F.col(c).cast("double"), F.col(y).cast("double")), F.var_pop(F.col(c).cast("double"))).alias(f"s{k}")
+        for k, (_, y, _, c) in enumerate(pairs)
+    ])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(f"slope_{t}").alias("model"), F.lit(i).alias("position"), F.lit(FEATURES[i]).alias("feature"),
+                 F.coalesce(f"s{k}", F.lit(0.0)).alias("size"))
+        for k, (t, _, i, _) in enumerate(pairs)
+    ])))
 
 
 def model_table(spark: SparkSession, fitted: list[Fitted]) -> DataFrame:

@@ -400,6 +400,44 @@ def importance_rank(spark, folder):
     return modeling.importances(spark, _fits(spark, folder).fitted)
 
 
+def slope_importance(spark, folder):
+    """Ranked shares of coefficients that SQL can find too."""
+    return modeling.ranked_shares(modeling.slopes(_assigned(spark, folder).where("split = 'train'").withColumns(
+        {"Area_enc": F.length("Area"), "Item_enc": F.length("Item")})))
+
+
+def _naive_document(spark, folder) -> DataFrame:
+    """The metrics document of the rules that need no fitting, written and read."""
+    assigned = _stored(_assigned(spark, folder), "split")
+    predictions = evaluate.naive_predictions(assigned)
+    order = predictions.select("model", "target", "position").distinct()
+    metrics = evaluate.evaluate(predictions).join(order, ["model", "target"]).withColumn("train_time_sec", F.lit(0.0))
+    shares = modeling.ranked_shares(modeling.slopes(assigned.where("split = 'train'").withColumns(
+        {"Area_enc": F.length("Area"), "Item_enc": F.length("Item")})))
+    by_target = F.concat(F.lit("slope_"), F.col("target"))
+    weights = order.select(by_target.alias("rule"), F.col("model").alias("name")).join(
+        shares.withColumnRenamed("model", "rule"), "rule").select(F.col("name").alias("model"), "feature", "importance")
+    path = scratch_path(spark, "metrics")
+    metrics_store.write_metrics(
+        path, profile.dataset_info(_core(spark, folder), assigned), metrics, weights, evaluate.best_model(metrics))
+    return metrics_store.read_metrics(spark, path)
+
+
+def document_models(spark, folder):
+    return metrics_store.model_rows(_naive_document(spark, folder)).drop("train_time_sec")
+
+
+def document_importances(spark, folder):
+    return metrics_store.importance_rows(_naive_document(spark, folder))
+
+
+def document_info(spark, folder):
+    """Facts of the data and the winners, read back."""
+    return _naive_document(spark, folder).select(
+        *[f"dataset_info.{c}" for c in ("total_rows", "training_rows", "n_countries", "n_items", "year_min", "year_max")],
+        F.col("best_model")["import_quantity"].alias("best_import"), F.col("best_model")["dependency_pct"].alias("best_dep"))
+
+
 def model_comparison(spark, folder):
     fits = _fits(spark, folder)
     return training.score(fits.rows, fits.fitted).drop("train_time_sec")
@@ -483,7 +521,8 @@ QUERIES: dict[str, Query] = {
         split_assign, split_counts, ridge_gram, eval_metrics, best_model, metric_best_flags,
         r2_cap_flag,
         point_forecast, recursive_forecast, requested_forecast, trend_series, formula_compare,
-        rf_scores, gbt_scores, ridge_scores, rf_score_counts, ridge_score_counts, importance_rank, model_comparison,
+        rf_scores, gbt_scores, ridge_scores, rf_score_counts, ridge_score_counts, slope_importance,
+        document_models, document_importances, document_info, importance_rank, model_comparison,
         metrics_document, forecast_compare,
     )
 }

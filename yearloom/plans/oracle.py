@@ -251,6 +251,21 @@ _GRAM = " UNION ALL ".join(
     for i, a in enumerate(_GRAM_COLUMNS) for b in _GRAM_COLUMNS[i:]
 )
 
+def _slopes() -> str:
+    """Slopes of both targets on each feature alone, and their ranked shares."""
+    named = {"Area_enc": "length(Area)", "Item_enc": "length(Item)"}
+    one = " UNION ALL ".join(
+        f"SELECT 'slope_{t}' AS model, {i} AS position, '{f}' AS feature, coalesce("
+        f"covar_pop({named.get(f, f)}::DOUBLE, {y}::DOUBLE) / nullif(var_pop({named.get(f, f)}::DOUBLE), 0), 0) AS size "
+        "FROM assigned WHERE split = 'train'"
+        for t, y in (("import", "Import_Quantity"), ("dep", "Dependency_Pct")) for i, f in enumerate(FEATURES))
+    return f"""
+slopes AS ({one}),
+shares AS (
+  SELECT model, position, feature, {_r('abs(size) / CASE WHEN total = 0 THEN 1 ELSE total END', 4)} AS importance
+  FROM (SELECT *, sum(abs(size)) OVER (PARTITION BY model) AS total FROM slopes))"""
+
+
 _PIVOTED = _with(_PLAIN[:1], """
 SELECT * FROM (PIVOT (SELECT Area, Item, Element, 'Y' || yr AS y, l_quantity FROM trade)
                ON y USING sum(l_quantity) GROUP BY Area, Item, Element)""")
@@ -346,6 +361,18 @@ SELECT model, r2_test = (SELECT max(r2_test) FROM metrics) AS best_r2_test,
     "r2_cap_flag": _with(_SCORED, f"SELECT model, target, r2_test, r2_test > {R2_CAP} AS over_cap FROM metrics"),
     "rf_score_counts": _with(_DRAWN, _score_counts("rf")),
     "ridge_score_counts": _with(_DRAWN, _score_counts("ridge")),
+    "slope_importance": _with([*_DRAWN, _slopes()], """
+SELECT model, feature, importance,
+  row_number() OVER (PARTITION BY model ORDER BY importance DESC, position)::INTEGER AS importance_rank FROM shares"""),
+    "document_models": _with(_SCORED, "SELECT model, target, r2_train, r2_test, mae, rmse, mape FROM metrics"),
+    "document_importances": _with([*_SCORED, _slopes()], """
+SELECT metrics.model, feature, importance FROM metrics JOIN shares ON shares.model = 'slope_' || metrics.target"""),
+    "document_info": _with(_SCORED, """
+SELECT (SELECT count(*) FROM core) AS total_rows, (SELECT count(*) FROM assigned) AS training_rows,
+  (SELECT count(DISTINCT Area) FROM core) AS n_countries, (SELECT count(DISTINCT Item) FROM core) AS n_items,
+  (SELECT min(Year) FROM core) AS year_min, (SELECT max(Year) FROM core) AS year_max,
+  (SELECT model FROM metrics WHERE target = 'import' ORDER BY r2_test DESC, position DESC LIMIT 1) AS best_import,
+  (SELECT model FROM metrics WHERE target = 'dep' ORDER BY r2_test DESC, position DESC LIMIT 1) AS best_dep"""),
     "point_forecast": _with(
         [*_CODED, _state(f"({_LAST} + {AHEAD})"), _steps(f"({_LAST} + {AHEAD})", 1)],
         "SELECT Area, Item, Year, imp, dep FROM future", True),
