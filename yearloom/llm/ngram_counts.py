@@ -16,7 +16,7 @@ HELD_KEYS = 2_000_000
 
 def shards_for(total: int) -> int:
     """Shards for ``total`` counted things: their size grows with the root of the total, within bounds."""
-    cell = min(max(1 << 17, math.isqrt(total) * 32), 1 << 22)
+    cell = min(max(1 << 19, math.isqrt(total) * 32), 1 << 22)
     return max(1, -(-total // cell))
 
 
