@@ -64,13 +64,14 @@ def decode(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 def pack_file(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
     """The parts of a file."""
-    distinct, which, seen = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((distinct, -seen))
-    rank = np.empty(len(order), np.uint32)
-    rank[order] = np.arange(len(order), dtype=np.uint32)
-    control, data = encode(rank[which])
-    head = np.array([MAGIC, len(doc_ids), len(ids), len(distinct)], "<i8")
-    return [head, distinct[order].astype("<u4"), doc_ids.astype("<i8"), counts.astype("<i8"), control, data]
+    seen = np.bincount(ids, minlength=1)  # as long as the vocabulary
+    distinct = np.flatnonzero(seen)
+    by_rank = distinct[np.lexsort((distinct, -seen[distinct]))]
+    rank = np.empty(len(seen), np.uint32)
+    rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
+    control, data = encode(rank[ids])
+    head = np.array([MAGIC, len(doc_ids), len(ids), len(by_rank)], "<i8")
+    return [head, by_rank.astype("<u4"), doc_ids.astype("<i8"), counts.astype("<i8"), control, data]
 
 
 def unpack_file(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
