@@ -33,8 +33,10 @@ def vocabulary(df: DataFrame, column: str) -> Vocabulary:
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return Vocabulary(
-        numbered.join(starts, "_part").select("label", (F.col("_start") + inside).cast("int").alias("code")))
+    codes = scratch_path(df.sparkSession, "codes")
+    numbered.join(starts, "_part").select(
+        "label", (F.col("_start") + inside).cast("int").alias("code")).write.parquet(codes)
+    return stored_vocabulary(df.sparkSession, codes)
 
 
 def encode(df: DataFrame, vocab: Vocabulary, column: str, output: str) -> DataFrame:
