@@ -63,3 +63,12 @@ def test_texts_without_quotes_are_unchanged(spark):
     plain = df.where("not text like '%>%'")
     joined = got.select("conv_id", "turn", "text").join(plain.withColumnRenamed("text", "own"), ["conv_id", "turn"])
     assert joined.count() == plain.count() and joined.where("text <> own").count() == 0
+
+
+def test_sentences_and_short_messages_are_found(spark):
+    rows = [(1, 0, "u", "It rains a lot here. Shall we go out now? I would like to."), (1, 1, "a", "Why not?"),
+            (1, 2, "b", "> Shall we go out now?\nYes, in an hour."), (1, 3, "c", "> Why not?\nIt is wet."),
+            (1, 4, "d", "> Why not?\n> a long text from elsewhere\n>>> import this\n> It rains a lot here.\nSo it is.")]
+    got = sorted(qt.unquoted(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"), unfound=True).collect(), key=lambda r: r.turn)
+    assert [r.reply_to for r in got] == [None, None, 0, 1, 0]
+    assert [r.unfound for r in got] == [[], [], [], [], ["Why not?\na long text from elsewhere", "import this"]]

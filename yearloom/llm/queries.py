@@ -39,7 +39,7 @@ def tokenizer(spark: SparkSession, name: str) -> str:
 
 
 def op3_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    return quotes.unquoted(table(spark, folder, "conversations"))
+    return quotes.unquoted(table(spark, folder, "conversations"), unfound=True)
 
 
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:

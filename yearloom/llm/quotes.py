@@ -1,7 +1,7 @@
 """Quotation linking: conversations in reply order, without the quotes.
 
 A line's quote level is the number of ``>`` before it.  A quoted passage (a run of lines of
-one level, its paragraphs and its lines) is normalised to its words and hashed; the hash is
+one level, its paragraphs, lines and sentences) is normalised to its words and hashed; the hash is
 joined to the first earlier message of the conversation that wrote the passage itself.  The
 message that most words of the outermost quotes come from is the one replied to.  Replies
 follow the message their chain starts with, in the order of turns.
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from yearloom.llm import shared
 
-#: Words a passage needs to be looked for; shorter ones are said by many.
+#: Words a passage needs to be looked for; shorter ones are said by many, so they must be
+#: all of a quoted run and all of a message, paragraph or line.
 LEAST_WORDS = 3
 
 #: Rounds of following chains, each twice as long as the one before.
@@ -31,6 +32,7 @@ STEP = 1_024
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 ATTRIBUTION = re.compile(r"(?:wrote|writes|said|schrieb|écrit|a écrit|escribió) ?:$", re.IGNORECASE)
 WORD = re.compile(r"\w+")
+SENTENCE = re.compile(r"(?<=[.!?…])[\s\"'”’)]+")
 
 
 def levels(text: str) -> list[tuple[int, str]]:
@@ -49,20 +51,26 @@ def levels(text: str) -> list[tuple[int, str]]:
     return lines
 
 
-def passages(lines: list[str]) -> dict[int, int]:
-    """Hashes of a run of lines, its paragraphs and its single lines, with their numbers of words."""
-    pieces = {"\n".join(lines), *"\n".join(lines).split("\n\n"), *lines}
+def passages(lines: list[str], quoted: bool = False) -> dict[int, int]:
+    """Hashes of a run of lines, its paragraphs, lines and sentences, with their numbers of words."""
+    whole = "\n".join(lines)
+    parts = {*whole.split("\n\n"), *lines}
+    sentences = {x for part in parts for x in SENTENCE.split(part)}
     out = {}
-    for piece in pieces:
+    for piece in {whole, *parts, *sentences}:
         words = WORD.findall(piece.lower())
-        if len(words) >= LEAST_WORDS:
-            digest = hashlib.blake2b(" ".join(words).encode(), digest_size=8).digest()
-            out[int.from_bytes(digest, "little", signed=True)] = len(words)
+        short = piece == whole or (not quoted and piece in parts)
+        if len(words) >= (1 if short else LEAST_WORDS):
+            out[_digest(" ".join(words))] = len(words)
     return out
 
 
-def parse(text: str) -> tuple[str, int, list[tuple[int, int, int]]]:
-    """The text without quotes, the number of quoted runs, and (level, hash, words) of all passages."""
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def parse(text: str) -> tuple[str, list[tuple[str, list[int]]], list[tuple[int, int, int]]]:
+    """The text without quotes, the quoted runs with their hashes, and (level, hash, words) of all passages."""
     runs: list[tuple[int, list[str]]] = []
     for level, line in levels(text):
         if not runs or runs[-1][0] != level:
@@ -70,25 +78,32 @@ def parse(text: str) -> tuple[str, int, list[tuple[int, int, int]]]:
         runs[-1][1].append(line)
     own = "\n".join("\n".join(lines).strip("\n") for level, lines in runs if level == 0).strip("\n")
     found = {(0, h): n for h, n in passages(own.split("\n")).items()}
+    quoted = []
     for level, lines in runs:
         if level:
-            found |= {(level, h): n for h, n in passages(lines).items()}
-    return own if len(runs) > 1 or (runs and runs[0][0]) else text, sum(level > 0 for level, _ in runs), [(a, b, n) for (a, b), n in found.items()]
+            own_hashes = passages("\n".join(lines).strip("\n").split("\n"), quoted=True)
+            found |= {(level, h): n for h, n in own_hashes.items()}
+            quoted.append(("\n".join(lines), list(own_hashes)))
+    return own if len(runs) > 1 or (runs and runs[0][0]) else text, quoted, [(a, b, n) for (a, b), n in found.items()]
 
 
-MESSAGES = "conv_id long, turn long, role string, text string, n_quotes int, c string, t long, found array<struct<level: int, hash: long, words: int>>"
+MESSAGES = "conv_id long, turn long, role string, text string, n_quotes int, c string, t long, " \
+    "found array<struct<level: int, hash: long, words: int>>, quoted array<struct<text: string, key: long, hashes: array<long>>>"
 
 
 def _parsed(conversations: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64()), ("words", pa.int32())]))
+        runs = pa.list_(pa.struct([("text", pa.string()), ("key", pa.int64()), ("hashes", pa.list_(pa.int64()))]))
         for batch in batches:
-            done = [parse(x) if x else (x, 0, []) for x in batch.column("text").to_pylist()]
+            done = [parse(x) if x else (x, [], []) for x in batch.column("text").to_pylist()]
             found = [[{"level": a, "hash": h, "words": n} for a, h, n in x[2]] for x in done]
+            quoted = [[{"text": a, "key": _digest(a), "hashes": h} for a, h in x[1]] for x in done]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array([x[0] for x in done], pa.string()),
-                 pa.array([x[1] for x in done], pa.int32()), batch.column("c"), batch.column("t"), pa.array(found, kind)],
-                names=["conv_id", "turn", "role", "text", "n_quotes", "c", "t", "found"])
+                 pa.array([len(x[1]) for x in done], pa.int32()), batch.column("c"), batch.column("t"), pa.array(found, kind),
+                 pa.array(quoted, runs)],
+                names=["conv_id", "turn", "role", "text", "n_quotes", "c", "t", "found", "quoted"])
 
     return conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text",
@@ -96,11 +111,24 @@ def _parsed(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("t")).mapInArrow(task, MESSAGES)
 
 
+def _passages(messages: DataFrame) -> DataFrame:
+    return messages.select("c", "t", F.explode("found").alias("f")).select("c", "t", "f.*")
+
+
+def _originals(messages: DataFrame) -> DataFrame:
+    """The first message of a conversation that wrote each passage itself."""
+    return _passages(messages).where("level = 0").groupBy("c", "hash").agg(F.min("t").alias("original"))
+
+
+def found_runs(messages: DataFrame) -> DataFrame:
+    """(c, t, keys): the quoted runs of a message of which any passage has an original."""
+    runs = messages.select("c", "t", F.explode("quoted").alias("q")).select("c", "t", "q.key", F.explode("q.hashes").alias("hash"))
+    return runs.join(_originals(messages), ["c", "hash"]).where("original < t").groupBy("c", "t").agg(F.collect_set("key").alias("keys"))
+
+
 def reply_links(messages: DataFrame) -> DataFrame:
     """(c, t, reply_to) of the messages with a quote whose original is found."""
-    passage = messages.select("c", "t", F.explode("found").alias("f")).select("c", "t", "f.*")
-    originals = passage.where("level = 0").groupBy("c", "hash").agg(F.min("t").alias("original"))
-    quoted = passage.where("level > 0").join(originals, ["c", "hash"]).where("original < t")
+    quoted = _passages(messages).where("level > 0").join(_originals(messages), ["c", "hash"]).where("original < t")
     votes = quoted.groupBy("c", "t", "level", "original").agg(F.sum("words").alias("words"))
     best = F.min(F.struct("level", (-F.col("words")).alias("words"), (-F.col("original")).alias("original")))
     return votes.groupBy("c", "t").agg(best.alias("best")).select("c", "t", (-F.col("best.original")).alias("reply_to"))
@@ -141,7 +169,7 @@ def _positions(rows: DataFrame) -> DataFrame:
     )
 
 
-def unquoted(conversations: DataFrame) -> DataFrame:
+def unquoted(conversations: DataFrame, unfound: bool = False) -> DataFrame:
     """One row per message: conv_id, position, turn, role, reply_to, root_turn, n_quotes, text.
 
     ``text`` is the message without its quotes and the lines that introduce them; ``reply_to``
@@ -149,10 +177,16 @@ def unquoted(conversations: DataFrame) -> DataFrame:
     of replies starts with, its own without one; ``position`` counts from 0 without gaps by
     root_turn and turn.  Null texts stay null; null turns count as -1 and null conversations
     as one; repeated rows and rows of one turn are messages of their own, which share
-    reply_to; an empty table gives an empty result.  Other columns are not read.
+    reply_to; an empty table gives an empty result.  Other columns are not read.  With
+    ``unfound`` a last column of that name holds the quoted runs, without their marks, of
+    which no passage has an original.
     """
     messages = shared.stored(_parsed(conversations), "messages")
     chains = chain_starts(reply_links(messages))
-    placed = messages.drop("found").join(chains, ["c", "t"], "left").withColumn("root", F.coalesce("root", "t"))
-    return _positions(placed).select(
-        "conv_id", "position", "turn", "role", "reply_to", F.col("root").alias("root_turn"), "n_quotes", "text")
+    columns = ["conv_id", "position", "turn", "role", "reply_to", F.col("root").alias("root_turn"), "n_quotes", "text"]
+    if unfound:
+        lost = F.filter("quoted", lambda q: ~F.coalesce(F.array_contains("keys", q["key"]), F.lit(False)))
+        messages = messages.join(found_runs(messages), ["c", "t"], "left").withColumn("unfound", F.transform(lost, lambda q: q["text"])).drop("keys")
+        columns.append("unfound")
+    placed = messages.drop("found", "quoted").join(chains, ["c", "t"], "left").withColumn("root", F.coalesce("root", "t"))
+    return _positions(placed).select(*columns)
