@@ -11,15 +11,23 @@ def _words(text: str) -> str:
 
 
 #: CRC-32, byte by byte through its table of 256 entries.
-_CRC = """
+_CRC_TABLE = """
 entries AS (
   SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
   FROM range(256) r(i)),
-crc_table AS (SELECT list(c ORDER BY i) AS t FROM entries),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM entries)"""
+
+
+def _crc(text: str) -> str:
+    """The CRC-32 of a text, where ``crc_table`` is joined."""
+    return f"""xor(list_reduce(
+      list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+_CRC = f"""{_CRC_TABLE},
 summed AS (
-  SELECT d.*, xor(list_reduce(
-      list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
-      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32
+  SELECT d.*, {_crc("coalesce(text, '')")} AS text_crc32
   FROM documents d, crc_table)"""
 
 _SHARDING = f"""
@@ -94,9 +102,115 @@ links AS (
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(top, vec_id) AS component_id, coalesce(top, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN least_node l ON l.node = vec_id LEFT JOIN degree d ON d.node = vec_id"""
 
+_NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+#: Cheapest edits from the first message on: per message and state the least (cost, audit); 0 is the
+#: start, 1 after system, 2 after user, 3 after assistant.
+_REPAIR = f"""
+WITH RECURSIVE {_CRC_TABLE},
+kinds AS (
+  SELECT coalesce(conv_id::VARCHAR, 'none') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations, crc_table),
+hurt AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds),
+placed AS (
+  SELECT *, rtrim(text, {_SPACES}) AS e, left(role, 1) AS c,
+    row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text), copy) AS i,
+    row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS r
+  FROM hurt),
+judged AS (
+  SELECT *, e = '' AS is_blank, e <> '' AND r > 1 AS is_duplicate,
+    e <> '' AND r = 1 AND right(e, 1) NOT IN ('.', '!', '?') AS is_truncated,
+    lag(c) OVER (PARTITION BY conv ORDER BY i) || c AS pair
+  FROM placed),
+counts AS (
+  SELECT conv, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_duplicate) AS duplicate,
+    count(*) FILTER (is_truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY 1),
+edits(letter, was, c, now, price) AS (
+  VALUES ('K', 0, 's', 1, 0), ('K', 0, 'u', 2, 0), ('K', 1, 'u', 2, 0), ('K', 2, 'a', 3, 0), ('K', 3, 'u', 2, 0),
+    ('R', 0, NULL, 2, 1), ('R', 1, NULL, 2, 1), ('R', 2, NULL, 3, 1), ('R', 3, NULL, 2, 1),
+    ('D', 0, NULL, 0, 2), ('D', 1, NULL, 1, 2), ('D', 2, NULL, 2, 2), ('D', 3, NULL, 3, 2)),
+inserts(was, now, letters, price) AS (
+  VALUES (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 5), (0, 3, 'II', 10), (1, 2, 'I', 5),
+    (1, 3, 'II', 10), (2, 3, 'I', 5), (3, 2, 'I', 5)),
+steps AS (
+  SELECT conv, 0::BIGINT AS i, now AS state, price AS cost, letters AS audit FROM counts, inserts WHERE was = 0
+  UNION ALL
+  SELECT conv, i, state, best.cost, best.audit
+  FROM (
+    SELECT s.conv, j.i, n.now AS state, min({{'cost': s.cost + d.price + n.price
+        + CASE WHEN j.is_truncated AND d.letter <> 'D' THEN 5 ELSE 0 END, 'audit': s.audit || d.letter || n.letters}}) AS best
+    FROM steps s JOIN judged j ON j.conv = s.conv AND j.i = s.i + 1
+      JOIN edits d ON d.was = s.state AND (d.c IS NULL OR d.c = j.c) AND (d.letter = 'D' OR NOT (j.is_blank OR j.is_duplicate))
+      JOIN inserts n ON n.was = d.now
+    GROUP BY 1, 2, 3)),
+chosen AS (
+  SELECT conv, best.cost AS cost, best.audit AS audit
+  FROM (SELECT s.conv, min({{'cost': s.cost, 'audit': s.audit}}) AS best
+        FROM steps s JOIN counts c ON c.conv = s.conv AND c.n = s.i WHERE state IN (0, 3) GROUP BY 1)),
+spelled AS (
+  SELECT conv, p, audit[p] AS letter FROM (SELECT conv, audit, unnest(range(1, length(audit) + 1)) AS p FROM chosen)),
+numbered AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS line FROM spelled
+  WINDOW w AS (PARTITION BY conv ORDER BY p)),
+lines AS (
+  SELECT n.conv, p, line, letter, j.role, j.text,
+    max((line = 1 AND letter = 'K' AND j.c = 's')::INT) OVER (PARTITION BY n.conv) AS offset_by
+  FROM numbered n LEFT JOIN judged j ON j.conv = n.conv AND j.i = n.i AND letter <> 'I' WHERE letter <> 'D'),
+written AS (
+  SELECT conv, string_agg(CASE WHEN letter = 'K' THEN role WHEN (line - coalesce(offset_by, 0)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS whole
+  FROM lines GROUP BY 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, 'none') AS conv FROM conversations) o
+LEFT JOIN counts USING (conv) LEFT JOIN chosen USING (conv) LEFT JOIN written USING (conv)"""
+
+#: For pages as the given tables hold them: one article each, of headings, paragraphs, breaks and bold text.
+_PAGES = r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS inner_html FROM pages),
+plain AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(inner_html, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS raw FROM articles),
+decoded AS (
+  SELECT page_id, url, regexp_replace(replace(replace(replace(replace(raw, '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'),
+    '&gt;', '>'), '&amp;?', '&', 'g') AS raw FROM plain),
+texts AS (SELECT page_id, url, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS text FROM decoded)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts"""
+
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": _JACCARD,
     "op2_sharding": _SHARDING,
     "op4_decontamination": _DECONTAMINATION,
     "op9_vectors": _VECTORS,
+    "op11_hard_negatives": _NEGATIVES,
+    "op12_conversation_repair": _REPAIR,
+    "op13_page_text": _PAGES,
 }

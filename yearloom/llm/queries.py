@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yearloom.llm import decontaminate, jaccard, language, packing, quality, quotes, sharding, token_files, vectors, word_model
+from yearloom.llm import (
+    decontaminate, jaccard, language, negatives, packing, pages, quality, quotes, repair, sharding, token_files, vectors, word_model,
+)
 from yearloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -71,6 +74,20 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), tokenizer(spark, "word_bpe_49k.json"), end=2)
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    label = F.col("label").cast("long")
+    return negatives.mine(rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.damage_and_repair(table(spark, folder, "conversations"))
+
+
+def op13_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
@@ -82,4 +99,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_vectors": op9_vectors,
     "op10_token_files": op10_token_files,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_page_text": op13_page_text,
 }
