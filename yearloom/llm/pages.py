@@ -268,7 +268,7 @@ class Page:
 
 _PIECE = pa.struct([("text", pa.string()), ("border", pa.bool_()), ("part", pa.int8()), ("other", pa.bool_()),
                     ("inside", pa.int32())])
-_PARSED = ("page_id {page_id}, url {url}, host string, digest long, subtrees array<long>, around array<int>, "
+_PARSED = ("page_id {page_id}, url {url}, host long, digest long, subtrees array<long>, around array<int>, "
            "pieces array<struct<text: string, border: boolean, part: tinyint, other: boolean, inside: int>>")
 
 
@@ -277,7 +277,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, digests, subtrees, around, pieces = [], [], [], [], []
         for url, source in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
             own, above, found = Page(source or "").parts()
-            hosts.append(host_of(url))
+            host = host_of(url)
+            hosts.append(None if host is None else xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass")) & (2**63 - 1))
             seen = xxhash.xxh3_64()
             for text, *_ in found:
                 seen.update(text.encode("utf-8", "surrogatepass") + b"\0")
@@ -286,7 +287,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             around.append(above)
             pieces.append(found)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.string()), pa.array(digests, pa.int64()),
+            [batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.int64()), pa.array(digests, pa.int64()),
              pa.array(subtrees, pa.list_(pa.int64())), pa.array(around, pa.list_(pa.int32())), pa.array(pieces, pa.list_(_PIECE))],
             names=["page_id", "url", "host", "digest", "subtrees", "around", "pieces"])
 
@@ -295,11 +296,11 @@ def parsed(pages: DataFrame) -> DataFrame:
     """The pages in pieces, stored, with a number that is fixed by its place in the table."""
     types = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
     read = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).mapInArrow(_parsed, _PARSED.format(**types))
-    return shared.stored(read.withColumn("row", F.monotonically_increasing_id()), "pages")
+    return shared.stored(read.withColumn("row", F.monotonically_increasing_id()), "pages", compression="zstd")
 
 
 def templates(stored: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, subtree) of the subtrees that recur; pages without a host have none.
+    """(host, subtree) hashes of the subtrees that recur; pages without a host have none.
 
     Pages with the same text count once, so that a copied text is not taken for a template.
     """

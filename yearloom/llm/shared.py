@@ -19,10 +19,10 @@ def folder(spark: SparkSession, name: str) -> str:
     return path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows written to a new shared table and read again: work done once, lineage cut."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
