@@ -23,10 +23,12 @@ def engine():
 
 
 class Result:
-    """Rows of the other engine, columns sorted by name."""
+    """Rows of the other engine, read through a view, columns sorted by name."""
 
     def __init__(self, connection, sql):
-        done = connection.execute(sql)
+        done = connection.sql(sql)
+        done.create_view("result", replace=True)
+        done = connection.execute("SELECT * FROM result")
         self.columns = sorted(c[0] for c in done.description)
         order = sorted(range(len(done.description)), key=lambda i: done.description[i][0])
         self.data = [tuple(r[i] for i in order) for r in done.fetchall()]

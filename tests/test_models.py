@@ -5,13 +5,13 @@ import numpy as np
 import pytest
 from helpers import CORE_SCHEMA, rows
 
-from yearloom.operators import evaluate, modeling, split
+from yearloom.operators import evaluate, linear, modeling, split
 from yearloom.session import scratch_path
 from yearloom.spec import FEATURES
 
 FEW = {
     "rf": dict(modeling.RF_PARAMS, n_estimators=8),
-    "xgb": dict(modeling.XGB_PARAMS, n_estimators=6),
+    "xgb": dict(modeling.XGB_PARAMS, n_estimators=40),
     "ridge": modeling.RIDGE_PARAMS,
 }
 
@@ -31,7 +31,7 @@ def training(spark):
     frame = spark.createDataFrame(data, CORE_SCHEMA + ", Import_Lag1 double, Import_Lag2 double, "
         "Import_Lag3 double, Dep_Lag1 double, Dep_Lag2 double, Import_RollingMean3 double, "
         "FoodSupply_Lag1 double, Area_enc int, Item_enc int")
-    return modeling.assemble(split.assign_split(frame)).persist()
+    return split.assign_split(frame).persist()
 
 
 def closed_form(train, label, alpha):
@@ -47,26 +47,49 @@ def test_ridge_is_the_closed_form(training, alpha):
     train = training.where("split = 'train'")
     fitted = modeling.fit(train, "ridge", "import", {"alpha": alpha})
     w, b = closed_form(train, "Import_Quantity", alpha)
-    assert np.allclose(fitted.model.coefficients.toArray(), w, rtol=1e-5, atol=1e-6)
+    assert np.allclose(fitted.model.coefficients, w, rtol=1e-5, atol=1e-6)
     assert math.isclose(fitted.model.intercept, b, rel_tol=1e-5)
 
 
-def test_gram_solves_the_same_ridge(training):
+def test_ridge_fits_both_targets_from_two_aggregates(spark, training):
     train = training.where("split = 'train'")
-    n = train.count()
-    names = [*FEATURES, "Import_Quantity"]
-    g = np.zeros((11, 11))
-    for r in modeling.gram(train).collect():
-        i, j = names.index(r["left_col"]), names.index(r["right_col"])
-        g[i, j] = g[j, i] = r["cross_product"] * n
-    w = np.linalg.solve(g[:10, :10] + np.eye(10), g[:10, 10])
-    assert np.allclose(w, closed_form(train, "Import_Quantity", 1.0)[0], rtol=1e-6, atol=1e-8)
+    both = modeling.fit_algorithm(train, "ridge")
+    for f in both:
+        assert np.allclose(f.model.coefficients, modeling.fit(train, "ridge", f.target).model.coefficients, rtol=1e-7, atol=1e-12)
+    rest = linear.residuals(train, {f.key: (modeling.TARGETS[f.target], f.model) for f in both}, FEATURES, 1.0).collect()
+    assert len(rest) == 20 and all(abs(r.rest) < 1e-9 for r in rest)
+
+
+def test_ridge_keeps_its_digits_far_from_zero(spark):
+    """Features with large means and small spreads, one of them a copy of another."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 3)) + [1e7, -5e6, 3.0]
+    y = 2 * x[:, 0] - x[:, 1] + rng.normal(size=400)
+    frame = spark.createDataFrame([(*map(float, r), float(r[2]), float(v)) for r, v in zip(x, y)], "a double, b double, c double, d double, y double")
+    model = linear.ridge(frame, ["a", "b", "c", "d"], ["y"], 1.0)[0]
+    wide = np.column_stack([x, x[:, 2]])
+    centred = wide - wide.mean(0)
+    want = np.linalg.solve(centred.T @ centred + np.eye(4), centred.T @ (y - y.mean()))
+    assert np.allclose(model.coefficients, want, rtol=1e-6)
+    free = linear.ridge(frame, ["a", "b", "c", "d"], ["y"], 0.0)[0]
+    assert free.coefficients[:2] == pytest.approx((2, -1), abs=0.2)
+
+
+def test_ridge_leaves_out_rows_with_gaps_and_needs_some(spark, training):
+    train = training.where("split = 'train'")
+    gaps = train.unionByName(train.limit(5).selectExpr(*[
+        "cast(null as double) as Import_Quantity" if c == "Import_Quantity" else c for c in train.columns]))
+    assert modeling.fit(gaps, "ridge", "import").model.coefficients == pytest.approx(
+        modeling.fit(train, "ridge", "import").model.coefficients, rel=1e-9)
+    with pytest.raises(ValueError, match="no rows"):
+        modeling.fit(train.limit(0), "ridge", "import")
+    with pytest.raises(ValueError, match="no rows"):
+        modeling.fit(train.limit(0), "rf", "import")
 
 
 def test_ridge_of_a_constant_label_is_its_value(training):
-    flat = training.selectExpr("features", "split", "7.0D as Import_Quantity")
-    model = modeling.fit(flat, "ridge", "import").model
-    assert model.intercept == pytest.approx(7.0) and not np.any(model.coefficients.toArray())
+    model = modeling.fit(training.selectExpr(*FEATURES, "7.0D as Import_Quantity"), "ridge", "import").model
+    assert model.intercept == pytest.approx(7.0) and np.allclose(model.coefficients, 0)
 
 
 def test_all_models_fit_score_save_and_load(spark, training):
@@ -106,8 +129,8 @@ def test_codes_above_the_bins_are_plain_numbers(spark):
     data = [(i, float(i), i % 5) for i in range(2000)]
     frame = spark.createDataFrame(data, "Item_enc int, Import_Quantity double, z int").selectExpr(
         "*", *[f"cast(z as double) as {c}" for c in FEATURES if c != "Item_enc"])
-    model = modeling.fit(modeling.assemble(frame), "rf", "import", FEW["rf"]).model
-    assert model.featureImportances[FEATURES.index("Item_enc")] > 0.9
+    sizes = modeling.fit(frame, "rf", "import", FEW["rf"]).model.sizes()
+    assert sizes[FEATURES.index("Item_enc")] / sum(sizes) > 0.9
 
 
 def predictions(spark, entries):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from yearloom.operators import features, impute, modeling, reshape, split
 from yearloom.plans import serving, training
 from yearloom.session import scratch_path
-from yearloom.spec import PanelSpec
+from yearloom.spec import FEATURES, PanelSpec
 
 YEARS = list(range(1990, 2000))
 REPEATED = PanelSpec(ordinal="src_row")
@@ -100,17 +100,30 @@ def test_model_steps_predict_once(spark):
 
     core = training.core(stored(spark)).persist()
     p = training.prepare(core)
-    train = modeling.assemble(split.assign_split(p.features))
-    few = {"rf": dict(modeling.RF_PARAMS, n_estimators=2, max_depth=2)}
-    fitted = modeling.fit_all(train, ["rf"], few)
+    few = {"rf": dict(modeling.RF_PARAMS, n_estimators=2, max_depth=2, min_samples_leaf=1)}
+    fitted = modeling.fit_all(p.features, ["rf"], few)
     years = [2000, 2001, 2002, 2003]
     state = serving.coded_state(p.core, p.areas, p.items, years)
     df = forecast.forecast(state, years, forecast.scorers(fitted))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("UDF(") == 3 * len(years)  # one vector, two predictions
+    plan = df._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    assert plan.count("aggregate(") == 2 * len(years)
+    assert "UDF" not in plan
     assert df.count() == len(years) * state.count()
 
 
+def test_comparison_of_models_has_one_exchange(spark):
+    """State rows are not spread a second time, whatever the models."""
+    from yearloom.operators import forecast, trees
+
+    core = training.core(stored(spark)).persist()
+    years = [2000, 2001, 2002]
+    state = forecast.series_state(core, years).withColumns({"Area_enc": F.lit(1), "Item_enc": F.lit(2)})
+    few = trees.written_out("forest", FEATURES, [("Import_Lag1", 3.0, 1.0, 2.0)])
+    scorers = {"a": forecast.ModelScorer(few, few), "b": forecast.ModelScorer(few, few)}
+    plan = planned(forecast.forecast_compare(state, years, scorers))
+    assert exchanges(plan.split("InMemoryTableScan")[0]) == 1
+
+
 def test_whole_run(spark):
     few = {
         "rf": dict(modeling.RF_PARAMS, n_estimators=4),

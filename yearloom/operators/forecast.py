@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.functions.columns import round_to
-from yearloom.operators.modeling import ALGORITHMS, Fitted
+from yearloom.operators.modeling import ALGORITHMS, Fitted, Model
 from yearloom.operators.profile import history_tail
 from yearloom.session import cut_lineage
 from yearloom.spec import FEATURES, IMPORTS, PANEL, RATIO, ROLLING, SUPPLY, PanelSpec
@@ -45,35 +44,20 @@ class LinearScorer:
 
 @dataclass(frozen=True)
 class ModelScorer:
-    """A fitted pair of models for the two targets."""
+    """A pair of models for the two targets, as expressions over the features."""
 
-    imports: Fitted
-    ratio: Fitted
+    imports: Model
+    ratio: Model
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        scored = VectorAssembler(inputCols=FEATURES, outputCol="_v").transform(df)
-        for fitted, output in ((self.imports, "_imp"), (self.ratio, "_dep")):
-            model = fitted.model.copy()
-            model.setFeaturesCol("_v").setPredictionCol(output)
-            scored = model.transform(scored)
-        return scored.drop("_v")
+        return df.withColumns({"_imp": self.imports.column(FEATURES), "_dep": self.ratio.column(FEATURES)})
 
 
 def scorers(fitted: list[Fitted]) -> dict[str, Scorer]:
     """One scorer per algorithm that has both targets fitted."""
-    by_key = {f.key: f for f in fitted}
-    found: dict[str, Scorer] = {}
-    for algo in ALGORITHMS:
-        pair = by_key.get(f"{algo}_import"), by_key.get(f"{algo}_dep")
-        if None in pair:
-            continue
-        if algo == "ridge":
-            found[algo] = LinearScorer(*[
-                (float(f.model.intercept), [float(c) for c in f.model.coefficients]) for f in pair
-            ])
-        else:
-            found[algo] = ModelScorer(*pair)
-    return found
+    by_key = {f.key: f.model for f in fitted}
+    pairs = {algo: (by_key.get(f"{algo}_import"), by_key.get(f"{algo}_dep")) for algo in ALGORITHMS}
+    return {algo: ModelScorer(*pair) for algo, pair in pairs.items() if None not in pair}
 
 
 def series_state(
@@ -97,14 +81,6 @@ def series_state(
     return wanted.join(state, list(spec.keys), "left")
 
 
-def _tasks(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
-    )
-
-
 class _Series:
     """Which column holds a series' value for a year: history or a prediction."""
 
@@ -161,14 +137,8 @@ def forecast_wide(
     Predictions are rounded to 2 digits and the rounded values become lags.  Years
     need not be contiguous: a lag that no earlier step produced comes from the
     history.  Long horizons are cut by a reliable checkpoint.
-
-    State rows are few bytes but tree models cost much per row, so for those the
-    rows are first spread over all tasks: adaptive execution sizes partitions by
-    bytes and would leave a handful.
     """
     frame = state
-    if any(isinstance(s, ModelScorer) for s in by_algo.values()):
-        frame = frame.repartition(_tasks(frame), *spec.keys)
     for algo, scorer in by_algo.items():
         imp, dep, fs = _Series("imp"), _Series("dep"), _Series("fs")
         for i, year in enumerate(years):

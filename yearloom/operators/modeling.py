@@ -1,23 +1,20 @@
-"""Fitting and scoring the three regressors on both targets with Spark ML."""
+"""Fitting and scoring the three regressors on both targets."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
-    RandomForestRegressionModel, RandomForestRegressor,
-)
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yearloom.functions.columns import round_to
-from yearloom.session import shared_folder
+from yearloom.operators import linear, trees
+from yearloom.operators.split import row_draw
 from yearloom.spec import (
     FEATURES, IMPORTS, PANEL, RATIO, RF_PARAMS, RIDGE_PARAMS, XGB_PARAMS, PanelSpec,
 )
@@ -25,11 +22,10 @@ from yearloom.spec import (
 TARGETS = {"import": IMPORTS, "dep": RATIO}
 ALGORITHMS = ["rf", "xgb", "ridge"]
 ALGORITHM_NAMES = {"rf": "RandomForest", "xgb": "XGBoost", "ridge": "Ridge Regression"}
-MODEL_CLASSES = {
-    "rf": RandomForestRegressionModel, "xgb": GBTRegressionModel, "ridge": LinearRegressionModel,
-}
+TREE_KINDS = {"rf": "forest", "xgb": "boosted"}
 PARAMS = {"rf": RF_PARAMS, "xgb": XGB_PARAMS, "ridge": RIDGE_PARAMS}
-MAX_BINS = 256
+
+Model = linear.Linear | trees.Trees
 
 
 @dataclass(frozen=True)
@@ -44,102 +40,83 @@ class Fitted:
         return f"{self.algo}_{self.target}"
 
 
-def assemble(features: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
-    """Codes stay plain numbers: they carry no nominal metadata, so trees split
-    them by order and their number is not limited by the bins."""
-    return VectorAssembler(inputCols=spec.features, outputCol="features").transform(features)
-
-
-def random_forest(label: str, params: dict = RF_PARAMS) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="features", labelCol=label,
-        numTrees=params["n_estimators"], maxDepth=params["max_depth"],
-        minInstancesPerNode=params["min_samples_leaf"], seed=params["random_state"],
-        featureSubsetStrategy="all", maxBins=MAX_BINS,
-    )
+def key_draw(train: DataFrame, spec: PanelSpec = PANEL) -> Column:
+    """A draw from each row's key, or from all its values where the key is not there."""
+    if {*spec.keys, spec.time} <= set(train.columns):
+        return row_draw(spec=spec)
+    return F.xxhash64(*sorted(train.columns)).bitwiseAND(F.lit((1 << 60) - 1))
 
 
-def boosted_trees(label: str, params: dict = XGB_PARAMS) -> GBTRegressor:
-    """Boosting with the same rounds, depth, rate and sampling; Spark draws
-    columns per node, has no leaf penalty and gives the first tree full weight."""
-    return GBTRegressor(
-        featuresCol="features", labelCol=label,
-        maxIter=params["n_estimators"], maxDepth=params["max_depth"],
-        stepSize=params["learning_rate"], subsamplingRate=params["subsample"],
-        featureSubsetStrategy=str(params["colsample_bytree"]), seed=params["random_state"],
-        maxBins=MAX_BINS, checkpointInterval=10,
-    )
-
-
-def ridge(train: DataFrame, label: str, params: dict = RIDGE_PARAMS) -> LinearRegression:
-    """Penalty ``alpha * |w|^2`` on unscaled features against a sum of squares.
+def fit_algorithm(
+    train: DataFrame, algo: str, targets: Sequence[str] = tuple(TARGETS), params: dict | None = None, spec: PanelSpec = PANEL,
+    prepared: trees.Prepared | None = None, **growth: int,
+) -> list[Fitted]:
+    """One algorithm on the targets, fitted together; the seconds are shared out among them.
 
-    Spark minimises a mean over rows of a label scaled by its deviation, so the
-    same penalty is ``alpha * deviation / rows``.
+    ``prepared`` are the rows in bins, where a caller fits several tree models on them.
     """
-    n, deviation = train.agg(F.count(label), F.stddev_pop(label)).first()
-    penalty = params["alpha"] * (deviation or 0.0) / max(n, 1)
-    return LinearRegression(
-        featuresCol="features", labelCol=label, solver="normal",
-        elasticNetParam=0.0, standardization=False, regParam=penalty,
-    )
-
-
-def fit(train: DataFrame, algo: str, target: str, params: dict | None = None) -> Fitted:
-    """``train`` is assembled; keep it persisted when fitting several models."""
     settings = params or PARAMS[algo]
-    context = train.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(train.sparkSession))
-    label = TARGETS[target]
+    labels = [TARGETS[t] for t in targets]
     started = time.time()
-    if algo == "rf":
-        estimator = random_forest(label, settings)
-    elif algo == "xgb":
-        estimator = boosted_trees(label, settings)
-    elif algo == "ridge":
-        estimator = ridge(train, label, settings)
+    if algo == "ridge":
+        models = linear.ridge(train, spec.features, labels, settings["alpha"])
+    elif algo in TREE_KINDS:
+        rows = prepared or prepare(train, targets, spec)
+        if algo == "rf":
+            models = trees.forest(
+                rows, FEATURES, labels, trees=settings["n_estimators"], depth=settings["max_depth"],
+                least_rows=settings["min_samples_leaf"], seed=settings["random_state"], **growth)
+        else:
+            models = trees.boost(
+                rows, FEATURES, labels, rounds=settings["n_estimators"], depth=settings["max_depth"],
+                rate=settings["learning_rate"], subsample=settings["subsample"], part=settings["colsample_bytree"],
+                seed=settings["random_state"], **growth)
     else:
         raise ValueError(f"unknown algorithm {algo!r}")
-    model = estimator.fit(train)
-    return Fitted(algo, target, model, time.time() - started)
+    seconds = (time.time() - started) / len(targets)
+    return [Fitted(algo, t, m, seconds) for t, m in zip(targets, models, strict=True)]
+
+
+def prepare(train: DataFrame, targets: Sequence[str] = tuple(TARGETS), spec: PanelSpec = PANEL) -> trees.Prepared:
+    return trees.prepare(train, spec.features, [TARGETS[t] for t in targets], key_draw(train, spec))
+
+
+def fit(train: DataFrame, algo: str, target: str, params: dict | None = None, spec: PanelSpec = PANEL, **growth: int) -> Fitted:
+    return fit_algorithm(train, algo, [target], params, spec, **growth)[0]
 
 
 def fit_all(
-    train: DataFrame, algorithms: list[str] = ALGORITHMS, params: dict[str, dict] = PARAMS,
-    parallelism: int = 2,
+    train: DataFrame, algorithms: Sequence[str] = ALGORITHMS, params: dict[str, dict] = PARAMS,
+    parallelism: int = 2, spec: PanelSpec = PANEL,
 ) -> list[Fitted]:
-    """Every algorithm on both targets, ``parallelism`` fits at a time: a fit of
-    trees is a long chain of short jobs, so two chains share the executors well."""
-    wanted = [(algo, target) for algo in algorithms for target in TARGETS]
+    """Every algorithm on both targets, ``parallelism`` at a time: boosting is a long
+    chain of short jobs, so another fit runs beside it."""
+    prepared = prepare(train, spec=spec) if set(algorithms) & set(TREE_KINDS) else None
     work = inheritable_thread_target(train.sparkSession)(
-        lambda pair: fit(train, *pair, params[pair[0]])
+        lambda algo: fit_algorithm(train, algo, params=params.get(algo), spec=spec, prepared=prepared)
     )
     with ThreadPool(parallelism) as pool:
-        return pool.map(work, wanted, chunksize=1)
+        found = pool.map(work, algorithms, chunksize=1)
+    return [f for part in found for f in part]
 
 
-def predict(assembled: DataFrame, fitted: list[Fitted]) -> DataFrame:
+def predict(rows: DataFrame, fitted: list[Fitted], spec: PanelSpec = PANEL) -> DataFrame:
     """All models over the rows in one pass, one column ``p_<key>`` each."""
-    for f in fitted:
-        model = f.model.copy()
-        model.setPredictionCol(f"p_{f.key}")
-        assembled = model.transform(assembled)
-    return assembled
+    return rows.withColumns({f"p_{f.key}": f.model.column(spec.features) for f in fitted})
 
 
 def predictions_long(
-    assembled: DataFrame, fitted: list[Fitted], spec: PanelSpec = PANEL
+    rows: DataFrame, fitted: list[Fitted], spec: PanelSpec = PANEL
 ) -> DataFrame:
     """Key, split, model, target, y, p: one row per input row and model."""
-    rows = F.array(*[
+    scores = F.array(*[
         F.struct(
             F.lit(f.key).alias("model"), F.lit(f.target).alias("target"),
             F.col(TARGETS[f.target]).alias("y"), F.col(f"p_{f.key}").alias("p"),
         )
         for f in fitted
     ])
-    return predict(assembled, fitted).select(*spec.keys, spec.time, "split", F.inline(rows))
+    return predict(rows, fitted, spec).select(*spec.keys, spec.time, "split", F.inline(scores))
 
 
 def ranked_shares(sizes: DataFrame) -> DataFrame:
@@ -155,12 +132,12 @@ def ranked_shares(sizes: DataFrame) -> DataFrame:
 
 
 def importances(spark: SparkSession, fitted: list[Fitted]) -> DataFrame:
-    """Importance per model and feature: of trees as they report it, of linear models
+    """Importance per model and feature: of trees by the gains of their splits, of linear models
     by their coefficients; one row per feature of each model, whatever the data."""
     rows = [
         (f.key, i, name, float(v)) for f in fitted
         for i, (name, v) in enumerate(zip(
-            FEATURES, f.model.coefficients if f.algo == "ridge" else f.model.featureImportances, strict=True))
+            FEATURES, f.model.coefficients if f.algo == "ridge" else f.model.sizes(), strict=True))
     ]
     return ranked_shares(spark.createDataFrame(rows, "model string, position int, feature string, size double"))
 
@@ -191,30 +168,35 @@ def model_table(spark: SparkSession, fitted: list[Fitted]) -> DataFrame:
     )
 
 
-def gram(train: DataFrame, label: str = IMPORTS, spec: PanelSpec = PANEL) -> DataFrame:
-    """Centred mean cross-products of features and label in one aggregation: with
-    the row count, all that a ridge solution needs however many rows there are."""
-    columns = [*spec.features, label]
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    sums = train.agg(
-        *[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-          for i, (a, b) in enumerate(pairs)],
-    )
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("left_col"), F.lit(b).alias("right_col"),
-                 F.col(f"c{i}").alias("cross_product"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return sums.select(F.inline(rows))
+_COEFFICIENTS = "model string, position int, feature string, value double"
 
 
 def save_models(fitted: list[Fitted], folder: str) -> None:
-    for f in fitted:
-        f.model.write().overwrite().save(f"{folder}/{f.key}")
-
-
-def load_models(folder: str, algorithms: list[str] = ALGORITHMS) -> list[Fitted]:
-    return [
-        Fitted(algo, target, MODEL_CLASSES[algo].load(f"{folder}/{algo}_{target}"), 0.0)
-        for algo in algorithms for target in TARGETS
-    ]
+    """Tree models as one node table, linear ones as one table of coefficients (position -1: the intercept)."""
+    spark = SparkSession.active()
+    nodes = [f.model.table(spark).select(F.lit(f.key).alias("model"), "*") for f in fitted if f.algo in TREE_KINDS]
+    if nodes:
+        reduce(DataFrame.unionByName, nodes).coalesce(1).sortWithinPartitions("model", "tree", "node").write.mode(
+            "overwrite").parquet(f"{folder}/nodes")
+    weights = [(f.key, i - 1, name, value) for f in fitted if f.algo == "ridge"
+               for i, (name, value) in enumerate([(None, f.model.intercept), *zip(FEATURES, f.model.coefficients, strict=True)])]
+    spark.createDataFrame(weights, _COEFFICIENTS).coalesce(1).write.mode("overwrite").parquet(f"{folder}/coefficients")
+    keys = [(i, f.algo, f.target) for i, f in enumerate(fitted)]
+    spark.createDataFrame(keys, "position int, algo string, target string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/keys")
+
+
+def load_models(folder: str, algorithms: Sequence[str] = ALGORITHMS) -> list[Fitted]:
+    """The stored models of these algorithms, in the order they were stored."""
+    spark = SparkSession.active()
+    found = []
+    for _, algo, target in sorted(spark.read.parquet(f"{folder}/keys").collect()):
+        if algo not in algorithms:
+            continue
+        own = F.col("model") == f"{algo}_{target}"
+        if algo == "ridge":
+            values = [r.value for r in spark.read.parquet(f"{folder}/coefficients").where(own).orderBy("position").collect()]
+            model = linear.Linear(values[0], tuple(values[1:]))
+        else:
+            model = trees.from_table(spark.read.parquet(f"{folder}/nodes").where(own), TREE_KINDS[algo], FEATURES)
+        found.append(Fitted(algo, target, model, 0.0))
+    return found

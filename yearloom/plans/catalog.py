@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from yearloom.functions.columns import round_to, to_number
 from yearloom.operators import (
-    evaluate, features, forecast, impute, modeling, panel, profile, reshape, series, split,
+    evaluate, features, forecast, impute, linear, modeling, panel, profile, reshape, series, split, trees,
 )
 from yearloom.plans import serving, training
 from yearloom.session import scratch_path
 from yearloom.sources import derived, metrics_store, panel_store
 from yearloom.sources import wide as wide_scan
 from yearloom.spec import (
-    ELEMENTS, ENGINEERED, IMPORTS, RATIO, SUPPLY, PanelSpec,
+    ELEMENTS, ENGINEERED, FEATURES, IMPORTS, RATIO, RF_PARAMS, RIDGE_PARAMS, SUPPLY, XGB_PARAMS, PanelSpec,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,18 @@ FORMULA_SETS = {
         ratio=(2.0, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.5, 0.25, 0.0, 0.125])),
 }
 
+# Two small trees a target, for the tree queries that have a SQL counterpart.
+FIXED_TREES = {
+    "import": [
+        ("Import_Lag1", 25.0, ("Dep_Lag1", 80.0, 11.25, ("Item_enc", 70.0, 17.5, 14.0)), ("Import_Lag2", 30.0, 28.0, 41.5)),
+        ("Year", 1999.0, 0.5, ("Area_enc", 12.0, ("FoodSupply_Lag1", 20.0, -1.25, 0.75), 2.0)),
+    ],
+    "dep": [
+        ("Dep_Lag1", 100.0, ("Dep_Lag2", 60.0, 55.0, 75.25), ("Import_RollingMean3", 30.0, 120.0, 140.5)),
+        ("Import_Lag3", 20.0, ("Dep_Lag1", 150.0, -2.0, 6.5), 3.25),
+    ],
+}
+
 
 # --- shared steps -------------------------------------------------------------
 
@@ -99,8 +111,15 @@ def _at(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 # --- ingest -------------------------------------------------------------------
 
+def _cells(wide: DataFrame) -> DataFrame:
+    """The wide rows with their year columns in one text: names and whole values, in the columns' order."""
+    shown = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("long").cast("string"), F.lit("")))
+             for c in sorted(wide_scan.year_columns(wide.columns))]
+    return wide.select("Area", "Item", "Element", F.concat_ws(",", *shown).alias("cells"))
+
+
 def scan_wide(spark, folder):
-    return wide_scan.select_years(derived.wide(spark, folder))
+    return _cells(wide_scan.select_years(derived.wide(spark, folder)))
 
 
 def filter_elements(spark, folder):
@@ -134,7 +153,7 @@ def scan_csv(spark, folder):
     derived.wide(spark, folder).write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
     raw = wide_scan.select_years(wide_scan.scan_wide_csv(spark, path))
     years = wide_scan.year_columns(raw.columns)
-    return raw.withColumns({c: to_number(F.col(c)) for c in years})
+    return _cells(raw.withColumns({c: to_number(F.col(c)) for c in years}))
 
 
 # --- reshape and clean --------------------------------------------------------
@@ -312,10 +331,61 @@ def split_counts(spark, folder):
     return split.split_counts(_assigned(spark, folder))
 
 
+def _split_features(spark, folder) -> DataFrame:
+    """Feature rows with codes, split, as a table."""
+    return _stored(split.assign_split(_stored(_prepared(spark, folder).features, "features")), "split")
+
+
 def ridge_gram(spark, folder):
-    rows = _stored(_prepared(spark, folder).features, "features")
-    train = split.assign_split(rows).where("split = 'train'")
-    return _at(modeling.gram(train), 3, "cross_product")
+    """The sums that ridge fits of imports are solved from."""
+    train = _split_features(spark, folder).where("split = 'train'")
+    return _at(linear.gram(linear.moments(train, [*FEATURES, IMPORTS])), 3, "cross_product")
+
+
+def ridge_residual(spark, folder):
+    """The normal equations at the fitted weights: 0 for every target and feature."""
+    train = _split_features(spark, folder).where("split = 'train'")
+    fitted = modeling.fit_algorithm(train, "ridge")
+    models = {f.key: (modeling.TARGETS[f.target], f.model) for f in fitted}
+    rest = linear.residuals(train, models, FEATURES, RIDGE_PARAMS["alpha"])
+    return rest.withColumn("rest", F.round("rest", 6) + F.lit(0.0))
+
+
+def ridge_metrics(spark, folder):
+    """Scores of the fitted ridge models on both parts of the split."""
+    return evaluate.evaluate(_scores(spark, folder, "ridge"))
+
+
+def bootstrap_counts(spark, folder):
+    """Per tree of the forest, the rows drawn from the training rows and their weights."""
+    train = _split_features(spark, folder).where("split = 'train'")
+    numbers = range(RF_PARAMS["n_estimators"])
+    drawn = trees.bootstrapped(modeling.prepare(train).rows, RF_PARAMS["random_state"], numbers)
+    return drawn.groupBy((F.col("i") + 1).alias("tree")).agg(
+        F.count("*").alias("row_count"), F.sum("weight").cast("long").alias("weight"))
+
+
+def boost_first_split(spark, folder):
+    """Root of the first boosted tree of each target; the gain per row."""
+    train = _split_features(spark, folder).where("split = 'train'")
+    found = [
+        f.model.table(spark).where("tree = 1 and node = 1").select(F.lit(f.key).alias("model"), "feature", "threshold",
+                                                                   round_to(F.col("gain") / F.col("cover"), 4).alias("gain"), "cover")
+        for f in modeling.fit_algorithm(train, "xgb", params={**XGB_PARAMS, "n_estimators": 1})
+    ]
+    return found[0].unionByName(found[1])
+
+
+def tree_importance(spark, folder):
+    """Importances of fixed trees, by the gains their splits have on the training rows."""
+    train = _split_features(spark, folder).where("split = 'train'")
+    rows = [
+        (f"{kind}_{target}", i, FEATURES[i], size)
+        for kind, penalty in (("forest", 0.0), ("boosted", 1.0)) for target, nested in FIXED_TREES.items()
+        for i, size in enumerate(trees.measured(
+            trees.written_out(kind, FEATURES, nested), train, modeling.TARGETS[target], penalty).sizes())
+    ]
+    return modeling.ranked_shares(spark.createDataFrame(rows, "model string, position int, feature string, size double"))
 
 
 def _naive(spark, folder):
@@ -350,24 +420,19 @@ def r2_cap_flag(spark, folder):
 class _Fits:
     prepared: training.Prepared
     split: DataFrame
-    rows: DataFrame
     fitted: list[modeling.Fitted]
 
 
 def _fits(spark, folder, algorithms=modeling.ALGORITHMS) -> _Fits:
-    """Fits on the stored split feature rows; the rows are held in memory only
-    while the fits read them."""
+    """Fits on the stored split feature rows."""
     prepared = _prepared(spark, folder)
     stored = _stored(split.assign_split(_stored(prepared.features, "features")), "split")
-    held = training.model_rows(stored)
-    fitted = modeling.fit_all(held.where("split = 'train'"), algorithms)
-    held.unpersist()
-    return _Fits(prepared, stored, modeling.assemble(stored), fitted)
+    return _Fits(prepared, stored, modeling.fit_all(stored.where("split = 'train'"), algorithms))
 
 
 def _scores(spark, folder, algo):
     fits = _fits(spark, folder, [algo])
-    return modeling.predictions_long(fits.rows, fits.fitted)
+    return modeling.predictions_long(fits.split, fits.fitted)
 
 
 def rf_scores(spark, folder):
@@ -379,7 +444,7 @@ def gbt_scores(spark, folder):
 
 
 def ridge_scores(spark, folder):
-    return _scores(spark, folder, "ridge")
+    return _at(_at(_scores(spark, folder, "ridge"), 4, "y"), 3, "p")
 
 
 def _score_counts(scores: DataFrame) -> DataFrame:
@@ -440,12 +505,12 @@ def document_info(spark, folder):
 
 def model_comparison(spark, folder):
     fits = _fits(spark, folder)
-    return training.score(fits.rows, fits.fitted).drop("train_time_sec")
+    return training.score(fits.split, fits.fitted).drop("train_time_sec")
 
 
 def metrics_document(spark, folder):
     fits = _fits(spark, folder)
-    metrics = training.score(fits.rows, fits.fitted)
+    metrics = training.score(fits.split, fits.fitted)
     path = scratch_path(spark, "metrics")
     metrics_store.write_metrics(
         path, profile.dataset_info(fits.prepared.core, fits.split), metrics,
@@ -499,6 +564,22 @@ def formula_compare(spark, folder):
     return forecast.forecast_compare(state, years, FORMULA_SETS)
 
 
+def tree_forecast(spark, folder):
+    """The recursive forecast with fixed trees, as conditions over the features."""
+    years = horizon(spark, folder)
+    _, state = _state(spark, folder, years)
+    pair = [trees.written_out("boosted", FEATURES, FIXED_TREES[t]) for t in modeling.TARGETS]
+    return forecast.forecast(state, years, {"fixed": forecast.ModelScorer(*pair)}).drop("algo")
+
+
+def served_forecast(spark, folder):
+    """A stored run, loaded again and asked for the forecast of one algorithm."""
+    path = scratch_path(spark, "run")
+    training.train(derived.wide(spark, folder), path, algorithms=["ridge"])
+    run = serving.load(spark, path)
+    return serving.predict(run, horizon(spark, folder), algo="ridge")
+
+
 def forecast_compare(spark, folder):
     years = horizon(spark, folder)
     fits = _fits(spark, folder)
@@ -520,7 +601,9 @@ QUERIES: dict[str, Query] = {
         history_tail, history_tail_short,
         split_assign, split_counts, ridge_gram, eval_metrics, best_model, metric_best_flags,
         r2_cap_flag,
+        ridge_residual, ridge_metrics, bootstrap_counts, boost_first_split, tree_importance,
         point_forecast, recursive_forecast, requested_forecast, trend_series, formula_compare,
+        tree_forecast, served_forecast,
         rf_scores, gbt_scores, ridge_scores, rf_score_counts, ridge_score_counts, slope_importance,
         document_models, document_importances, document_info, importance_rank, model_comparison,
         metrics_document, forecast_compare,

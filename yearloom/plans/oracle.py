@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from yearloom.plans.catalog import AHEAD, FORMULA_SETS, FORMULAS, SECOND_IMPORT
-from yearloom.spec import ELEMENTS, ENGINEERED, FEATURES, R2_CAP
+from yearloom.operators import trees
+from yearloom.plans.catalog import AHEAD, FIXED_TREES, FORMULA_SETS, FORMULAS, SECOND_IMPORT
+from yearloom.spec import ELEMENTS, ENGINEERED, FEATURES, R2_CAP, RF_PARAMS, RIDGE_PARAMS, XGB_PARAMS
 
 CORE_VALUES = ["Import_Quantity", "Food_Supply", "Dependency_Pct"]
 
@@ -154,9 +155,13 @@ state AS (
 coded AS (SELECT state.*, Area_enc, Item_enc FROM state JOIN areas USING (Area) JOIN items USING (Item))"""
 
 
-def _steps(start: str, count: int, formula=FORMULAS, name: str = "") -> str:
-    """Each round turns one state row per series into the next year's."""
-    imp, dep = _linear(formula.imports), _linear(formula.ratio)
+def _formula(formula) -> tuple[str, str]:
+    return _linear(formula.imports), _linear(formula.ratio)
+
+
+def _steps(start: str, count: int, formula: tuple[str, str], name: str = "") -> str:
+    """Each round turns one state row per series into the next year's by the formulas of imports and ratio."""
+    imp, dep = formula
     shown = """Area_enc, Item_enc, Year, i1 AS Import_Lag1, i2 AS Import_Lag2, i3 AS Import_Lag3,
       d1 AS Dep_Lag1, d2 AS Dep_Lag2, (i1 + i2 + i3) / 3 AS Import_RollingMean3, f1 AS FoodSupply_Lag1"""
     return f"""
@@ -266,9 +271,10 @@ shares AS (
   FROM (SELECT *, sum(abs(size)) OVER (PARTITION BY model) AS total FROM slopes))"""
 
 
-_PIVOTED = _with(_PLAIN[:1], """
-SELECT * FROM (PIVOT (SELECT Area, Item, Element, 'Y' || yr AS y, l_quantity FROM trade)
-               ON y USING sum(l_quantity) GROUP BY Area, Item, Element)""")
+_CELLS = _with([_PLAIN[0], _PLAIN[1]], """
+SELECT Area, Item, Element, string_agg('Y' || g.yr || '=' || coalesce(Value::BIGINT::VARCHAR, ''), ',' ORDER BY g.yr) AS cells
+FROM wide CROSS JOIN span g LEFT JOIN cells USING (Area, Item, Element, yr)
+GROUP BY 1, 2, 3""")
 
 _FIRST = f"({_LAST} + 1)"
 _AHEAD = [*_CODED, _state(_FIRST)]
@@ -279,9 +285,162 @@ coded AS (
   FROM (SELECT DISTINCT Area, Item FROM wide) p JOIN areas USING (Area) JOIN items USING (Item)
   LEFT JOIN state USING (Area, Item))"""]
 
+
+_TARGETS = [("import", "Import_Quantity"), ("dep", "Dependency_Pct")]
+
+
+def _ridge() -> str:
+    """Weights of both targets: centred products, scaled to a diagonal of ones, eliminated column by column."""
+    columns = [*FEATURES, *[c for _, c in _TARGETS]]
+    n, wide = len(FEATURES), len(columns)
+    product = lambda i, j: f"p{min(i, j)}_{max(i, j)}"
+    entries = ", ".join(f"sum(x{i} * x{j}) AS {product(i, j)}" for i in range(n) for j in range(i, wide))
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS i, [" + ", ".join(
+            f"({product(i, j)} + {RIDGE_PARAMS['alpha'] if i == j else 0.0}::DOUBLE) * s{i}" + (f" * s{j}" if j < n else "")
+            for j in range(wide)) + "] AS r FROM products, scales"
+        for i in range(n))
+    steps = ",".join(f"""
+g{k + 1} AS MATERIALIZED (
+  SELECT g.i, CASE WHEN g.i = {k} THEN list_transform(q.r, lambda x: x / q.r[{k + 1}])
+    ELSE list_transform(range(1, {wide + 1}), lambda j: g.r[j] - g.r[{k + 1}] / q.r[{k + 1}] * q.r[j]) END AS r
+  FROM g{k} g, (SELECT r FROM g{k} WHERE i = {k}) q)""" for k in range(n))
+    fits = ",".join(f"""
+weights_{t} AS MATERIALIZED (
+  SELECT {', '.join(f'max(CASE WHEN i = {i} THEN r[{n + k + 1}] END) * any_value(s{i}) AS w{i}' for i in range(n))} FROM g{n}, scales),
+fit_{t} AS MATERIALIZED (
+  SELECT m{n + k} - ({' + '.join(f'm{i} * w{i}' for i in range(n))}) AS b, weights_{t}.* FROM weights_{t}, mom)"""
+                    for k, (t, _) in enumerate(_TARGETS))
+    return f"""
+mom AS MATERIALIZED (
+  SELECT {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(columns))} FROM assigned WHERE split = 'train'),
+centred AS (SELECT {', '.join(f'{c} - m{i} AS x{i}' for i, c in enumerate(columns))} FROM assigned, mom WHERE split = 'train'),
+products AS MATERIALIZED (SELECT {entries} FROM centred),
+scales AS MATERIALIZED (
+  SELECT {', '.join(f"1 / sqrt({product(i, i)} + {RIDGE_PARAMS['alpha']}::DOUBLE) AS s{i}" for i in range(n))} FROM products),
+g0 AS MATERIALIZED ({rows}),{steps},{fits}"""
+
+
+def _fitted(target: str) -> str:
+    total = f"(SELECT b FROM fit_{target})"
+    for i, name in enumerate(FEATURES):
+        total = f"({total} + (SELECT w{i} FROM fit_{target}) * {name})"
+    return total
+
+
+_RIDGE = [*_DRAWN, _ridge()]
+_RIDGE_SCORED = [*_RIDGE, "\nscored AS (" + " UNION ALL ".join(
+    f"SELECT Area, Item, Year, split, 'ridge_{t}' AS model, '{t}' AS target, {c} AS y, {_fitted(t)} AS p FROM assigned"
+    for t, c in _TARGETS) + ")"]
+
+_METRICS = _NAIVE.split("metrics AS (")[1].replace("position,", "", 1).replace("FROM naive", "FROM scored").replace(
+    ", position)", ")")
+
+
+def _conditions(nested) -> str:
+    if not isinstance(nested, tuple):
+        return f"{nested}::DOUBLE"
+    return f"CASE WHEN {nested[0]} < {nested[1]} THEN {_conditions(nested[2])} ELSE {_conditions(nested[3])} END"
+
+
+def _tree_sum(target: str) -> str:
+    return "(0.0::DOUBLE + " + " + ".join(_conditions(t) for t in FIXED_TREES[target]) + ")"
+
+
+def _tree_nodes() -> str:
+    """Rows and label sums of every node of the fixed trees."""
+    def nodes(part, node=1, path="true"):
+        yield node, part, path
+        if isinstance(part, tuple):
+            yield from nodes(part[2], 2 * node, f"{path} AND {part[0]} < {part[1]}")
+            yield from nodes(part[3], 2 * node + 1, f"{path} AND {part[0]} >= {part[1]}")
+
+    stats = " UNION ALL ".join(
+        f"SELECT '{t}' AS target, {k} AS tree, {node} AS node, "
+        f"{FEATURES.index(part[0]) if isinstance(part, tuple) else -1} AS position, coalesce(sum({c}), 0) AS s, count(*) AS n "
+        f"FROM assigned WHERE split = 'train' AND {path}"
+        for t, c in _TARGETS for k, tree in enumerate(FIXED_TREES[t]) for node, part, path in nodes(tree))
+    names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(FEATURES))
+    return f"""
+stats AS ({stats}),
+kinds(kind, penalty) AS (VALUES ('forest', 0), ('boosted', 1)),
+scored AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE s * s / (n + penalty) END AS score FROM stats, kinds),
+gains AS (
+  SELECT p.kind, p.target, p.tree, p.position, l.score + r.score - p.score AS gain
+  FROM scored p JOIN scored l ON (l.kind, l.target, l.tree, l.node) = (p.kind, p.target, p.tree, 2 * p.node)
+  JOIN scored r ON (r.kind, r.target, r.tree, r.node) = (p.kind, p.target, p.tree, 2 * p.node + 1)),
+found AS (
+  SELECT kind, target, position, CASE WHEN kind = 'forest' THEN sum(gain / whole) ELSE avg(gain) END AS size
+  FROM (SELECT *, sum(gain) OVER (PARTITION BY kind, target, tree) AS whole FROM gains) GROUP BY 1, 2, 3),
+sizes AS (
+  SELECT kind || '_' || target AS model, position, feature, coalesce(size, 0) AS size
+  FROM (SELECT DISTINCT kind, target FROM found) CROSS JOIN (VALUES {names}) f(position, feature)
+  LEFT JOIN found USING (kind, target, position)),
+shares AS (
+  SELECT model, position, feature, {_r('abs(size) / sum(abs(size)) OVER (PARTITION BY model)', 4)} AS importance FROM sizes)"""
+
+
+_BITS = "length(bin({}::BIGINT))"
+
+
+def _first_split() -> str:
+    """Root splits of the first boosted trees: grid values, cuts between parts of like size, gains of all cuts."""
+    seed, part = XGB_PARAMS["random_state"], XGB_PARAMS["colsample_bytree"]
+    values = " UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS x FROM train" for i, c in enumerate(FEATURES))
+    largest = [f"(SELECT floor(max(abs({c}))) FROM train)" for _, c in _TARGETS]
+    bits = [f"(least(28, 57 - {_BITS.format('(SELECT count(*) FROM train)')}) - {_BITS.format(m)})" for m in largest]
+    fixed = f"pow(2::DOUBLE, least({', '.join(bits)}))"
+    found = []
+    for k, (t, c) in enumerate(_TARGETS):
+        own = f"pow(2::DOUBLE, {bits[k]})"
+        base = f"(SELECT sum(round_even({c} * {own}, 0)::HUGEINT)::DOUBLE / count(*) / {own} FROM train)"
+        features = trees.drawn_features(seed, c, 1, len(FEATURES), part)
+        rows = " UNION ALL ".join(f"SELECT {i} AS f, {FEATURES[i]}::DOUBLE AS x, wanted FROM lacking_{t}" for i in features)
+        found.append(f"""
+lacking_{t} AS MATERIALIZED (
+  SELECT *, round_even(({c} - {base}) * {fixed}, 0)::BIGINT AS wanted FROM train
+  WHERE (d * {trees.factor('round', seed, c, 1)}) % {trees.MODULUS} / {trees.MODULUS}::DOUBLE < {XGB_PARAMS['subsample']}),
+sides_{t} AS (
+  SELECT f, edge, sum(CASE WHEN x < edge THEN wanted ELSE 0 END)::DOUBLE AS sl, sum(wanted)::DOUBLE AS s,
+    count(*) FILTER (x < edge) AS nl, count(*) AS n
+  FROM ({rows}) JOIN edges USING (f) GROUP BY 1, 2),
+best_{t} AS (
+  SELECT 'xgb_{t}' AS model, f, edge AS threshold, n,
+    (sl * sl / (nl + 1) + (s - sl) * (s - sl) / (n - nl + 1) - s * s / (n + 1)) / ({fixed} * {fixed}) AS gain
+  FROM sides_{t} WHERE nl >= 1 AND n - nl >= 1 ORDER BY gain DESC, f, edge LIMIT 1)""")
+    names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(FEATURES))
+    return f"""
+train AS MATERIALIZED (SELECT *, draw % {trees.MODULUS} AS d FROM assigned WHERE split = 'train'),
+vals AS ({values}),
+guesses AS (SELECT f, x, abs(x) AS size, floor(log2(CASE WHEN x = 0 THEN 1 ELSE abs(x) END)) AS e FROM vals),
+grid AS (
+  SELECT f, x, size, pow(2::DOUBLE, {trees.CUT_BITS} - (e + CASE WHEN size >= pow(2::DOUBLE, e + 1) THEN 1
+    WHEN size < pow(2::DOUBLE, e) THEN -1 ELSE 0 END)) AS scale FROM guesses),
+tallies AS (SELECT f, CASE WHEN size < 1e-290 THEN 0 ELSE floor(x * scale) / scale END AS edge, count(*) AS n FROM grid GROUP BY 1, 2),
+ranked AS (
+  SELECT f, edge, sum(n) OVER (PARTITION BY f ORDER BY edge) - n AS before, sum(n) OVER (PARTITION BY f) AS total,
+    row_number() OVER (PARTITION BY f ORDER BY edge) AS r, count(*) OVER (PARTITION BY f) AS m FROM tallies),
+parts AS (SELECT *, (before * {trees.BINS}) // total AS part FROM ranked),
+edges AS MATERIALIZED (
+  SELECT f, edge FROM (SELECT *, lag(part) OVER (PARTITION BY f ORDER BY edge) AS earlier FROM parts)
+  WHERE r > 1 AND (m <= {trees.BINS} OR part > earlier)),{','.join(found)},
+names(f, feature) AS (VALUES {names})"""
+
+
+def _bootstrap() -> str:
+    seed = RF_PARAMS["random_state"]
+    factors = ", ".join(f"({t + 1}, {trees.factor('tree', seed, t)})" for t in range(RF_PARAMS["n_estimators"]))
+    weight = " + ".join(f"(u >= {p!r}::DOUBLE)::INT" for p in trees.POISSON)
+    return f"""
+shares AS (
+  SELECT tree, ((draw % {trees.MODULUS}) * multiplier) % {trees.MODULUS} / {trees.MODULUS}::DOUBLE AS u
+  FROM assigned CROSS JOIN (VALUES {factors}) f(tree, multiplier) WHERE split = 'train'),
+weighed AS (SELECT tree, {weight} AS weight FROM shares)"""
+
+
 ORACLE: dict[str, str] = {
-    "scan_wide": _PIVOTED,
-    "scan_csv": _PIVOTED,
+    "scan_wide": _CELLS,
+    "scan_csv": _CELLS,
     "filter_elements": _with(_PLAIN[:2], "SELECT Element, count(*) AS row_count FROM selected GROUP BY 1"),
     "core_roundtrip": _with(_PLAIN, _CORE_ROWS),
     "stage_counts": _with(_MODEL, " UNION ALL ".join(
@@ -348,6 +507,28 @@ UNION ALL SELECT 'Item', Item, Item_enc::INTEGER FROM items"""),
     "split_assign": _with(_DRAWN, f"SELECT {_KEYS}, split FROM assigned"),
     "split_counts": _with(_DRAWN, "SELECT split, count(*) AS row_count FROM assigned GROUP BY 1"),
     "ridge_gram": _with(_DRAWN, _GRAM),
+    "ridge_residual": _with(_RIDGE_SCORED, "", False) + " UNION ALL ".join(
+        f"SELECT 'ridge_{t}' AS model, '{c}' AS feature, round((sum(({c} - m{i}) * (y - p)) - {RIDGE_PARAMS['alpha']}::DOUBLE "
+        f"* any_value((SELECT w{i} FROM fit_{t}))) / sum(abs(({c} - m{i}) * (y - p))), 6) + 0.0::DOUBLE AS rest "
+        f"FROM (SELECT *, {label} AS y, {_fitted(t)} AS p FROM assigned WHERE split = 'train'), mom"
+        for t, label in _TARGETS for i, c in enumerate(FEATURES)),
+    "ridge_scores": _with(_RIDGE_SCORED, f"""
+SELECT Area, Item, Year, split, model, target, {_r('y', 4)} AS y, {_r('p', 3)} AS p FROM scored"""),
+    "ridge_metrics": _with([*_RIDGE_SCORED, "\nmetrics AS (" + _METRICS], """
+SELECT model, target, r2_train, r2_test, mae, rmse, mape FROM metrics"""),
+    "bootstrap_counts": _with([*_DRAWN, _bootstrap()], """
+SELECT tree, count(*) AS row_count, sum(weight)::BIGINT AS weight FROM weighed WHERE weight > 0 GROUP BY 1"""),
+    "boost_first_split": _with([*_DRAWN, _first_split()], f"""
+SELECT model, feature, threshold, {_r('gain / n', 4)} AS gain, n::DOUBLE AS cover
+FROM (SELECT * FROM best_import UNION ALL SELECT * FROM best_dep) JOIN names USING (f)"""),
+    "tree_importance": _with([*_DRAWN, _tree_nodes()], """
+SELECT model, feature, importance,
+  row_number() OVER (PARTITION BY model ORDER BY importance DESC, position)::INTEGER AS importance_rank FROM shares"""),
+    "tree_forecast": _with([*_AHEAD, _steps(_FIRST, AHEAD, (_tree_sum("import"), _tree_sum("dep")))],
+                           "SELECT Area, Item, Year, imp, dep FROM future", True),
+    "served_forecast": _with(
+        [*_RIDGE, _state(_FIRST), _steps(_FIRST, AHEAD, (_fitted("import"), _fitted("dep")))],
+        "SELECT Area, Item, 'ridge' AS algo, Year, imp, dep FROM future", True),
     "eval_metrics": _with(
         _SCORED, "SELECT model, target, r2_train, r2_test, mae, rmse, mape FROM metrics"),
     "best_model": _with(_SCORED, """
@@ -374,18 +555,18 @@ SELECT (SELECT count(*) FROM core) AS total_rows, (SELECT count(*) FROM assigned
   (SELECT model FROM metrics WHERE target = 'import' ORDER BY r2_test DESC, position DESC LIMIT 1) AS best_import,
   (SELECT model FROM metrics WHERE target = 'dep' ORDER BY r2_test DESC, position DESC LIMIT 1) AS best_dep"""),
     "point_forecast": _with(
-        [*_CODED, _state(f"({_LAST} + {AHEAD})"), _steps(f"({_LAST} + {AHEAD})", 1)],
+        [*_CODED, _state(f"({_LAST} + {AHEAD})"), _steps(f"({_LAST} + {AHEAD})", 1, _formula(FORMULAS))],
         "SELECT Area, Item, Year, imp, dep FROM future", True),
     "recursive_forecast": _with(
-        [*_AHEAD, _steps(_FIRST, AHEAD)], "SELECT Area, Item, Year, imp, dep FROM future", True),
+        [*_AHEAD, _steps(_FIRST, AHEAD, _formula(FORMULAS))], "SELECT Area, Item, Year, imp, dep FROM future", True),
     "requested_forecast": _with(
-        [*_REQUESTED, _steps(_FIRST, AHEAD)], "SELECT Area, Item, Year, imp, dep FROM future", True),
-    "trend_series": _with([*_AHEAD, _steps(_FIRST, AHEAD)], f"""
+        [*_REQUESTED, _steps(_FIRST, AHEAD, _formula(FORMULAS))], "SELECT Area, Item, Year, imp, dep FROM future", True),
+    "trend_series": _with([*_AHEAD, _steps(_FIRST, AHEAD, _formula(FORMULAS))], f"""
 SELECT Area, Item, Year, 'Historical' AS kind, {_r('Import_Quantity', 2)} AS imp, {_r('Dependency_Pct', 2)} AS dep
 FROM (SELECT *, row_number() OVER (PARTITION BY Area, Item ORDER BY Year DESC) AS r FROM core) WHERE r <= 10
 UNION ALL SELECT Area, Item, Year, 'fixed forecast', imp, dep FROM future""", True),
     "formula_compare": _with(
-        [*_AHEAD, *[_steps(_FIRST, AHEAD, formula, f"_{name}") for name, formula in FORMULA_SETS.items()]],
+        [*_AHEAD, *[_steps(_FIRST, AHEAD, _formula(formula), f"_{name}") for name, formula in FORMULA_SETS.items()]],
         "SELECT Area, Item, Year, "
         + ", ".join(f"future_{n}.{c} AS {n}_{t}" for c, t in (("imp", "import"), ("dep", "dep")) for n in FORMULA_SETS)
         + " FROM " + " JOIN ".join(

@@ -64,10 +64,10 @@ def prepare_wide(wide: DataFrame, spec: PanelSpec = PANEL, elements=ELEMENTS) ->
 
 
 def model_rows(features_df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
-    """Split and assembled feature rows, persisted: every fit and the scoring read
-    them, and the caller lets go of them.  Rows that are split already stay so."""
+    """Split feature rows, persisted: every fit and the scoring read them, and the
+    caller lets go of them.  Rows that are split already stay so."""
     assigned = features_df if "split" in features_df.columns else split.assign_split(features_df, spec=spec)
-    return modeling.assemble(assigned, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    return assigned.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def score(rows: DataFrame, fitted: list[modeling.Fitted], spec: PanelSpec = PANEL) -> DataFrame:
@@ -90,7 +90,7 @@ def fit_and_score(
 ) -> tuple[list[modeling.Fitted], DataFrame]:
     """Fit every model on the training rows, then score them on all rows."""
     rows = model_rows(features_df, spec)
-    fitted = modeling.fit_all(rows.where("split = 'train'"), algorithms, params)
+    fitted = modeling.fit_all(rows.where("split = 'train'"), algorithms, params, spec=spec)
     metrics = score(rows, fitted, spec)
     rows.unpersist()
     return fitted, metrics
@@ -98,7 +98,7 @@ def fit_and_score(
 
 def train(
     wide: DataFrame, folder: str, spec: PanelSpec = PANEL, elements=ELEMENTS,
-    params: dict[str, dict] = modeling.PARAMS,
+    params: dict[str, dict] = modeling.PARAMS, algorithms: list[str] = modeling.ALGORITHMS,
 ) -> DataFrame:
     """The whole run: store the core panel, vocabularies, models and metrics
     under ``folder``; returns the metrics."""
@@ -110,7 +110,7 @@ def train(
         vocab.table.write.mode("overwrite").parquet(f"{folder}/{name}_codes")
     split.assign_split(prepared.features, spec=spec).write.mode("overwrite").parquet(f"{folder}/features")
     features_df = spark.read.parquet(f"{folder}/features")
-    fitted, metrics = fit_and_score(features_df, spec=spec, params=params)
+    fitted, metrics = fit_and_score(features_df, algorithms, spec=spec, params=params)
     modeling.save_models(fitted, f"{folder}/models")
     info = profile.dataset_info(stored, features_df, spec)
     metrics_store.write_metrics(
