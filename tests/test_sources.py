@@ -84,6 +84,19 @@ def test_rows_with_too_many_fields_are_an_error(spark, tmp_path):
     assert [(r["Y1"], r["Y2"]) for r in wide_scan.scan_wide_csv(spark, short).collect()] == [("1", None)]
 
 
+def test_rows_with_too_many_fields_are_set_aside(spark, tmp_path):
+    write(tmp_path / "a.csv", 'Area,Item,Element,Y1,Y2\na,i,e,1,2,3\nb,"x, ""y""",e,1\n"Côte, Q",i,e,1,2,3,4,5\nc,i,e,NA,2\n')
+    write(tmp_path / "b.csv", 'Area,Item,Element,Y1,Y2\nd,"i\nj",e,1,2\nf,"q,r\n",e,1,2,"9"\n')
+    kept, rejected = wide_scan.stage_wide_csv(spark, str(tmp_path), scratch_path(spark, "staged"), multiline=True)
+    assert kept.columns == ["Area", "Item", "Element", "Y1", "Y2", "src_row"]
+    assert sorted(tuple(r)[:5] for r in kept.collect()) == [
+        ("b", 'x, "y"', "e", "1", None), ("c", "i", "e", None, "2"), ("d", "i\nj", "e", "1", "2")]
+    assert sorted((os.path.basename(r.file), r.line) for r in rejected.collect()) == [
+        ("a.csv", '"Côte, Q",i,e,1,2,3,4,5'), ("a.csv", "a,i,e,1,2,3"), ("b.csv", 'f,"q,r\n",e,1,2,"9"')]
+    clean, none = wide_scan.stage_wide_csv(spark, write(tmp_path / "c.csv", "Area,Y1\na,1\n"), scratch_path(spark, "staged"))
+    assert clean.count() == 1 and none.count() == 0
+
+
 def test_csv_panel_keeps_every_label(spark):
     labels = ['12" pipe, steel', " b", "x ", "back\\slash", 'say "hi"', "c,d", "\ttab", "semi;colon", "two\nlines", "Côte"]
     core = spark.createDataFrame([(a, "i", 1, 1.5, 2.0, 75.0) for a in labels],
@@ -132,6 +145,88 @@ def test_series_lookup_is_pushed_to_the_scan(spark):
     assert "EqualTo(Area,a1)" in plan and "EqualTo(Item,i1)" in plan
 
 
+def scanned_rows(df):
+    """Rows that the scan of a query hands on."""
+    import re
+
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        text = node.nodeName()
+        if re.match("Scan|FileScan", text) and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return sum(found)
+
+
+def test_lookup_by_item_alone_skips_row_groups(spark):
+    """Items alternate through every file; only the Bloom filters can tell the row groups apart."""
+    core = spark.range(40_000).selectExpr(
+        "concat('a', id % 40) as Area", "concat('item ', id) as Item", "1990 as Year",
+        "1.0D as Import_Quantity", "2.0D as Food_Supply", "50.0D as Dependency_Pct")
+    path = scratch_path(spark, "core")
+    saved = {k: spark.conf.get(k, None) for k in ("parquet.block.size", "parquet.enable.dictionary")}
+    try:
+        spark.conf.set("parquet.block.size", "50000")
+        spark.conf.set("parquet.enable.dictionary", "false")
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        hadoop.set("parquet.block.size", "50000")
+        hadoop.set("parquet.enable.dictionary", "false")
+        hadoop.set("parquet.page.size.row.check.min", "100")
+        hadoop.set("parquet.block.size.row.check.min", "100")
+        panel_store.write_core(core, path)
+        plain = scratch_path(spark, "plain")
+        spark.read.parquet(path).write.parquet(plain)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        for k in ("parquet.block.size", "parquet.enable.dictionary", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+            hadoop.unset(k)
+    wanted = panel_store.read_item(panel_store.read_core(spark, path), "item 777")
+    assert wanted.count() == 1
+    filtered, whole = scanned_rows(wanted), scanned_rows(panel_store.read_item(panel_store.read_core(spark, plain), "item 777"))
+    assert filtered < 0.3 * whole
+
+
+def test_the_panel_is_computed_once(spark):
+    """Finding the ranges of the keys must not run the plan a second time."""
+    count = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    core = spark.range(5_000).selectExpr(
+        "concat('a', id % 40) as Area", "concat('i', id) as Item", "1990 as Year",
+        "1.0D as Import_Quantity", "2.0D as Food_Supply", "50.0D as Dependency_Pct")
+    path = scratch_path(spark, "core")
+    panel_store.write_core(core.mapInArrow(passed, core.schema), path)
+    assert count.value == 5_000 and panel_store.read_core(spark, path).count() == 5_000
+
+
+def test_tables_of_a_run_are_gone_at_its_end(spark):
+    from yearloom.session import run_folder
+
+    with run_folder(spark) as folder:
+        path = scratch_path(spark, "t")
+        assert os.path.dirname(path) == folder
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path)
+        with run_folder(spark) as inner:
+            assert os.path.dirname(scratch_path(spark, "t")) == inner
+        assert os.path.dirname(scratch_path(spark, "t")) == folder
+    assert not os.path.exists(folder)
+    assert os.path.dirname(scratch_path(spark, "t")) == shared_folder(spark)
+
+
 def test_unknown_format_is_an_error(spark):
     with pytest.raises(ValueError):
         panel_store.read_core(spark, "x", "xls")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yearloom.functions.columns import clip_upper, round_to
 from yearloom.functions.order_stats import GATHERED, exact_quantiles
 from yearloom.spec import ENGINEERED, FEATURES, IMPORTS, PANEL, RATIO, PanelSpec
 
+INFO_SCHEMA = (
+    "total_rows long, training_rows long, train_rows long, test_rows long, n_countries long, n_items long, "
+    "year_min int, year_max int, n_features long, lag_rows_dropped long")
+
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each named stage."""
@@ -23,6 +28,39 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+class Watched:
+    """Row counts of stages, taken while other work passes them: no job of their own.
+
+    A stage that is recomputed after a lost executor may count rows twice before a shuffle;
+    watch what is written (the last stage of a job counts each task once).
+    """
+
+    def __init__(self):
+        self.seen: dict[str, tuple[Observation, int]] = {}
+
+    def watch(self, name: str, df: DataFrame, **more: Column) -> DataFrame:
+        """The same rows; once they have been computed, `values` knows their number and ``more`` aggregates."""
+        observation = Observation(f"{name}-{uuid.uuid4().hex}")
+        self.seen[name] = (observation, len(df.columns))
+        return df.observe(observation, F.count(F.lit(1)).alias("row_count"), *[c.alias(n) for n, c in more.items()])
+
+    def values(self, name: str) -> dict:
+        return self.seen[name][0].get
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """As `stage_counts`, in the order the stages were watched."""
+        rows = [(name, self.values(name)["row_count"], columns) for name, (_, columns) in self.seen.items()]
+        return spark.createDataFrame(rows, "stage string, row_count long, column_count int")
+
+
+def observed_info(spark: SparkSession, core: dict, features: dict, areas: dict, items: dict) -> DataFrame:
+    """`dataset_info` from what was seen while the core panel, the split features and the codes were written."""
+    row = (core["row_count"], features["row_count"], features["train_rows"], features["row_count"] - features["train_rows"],
+           areas["row_count"], items["row_count"], core["year_min"], core["year_max"], len(FEATURES),
+           core["row_count"] - features["row_count"])
+    return spark.createDataFrame([row], INFO_SCHEMA)
+
+
 def dataset_info(core: DataFrame, training: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """One row on the core panel and on the split feature panel (column ``split``)."""
     area, item = spec.keys

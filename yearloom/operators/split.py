@@ -21,15 +21,16 @@ def row_draw(seed: int = SPLIT_SEED, spec: PanelSpec = PANEL) -> Column:
 
 def assign_split(
     features: DataFrame, test_fraction: float = TEST_FRACTION, seed: int = SPLIT_SEED,
-    spec: PanelSpec = PANEL, gathered: int = GATHERED,
+    spec: PanelSpec = PANEL, gathered: int = GATHERED, total: int | None = None,
 ) -> DataFrame:
-    """Append ``split``: the ceil(fraction * n) smallest draws are the test rows.
+    """Append ``split``: the ceil(fraction * n) smallest draws are the test rows; n is
+    counted unless ``total`` says it.
 
     The threshold is an exact order statistic of the draws, so no sort and no
     limit gathers the test rows in one place.
     """
     draws = features.select(row_draw(seed, spec).alias("draw"))
-    total = draws.count()
+    total = draws.count() if total is None else total
     if total == 0:
         return features.withColumn("split", F.lit("train"))
     size = math.ceil(test_fraction * total)

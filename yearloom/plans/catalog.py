@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from yearloom.functions.columns import round_to, to_number
 from yearloom.operators import (
-    evaluate, features, forecast, impute, linear, modeling, panel, profile, reshape, series, split, trees,
+    evaluate, features, forecast, impute, linear, modeling, panel, profile, reshape, series, sketches, split, trees,
 )
 from yearloom.plans import serving, training
 from yearloom.session import scratch_path
@@ -134,17 +134,38 @@ def core_roundtrip(spark, folder):
 
 
 def stage_counts(spark, folder):
-    """Every stage starts from the stored wide rows; core and features share the
-    stored histories."""
-    raw = _stored(derived.wide(spark, folder), "wide")
+    """Rows of every stage, counted on the way: the raw rows and histories while they are
+    written, the long stages in the one pass that computes them."""
+    seen = profile.Watched()
+    raw = _stored(seen.watch("raw", derived.wide(spark, folder)), "wide")
+    selected = seen.watch("selected", wide_scan.select_years(wide_scan.filter_elements(raw)))
+    long = seen.watch("long", reshape.unpivot_years(selected))
+    _passed(seen.watch("clean", impute.clean_long(impute.interpolate_linear(long))))
     hist = _stored(series.histories(raw), "histories")
-    selected = wide_scan.select_years(wide_scan.filter_elements(raw))
-    long = reshape.unpivot_years(selected)
-    clean = impute.clean_long(impute.interpolate_linear(long))
-    return profile.stage_counts({
-        "raw": raw, "selected": selected, "long": long, "clean": clean,
-        "core": series.core_rows(hist), "features": series.lagged_rows(hist),
-    }).select("stage", "row_count")
+    _passed(seen.watch("core", series.core_rows(hist)))
+    _passed(seen.watch("features", series.lagged_rows(hist)))
+    return seen.table(spark).select("stage", "row_count")
+
+
+def _passed(df: DataFrame) -> None:
+    """Computes all rows and keeps none."""
+    df.write.format("noop").mode("overwrite").save()
+
+
+def csv_rejects(spark, folder):
+    """A text file in which some lines have a field too many: rows kept and set aside."""
+    raw = derived.wide(spark, folder).drop(*[f"Y{y}F" for y in derived.years(spark, folder)])
+    last = raw.columns[-1]
+    value = F.coalesce(F.col(last).cast("long").cast("string"), F.lit("NA"))
+    bad = (F.col("Area") == "NATION_7") & F.col("Item").endswith("PROMO")
+    path, stored = scratch_path(spark, "wide-csv"), scratch_path(spark, "staged")
+    raw.withColumn(last, F.when(bad, F.concat(value, F.lit(",surplus"))).otherwise(value)).write.option("header", True).option(
+        "encoding", "ISO-8859-1").option("quote", "\u0000").csv(path)
+    kept, rejected = wide_scan.stage_wide_csv(spark, path, stored)
+    counts = kept.groupBy("Element").agg(F.count("*").alias("kept"))
+    element = F.get(F.split("line", ","), F.lit(2))
+    return counts.join(rejected.groupBy(element.alias("Element")).agg(F.count("*").alias("rejected")), "Element", "left").select(
+        "Element", "kept", F.coalesce("rejected", F.lit(0)).alias("rejected"))
 
 
 def scan_csv(spark, folder):
@@ -312,6 +333,36 @@ def series_lookup(spark, folder):
     return _at(panel_store.read_series(core, "NATION_7", "Brand#12/PROMO"), 4, IMPORTS, SUPPLY, RATIO)
 
 
+def item_lookup(spark, folder):
+    path = scratch_path(spark, "core")
+    panel_store.write_core(_core(spark, folder), path)
+    core = panel_store.read_core(spark, path)
+    return _at(panel_store.read_item(core, "Brand#12/PROMO"), 4, IMPORTS, SUPPLY, RATIO)
+
+
+def sketch_profile(spark, folder):
+    """Distinct items and quantiles from stored sketches per area, merged: whether they are as near
+    to the exact ones as stated."""
+    core, path = _kept_core(spark, folder), scratch_path(spark, "sketches")
+    sketches.write_sketches(sketches.area_sketches(core), path)
+    whole = sketches.merged(spark.read.parquet(path))
+    exact = core.agg(F.count_distinct("Item")).scalar()
+    items = sketches.distinct_items(whole).withColumn("exact", exact).select(
+        F.lit("Item").alias("measure"), F.lit(None).cast("double").alias("probability"), F.col("exact").alias("row_count"),
+        (F.abs(F.col("n_items") - F.col("exact")) <= sketches.DISTINCT_ERROR * F.col("exact")).alias("within"))
+    found = sketches.quantiles(whole, [0.05, 0.25, 0.5, 0.75, 0.95]).collect()
+    ranks = core.agg(F.count("*").alias("n"), *[
+        f.alias(f"{side}{i}") for i, r in enumerate(found)
+        for side, f in (("below", F.count_if(F.col(r.measure) < r.value)), ("upto", F.count_if(F.col(r.measure) <= r.value)))])
+    p = lambda i: found[i].probability
+    rows = ranks.select(F.inline(F.array(*[
+        F.struct(F.lit(r.measure).alias("measure"), F.lit(p(i)).alias("probability"), F.col("n").alias("row_count"),
+                 ((F.col(f"below{i}") <= (p(i) + sketches.RANK_ERROR) * F.col("n"))
+                  & (F.col(f"upto{i}") >= (p(i) - sketches.RANK_ERROR) * F.col("n"))).alias("within"))
+        for i, r in enumerate(found)])))
+    return items.unionByName(rows)
+
+
 def history_tail(spark, folder):
     return profile.history_tail(_core(spark, folder))
 
@@ -591,7 +642,7 @@ def forecast_compare(spark, folder):
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        scan_wide, scan_csv, filter_elements, core_roundtrip, stage_counts,
+        scan_wide, scan_csv, csv_rejects, item_lookup, sketch_profile, filter_elements, core_roundtrip, stage_counts,
         unpivot_years, coerce_numeric, interpolate_linear, interpolate_repeated,
         interpolate_pieces, clean_long, pivot_measures, core_panel, core_panel_repeated,
         core_panel_elements, core_panel_long,

@@ -441,6 +441,15 @@ weighed AS (SELECT tree, {weight} AS weight FROM shares)"""
 ORACLE: dict[str, str] = {
     "scan_wide": _CELLS,
     "scan_csv": _CELLS,
+    "csv_rejects": _with(_PLAIN[:2], """
+SELECT Element, count(*) FILTER (NOT bad) AS kept, count(*) FILTER (bad) AS rejected
+FROM (SELECT *, Area = 'NATION_7' AND Item LIKE '%PROMO' AS bad FROM wide) GROUP BY 1"""),
+    "item_lookup": _with(_PLAIN, f"{_CORE_ROWS} WHERE Item = 'Brand#12/PROMO'"),
+    "sketch_profile": _with(_PLAIN, """
+SELECT 'Item' AS measure, NULL::DOUBLE AS probability, count(DISTINCT Item) AS row_count, true AS within FROM core
+UNION ALL SELECT measure, probability, (SELECT count(*) FROM core), true
+FROM (VALUES ('Import_Quantity'), ('Dependency_Pct')) m(measure),
+  (VALUES (0.05::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.95::DOUBLE)) q(probability)"""),
     "filter_elements": _with(_PLAIN[:2], "SELECT Element, count(*) AS row_count FROM selected GROUP BY 1"),
     "core_roundtrip": _with(_PLAIN, _CORE_ROWS),
     "stage_counts": _with(_MODEL, " UNION ALL ".join(

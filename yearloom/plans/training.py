@@ -8,8 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.operators import encode, evaluate, features, modeling, profile, series, split
-from yearloom.session import scratch_path
+from yearloom.operators import encode, evaluate, features, modeling, profile, series, sketches, split
+from yearloom.session import run_folder, scratch_path
 from yearloom.sources import metrics_store, panel_store
 from yearloom.spec import ELEMENTS, ENGINEERED, PANEL, PanelSpec
 
@@ -100,21 +100,34 @@ def train(
     wide: DataFrame, folder: str, spec: PanelSpec = PANEL, elements=ELEMENTS,
     params: dict[str, dict] = modeling.PARAMS, algorithms: list[str] = modeling.ALGORITHMS,
 ) -> DataFrame:
-    """The whole run: store the core panel, vocabularies, models and metrics
-    under ``folder``; returns the metrics."""
+    """The whole run: store the core panel, its sketches per area, vocabularies, models, metrics and
+    the rows of each stage under ``folder``; returns the metrics.
+
+    Stages are counted while they are written; scratch tables are gone at the end.
+    """
     spark: SparkSession = wide.sparkSession
-    prepared = prepare_wide(wide, spec, elements)
-    panel_store.write_core(prepared.core, f"{folder}/core", spec=spec)
-    stored = panel_store.read_core(spark, f"{folder}/core", spec=spec)
-    for name, vocab in (("area", prepared.areas), ("item", prepared.items)):
-        vocab.table.write.mode("overwrite").parquet(f"{folder}/{name}_codes")
-    split.assign_split(prepared.features, spec=spec).write.mode("overwrite").parquet(f"{folder}/features")
-    features_df = spark.read.parquet(f"{folder}/features")
-    fitted, metrics = fit_and_score(features_df, algorithms, spec=spec, params=params)
-    modeling.save_models(fitted, f"{folder}/models")
-    info = profile.dataset_info(stored, features_df, spec)
-    metrics_store.write_metrics(
-        f"{folder}/metrics", info, metrics, modeling.importances(spark, fitted),
-        evaluate.best_model(metrics), params,
-    )
+    spec = spec.numbered(wide.columns)
+    seen = profile.Watched()
+    with run_folder(spark):
+        prepared = prepare_wide(seen.watch("raw", wide), spec, elements)
+        panel_store.write_core(
+            seen.watch("core", prepared.core, year_min=F.min(spec.time), year_max=F.max(spec.time)), f"{folder}/core", spec=spec)
+        stored = panel_store.read_core(spark, f"{folder}/core", spec=spec)
+        sketches.write_sketches(sketches.area_sketches(stored, spec), f"{folder}/sketches")
+        for name, vocab in (("area", prepared.areas), ("item", prepared.items)):
+            seen.watch(f"{name} codes", vocab.table).write.mode("overwrite").parquet(f"{folder}/{name}_codes")
+        path = scratch_path(spark, "features")
+        seen.watch("features", prepared.features).write.parquet(path)
+        rows = spark.read.parquet(path)
+        assigned = split.assign_split(rows, spec=spec, total=seen.values("features")["row_count"])
+        seen.watch("split", assigned, train_rows=F.count_if(F.col("split") == "train")).write.mode("overwrite").parquet(
+            f"{folder}/features")
+        fitted, metrics = fit_and_score(spark.read.parquet(f"{folder}/features"), algorithms, spec=spec, params=params)
+        modeling.save_models(fitted, f"{folder}/models")
+        info = profile.observed_info(spark, *[seen.values(n) for n in ("core", "split", "area codes", "item codes")])
+        seen.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{folder}/stages")
+        metrics_store.write_metrics(
+            f"{folder}/metrics", info, metrics, modeling.importances(spark, fitted),
+            evaluate.best_model(metrics), params,
+        )
     return metrics

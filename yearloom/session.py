@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+RUN_CONF = "spark.yearloom.run"
 
 
 def local_session(cores: str = "8", app: str = "yearloom", **conf: str) -> SparkSession:
@@ -46,7 +49,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new place in the shared folder, inside the folder of the run if there is one."""
+    return os.path.join(spark.conf.get(RUN_CONF, None) or shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the scratch tables of a run, removed at its end; nothing lazy may outlive it."""
+    before = spark.conf.get(RUN_CONF, None)
+    folder = os.path.join(shared_folder(spark), f"run-{uuid.uuid4().hex}")
+    spark.conf.set(RUN_CONF, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(RUN_CONF)
+        else:
+            spark.conf.set(RUN_CONF, before)
+        discard(spark, folder)
 
 
 def discard(spark: SparkSession, path: str) -> None:
