@@ -81,8 +81,8 @@ def test_codes_round_trip(ranks):
 def test_files_round_trip_and_frequent_ids_take_a_byte():
     ids = np.array([70_000] * 500 + list(range(400)), np.uint32)
     parts = token_files.pack_file(np.array([3, 9]), np.array([500, 400]), ids)
-    doc_ids, counts, back = token_files.unpack_file(b"".join(p.tobytes() for p in parts))
-    assert (doc_ids.tolist(), counts.tolist(), back.tolist()) == ([3, 9], [500, 400], ids.tolist())
+    doc_ids, counts, back, nameless = token_files.unpack_file(b"".join(p.tobytes() for p in parts))
+    assert (doc_ids.tolist(), counts.tolist(), back.tolist(), nameless) == ([3, 9], [500, 400], ids.tolist(), 0)
     assert len(parts[-1]) < 1_100
     with pytest.raises(ValueError):
         token_files.unpack_file(b"x" * 64)
@@ -113,6 +113,23 @@ def test_token_files_of_nothing(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.round_trip(empty, path, 2).collect() == []
-    nameless = spark.createDataFrame([(None, "x")], "doc_id long, text string")
-    with pytest.raises(Exception, match="no doc_id"):
-        token_files.round_trip(nameless, path, 2).collect()
+
+
+def test_documents_without_id_come_first_by_text(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = tk.load(path)
+    rows = [(None, f"x {i % 40}") for i in range(300)] + [(None, None), (-5, "a b"), (3, "c"), (3, "b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = shared.folder(spark, "nameless")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write(docs, folder, path, 2, file_ids=200)
+        assert manifest.select("part").distinct().count() > 3  # equal ids are dealt over several tasks
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = sorted((tuple(r) for r in token_files.read(spark, folder, manifest).collect()), key=lambda r: r[1])
+    at = 0
+    for (doc_id, text), mine in zip(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")), got, strict=True):
+        ids = np.array(own.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        assert mine == (doc_id, at, len(ids), zlib.crc32(ids))
+        at += len(ids)

@@ -64,6 +64,24 @@ def test_odd_rows(spark):
     assert vx.near_duplicates(df.where("vec_id = 4")).collect() == [(4, 0, 4, True)]
 
 
+def test_different_vectors_of_one_id_are_linked_each(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [-1.0, 0.0]), (1, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in vx.near_duplicates(df).collect()) == [
+        (1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (3, 1, 1, False), (5, 1, 1, False), (6, 0, 6, True)]
+
+
+def test_tiles_out_of_reach_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(vx, "TILE", 20)
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 4)))] + [(1000 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(30, 2)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in vx.near_duplicates(df, 0.99).collect()) == brute(rows, 0.99)
+    tiles = vx.Tiles.__new__(vx.Tiles)
+    tiles.size, tiles.low, tiles.high = np.array([2, 2, 4, 4, 4]), np.array([0.0, 0.9, 0.0, 0.2, 0.9]), np.array([0.1, 1.0, 0.3, 0.8, 1.0])
+    assert [tiles.reached(i, 0.1) for i in range(5)] == [1, 2, 4, 5, 5]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)

@@ -92,28 +92,43 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     Returns vec_id, n_links, component_id (the smallest vec_id reachable) and kept.  Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing, nor
     do vectors of different lengths; a row without vec_id stays as it is, alone.  Rows that
-    repeat a vec_id are one vector (of different vectors the smallest counts).  An empty
-    table gives an empty result; other columns are not read.
+    repeat a vec_id and its vector are one vector.  Different vectors of one vec_id are
+    vectors of their own, each with its links, and share their component.  An empty table
+    gives an empty result; other columns are not read.
     """
     spark = vectors.sparkSession
-    single = vectors.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
-    single = shared.stored(single, "vectors")
+    single = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").distinct()
+    single = shared.stored(single.withColumn("number", F.monotonically_increasing_id()), "vectors")
     usable = single.where(valid() & F.col("vec_id").isNotNull())
     links = shared.stored(_links(spark, usable, threshold), "vector-links")
-    degrees = links.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
+    degrees = links.groupBy("number").agg(F.sum("links").alias("n_links"))
     joined = components(links.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     component = F.coalesce("component", "vec_id")
     return (
-        single.select("vec_id").join(degrees, "vec_id", "left")
+        single.select("vec_id", "number").join(degrees, "number", "left")
         .join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left")
         .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                 F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
     )
 
 
+class Tiles:
+    """The list of tiles by length and first coordinate, in a file that tasks map: name, size, rows, low, high."""
+
+    def __init__(self, address: str):
+        names, sizes, rows, low, high = shared.read_array(address, np.float64).reshape(5, -1)
+        self.name, self.size, self.rows = names.astype(np.int64), sizes.astype(np.int64), rows.astype(np.int64)
+        self.low, self.high = low, high
+
+    def reached(self, i: int, reach: float) -> int:
+        """After the last tile that lies within ``reach`` of tile i, of those from i on."""
+        stop = int(np.searchsorted(self.size, self.size[i], side="right"))
+        return i + int(np.searchsorted(self.low[i:stop], self.high[i] + reach, side="right"))
+
+
 def _links(spark, usable: DataFrame, threshold: float) -> DataFrame:
-    """(vec_id, links, root): partial counts of links and ties to the smallest vector found with it."""
-    schema = "vec_id long, links long, root long"
+    """(number, vec_id, links, root): partial counts of links and ties to the smallest vec_id found with it."""
+    schema = "number long, vec_id long, links long, root long"
     sizes = {r[0]: r[1] for r in usable.groupBy(F.size("embedding")).count().collect()}
     if not sizes:
         return spark.createDataFrame([], schema)
@@ -129,18 +144,19 @@ def _links(spark, usable: DataFrame, threshold: float) -> DataFrame:
                 part = batch.filter(pa.array(lengths == size))
                 turned = units(rows_of(part.column("embedding"), size)) @ shared_axes.value[size][:, 0]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("vec_id"), part.column("embedding").cast(pa.list_(pa.float64())), pa.array(np.full(len(turned), size, np.int32)), pa.array(turned)],
-                    names=["vec_id", "embedding", "size", "first"])
+                    [part.column("vec_id"), part.column("number"), part.column("embedding").cast(pa.list_(pa.float64())),
+                     pa.array(np.full(len(turned), size, np.int32)), pa.array(turned)],
+                    names=["vec_id", "number", "embedding", "size", "first"])
 
     def write_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, number = TaskContext.get().partitionId(), {}, 0
 
         def flush(size: int) -> pa.RecordBatch:
-            ids = np.concatenate([x[0] for x in held[size]])
-            turned = units(np.concatenate([x[1] for x in held[size]])) @ shared_axes.value[size]
-            order = np.argsort(ids)
-            name = f"tile-{part:06d}-{number:04d}"
-            shared.write_file(f"{folder}/{name}", [ids[order].astype("<i8"), turned[order].astype("<f8")])
+            ids, numbers, rows = (np.concatenate([x[k] for x in held[size]]) for k in range(3))
+            turned = units(rows) @ shared_axes.value[size]
+            order = np.lexsort((numbers, ids))
+            name = part << 20 | number
+            shared.write_file(f"{folder}/tile-{name}", [ids[order].astype("<i8"), numbers[order].astype("<i8"), turned[order].astype("<f8")])
             held[size] = []
             return pa.RecordBatch.from_pydict(
                 {"name": [name], "size": pa.array([size], pa.int32()), "n": [len(ids)], "low": [turned[:, 0].min()], "high": [turned[:, 0].max()]})
@@ -151,7 +167,8 @@ def _links(spark, usable: DataFrame, threshold: float) -> DataFrame:
                 rows = batch.filter(pa.array(lengths == size))
                 for at in range(0, rows.num_rows, TILE):
                     cut = rows.slice(at, TILE)
-                    held.setdefault(size, []).append((cut.column("vec_id").to_numpy(), rows_of(cut.column("embedding"), size)))
+                    held.setdefault(size, []).append(
+                        (cut.column("vec_id").to_numpy(), cut.column("number").to_numpy(), rows_of(cut.column("embedding"), size)))
                     if sum(len(x[0]) for x in held[size]) >= TILE:
                         yield flush(size)
                         number += 1
@@ -159,45 +176,48 @@ def _links(spark, usable: DataFrame, threshold: float) -> DataFrame:
             yield flush(size)
             number += 1
 
-    tiles = sorted(
-        usable.mapInArrow(first_coordinate, "vec_id long, embedding array<double>, size int, first double")
-        .repartitionByRange(max(1, -(-sum(sizes.values()) // TILE)), "size", "first", F.xxhash64("vec_id"))
-        .mapInArrow(write_tiles, "name string, size int, n long, low double, high double").collect(),
-        key=lambda r: r.name)
+    def list_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(c) for c in zip(*([b.column(c).to_numpy().astype(np.float64) for c in ("name", "size", "n", "low", "high")]
+                                                    for b in batches), strict=True)]
+        shared.write_array(f"{folder}/tiles", np.stack(columns))
+        yield pa.RecordBatch.from_pydict({"n": [len(columns[0])]})
+
+    tiles = shared.stored(
+        usable.select("vec_id", "number", "embedding")
+        .mapInArrow(first_coordinate, "vec_id long, number long, embedding array<double>, size int, first double")
+        .repartitionByRange(max(1, -(-sum(sizes.values()) // TILE)), "size", "first", F.xxhash64("number"))
+        .mapInArrow(write_tiles, "name long, size int, n long, low double, high double"), "tiles")
+    total = tiles.repartition(1).sortWithinPartitions("size", "low", "name").mapInArrow(list_tiles, "n long").first()[0]
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + SLACK
-    total = len(tiles)
 
-    def load(tile) -> tuple[np.ndarray, np.ndarray]:
-        raw = shared.read_array(f"{folder}/{tile.name}", np.uint8)
-        return raw[:8 * tile.n].view("<i8"), raw[8 * tile.n:].view("<f8").reshape(tile.n, tile.size)
+    def load(every: Tiles, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw, n = shared.read_array(f"{folder}/tile-{every.name[i]}", np.uint8), int(every.rows[i])
+        return raw[:8 * n].view("<i8"), raw[8 * n:16 * n].view("<i8"), raw[16 * n:].view("<f8").reshape(n, int(every.size[i]))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = Tiles(f"{folder}/tiles")
         for batch in batches:
             for i in batch.column("id").to_pylist():
-                own = tiles[i]
-                ids, a = load(own)
-                for step in range(total // 2 + 1):  # each pair of tiles once, as many for every tile
-                    j = (i + step) % total
-                    other = tiles[j]
-                    far = max(own.low, other.low) - min(own.high, other.high)
-                    if own.size != other.size or far > reach or (2 * step == total and i > j):
-                        continue
-                    other_ids, b = load(other)
+                ids, numbers, a = load(every, i)
+                for j in range(i, every.reached(i, reach)):  # each pair of tiles once
+                    other_ids, other_numbers, b = load(every, j)
                     u, v = near_pairs(a, b, threshold)
-                    if step == 0:
+                    if j == i:
                         u, v = u[u < v], v[u < v]
+                        other_ids, other_numbers = ids[:0], numbers[:0]
                     if len(u):
-                        yield found(ids, other_ids if step else ids[:0], u, v + (len(ids) if step else 0))
+                        yield found(np.concatenate([ids, other_ids]), np.concatenate([numbers, other_numbers]),
+                                    u, v + (len(ids) if j > i else 0))
 
-    def found(ids: np.ndarray, other: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        every = np.concatenate([ids, other])
+    def found(every: np.ndarray, numbers: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(every, kind="stable")
         place = np.empty(len(every), np.int64)
         place[order] = np.arange(len(every))
         roots = order[local_roots(len(every), place[u], place[v])][place]
         links = np.bincount(u, minlength=len(every)) + np.bincount(v, minlength=len(every))
         some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays([pa.array(every[some]), pa.array(links[some]), pa.array(every[roots[some]])],
-                                          names=["vec_id", "links", "root"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(numbers[some]), pa.array(every[some]), pa.array(links[some]), pa.array(every[roots[some]])],
+            names=["number", "vec_id", "links", "root"])
 
     return spark.range(0, total, 1, total).mapInArrow(compare, schema)
