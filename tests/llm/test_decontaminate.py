@@ -85,9 +85,11 @@ def test_odd_rows(spark, limit):
         [(5, "one two three"), (10, "ALPHA beta"), (None, "x"), (7, None), (8, "!!")], "item_id long, text string")
     marked = [(r.doc_id, r.n_words, [tuple(s) for s in r.spans], r.items) for r in dc.mark(docs, benchmark, limit=limit).collect()]
     assert sorted(marked) == [(1, 3, [(0, 3)], ["5"]), (2, 0, [], []), (3, 0, [], []), (4, 1, [], []), (4, 1, [], []),
-                              (4, 10, [(1, 4), (5, 10)], ["10", "5"])]
+                              (4, 10, [(0, 4), (5, 10)], ["10", "5"])]
     left = sorted(dc.remove(docs, benchmark, limit=limit).collect(), key=str)
-    assert [tuple(r) for r in left] == [(2, None, 7), (3, "", 1), (4, "x  y ", 2), (4, "é", 2), (4, "é", 2)]
+    assert [tuple(r) for r in left] == [(2, None, 7), (3, "", 1), (4, " y ", 2), (4, "é", 2), (4, "é", 2)]
+    hits = {r.n_words: (r.n_hit, r.n_items) for r in dc.report(docs, benchmark).where("doc_id = 4").collect()}
+    assert hits == {1: (0, 0), 10: (9, 2)}  # "x" is an item without an id
     assert dc.mark(docs.limit(0), benchmark).collect() == []
     assert dc.mark(docs, benchmark.limit(0)).where("size(items) > 0").count() == 0
     assert dc.remove(docs, benchmark.limit(0)).count() == 6
@@ -99,6 +101,29 @@ def test_cut_that_joins_a_window_is_cut_again(spark):
     assert [words(r.text) for r in dc.remove(docs, benchmark).collect()] == [["keep"]]
 
 
+@pytest.mark.parametrize("limit", [30, dc.PHRASE_BYTES])
+def test_a_cut_that_joins_a_passage_of_another_set_is_seen(spark, limit):
+    a, b = " ".join(f"a{i}" for i in range(10)), " ".join(f"b{i}" for i in range(10))
+    docs = spark.createDataFrame([(1, f"{a[:14]} {b} {a[15:]} tail"), (2, f"head {b[3:]} {a} {b[:20]}")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, a), (2, b), (None, "tail end"), (None, "x y z")], "item_id long, text string")
+    left = {r.doc_id: words(r.text) for r in dc.remove(docs, benchmark, limit=limit).collect()}
+    assert left == {1: ["tail"], 2: ["head", *words(b[3:]), *words(b[:20])]}
+    assert not any(r.contaminated for r in dc.report(dc.remove(docs, benchmark, limit=limit), benchmark).collect())
+
+
+def test_sets_do_not_change_the_result(spark):
+    rng = np.random.default_rng(5)
+    word = [f"w{i}" for i in range(12)]
+    items = [(i if i % 5 else None, " ".join(rng.choice(word, rng.integers(1, 14)))) for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(word + ["zz"] * 4, 60))) for i in range(40)], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    results = []
+    for limit in (60, 500, dc.PHRASE_BYTES):
+        marked = sorted((r.doc_id, [tuple(s) for s in r.spans], r["items"]) for r in dc.mark(docs, benchmark, 3, limit).collect())
+        results.append((marked, sorted(tuple(r) for r in dc.remove(docs, benchmark, 3, limit).collect())))
+    assert results[0] == results[1] == results[2] and any(m[1] for m in results[0][0])
+
+
 def test_windows_do_not_cross_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string").coalesce(1)
     benchmark = spark.createDataFrame([(2, "a b c d")], "item_id long, text string")

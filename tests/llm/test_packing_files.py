@@ -42,12 +42,63 @@ def test_little_padding():
     assert tokens.sum() / 2048 / (pieces[:, 3].max() + 1) > 0.99
 
 
+def plain_choices(tokens, loss, limits):
+    """Whole examples placed one by one: the largest dot product of demands and free shares that fits, larger examples first."""
+    left = sorted(((t, b) for t, b in zip(tokens, loss, strict=True)), reverse=True)
+    caps, sequences = np.array(limits, float), []
+    while left:
+        free, own = np.ones(3), []
+        while True:
+            fits = [(float(np.dot(np.array([t, 1, b]) / caps, free)), -i) for i, (t, b) in enumerate(left)
+                    if (np.array([t, 1, b]) / caps <= free + 1e-9).all()]
+            if not fits:
+                break
+            best = max(score for score, _ in fits)
+            i = min(-k for score, k in fits if score == best)
+            own.append(left.pop(i))
+            free = 1 - np.array([sum(t for t, _ in own), len(own), sum(b for _, b in own)]) / caps
+        sequences.append(own)
+    return sequences
+
+
+@given(st.lists(st.tuples(st.integers(1, 30), st.floats(0, 1)), max_size=30), st.integers(1, 6), st.integers(5, 31))
+@settings(max_examples=150, deadline=None)
+def test_choices_are_those_of_a_plain_loop(examples, segments, most):
+    tokens = np.array([min(t, most) for t, _ in examples], np.int64)
+    loss = np.array([int((t - 1) * f) for t, (_, f) in zip(tokens, examples, strict=True)], np.int64)
+    limits = (31, segments, most)
+    pieces = packing.fill(tokens, loss, limits, least=1_000)  # no cuts
+    got = [[(int(r[2]), int(r[5])) for r in sorted(pieces[pieces[:, 3] == s].tolist(), key=lambda r: r[4])]
+           for s in range(int(pieces[:, 3].max(initial=-1)) + 1)]
+    assert got == plain_choices(tokens.tolist(), loss.tolist(), limits)
+
+
+def test_every_limit_binds():
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(1, 60, 3_000)
+    for limits, kind in (((2048, 128, 2048), 0), ((2048, 20, 2048), 1), ((2048, 128, 900), 2)):
+        pieces = packing.fill(tokens, tokens - 1, limits)
+        n = int(pieces[:, 3].max()) + 1
+        used = [np.bincount(pieces[:, 3], pieces[:, 2], n), np.bincount(pieces[:, 3], minlength=n), np.bincount(pieces[:, 3], pieces[:, 5], n)]
+        assert np.median(used[kind]) >= 0.99 * limits[kind]
+
+
+def test_fill_does_not_depend_on_the_split(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = documents(spark, "/root/testdata/sf0.01")
+    for parts in (1, 100):
+        pieces = packing.pack(docs.repartition(parts), path, 1, (2048, 128, 2040)).toPandas()
+        fill = pieces.length.sum() / 2048 / pieces.sequence_id.nunique()
+        assert fill > 0.98, parts
+        assert pieces.groupby("sequence_id").loss_tokens.sum().max() == 2040
+
+
 def test_pack_covers_all_ids(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = tk.load(path)
     odd = spark.createDataFrame([(-i, t, 5) for i, t in enumerate(ODD_TEXTS, 1)], "doc_id long, text string, start int")
     docs = documents(spark).selectExpr("doc_id", "text", "1 as start").unionByName(odd)
-    pieces = packing.pack(docs, path, 1, (2048, 128, 2047)).toPandas()
+    pieces = packing.pack(docs.repartition(5), path, 1, (2048, 128, 2040)).toPandas()
     for row in docs.collect():
         ids = np.array(own.encode(row.text or "", add_special_tokens=False).ids + [1], "<u4")
         mine = pieces[pieces.doc_id == row.doc_id].sort_values("start")

@@ -10,11 +10,14 @@ located by walking to sampled suffix positions, and overlapping occurrences merg
 
 from __future__ import annotations
 
+import dataclasses
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +27,9 @@ from yearloom.llm import text as tx
 
 WINDOW = 10
 
-#: Bytes of benchmark text searched in one pass; more are searched in further passes.
-PHRASE_BYTES = 32_000_000
+#: Bytes of benchmark text whose phrases are searched together; a block is searched for one such set
+#: after another, and what they find is put together before anything is cut.
+PHRASE_BYTES = 8_000_000
 
 #: Every so many positions of the text keep their place in the index.
 SAMPLE = 16
@@ -46,30 +50,61 @@ class Words:
 class Phrases:
     """The distinct windows of items as rows of word numbers, aligned to the right."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        words = Words(tx.Hasher(), pa.array([t for _, t in items], pa.string()))
-        self.vocabulary, numbers = np.unique(words.hashes, return_inverse=True)
-        rows, owners, lengths = [], [], []
-        for i in range(len(items)):
-            own = numbers[words.owner[i]:words.owner[i + 1]] + 1
-            size = min(window, len(own))
-            if size:
-                cut = np.lib.stride_tricks.sliding_window_view(own, size)
-                padded = np.zeros((len(cut), window), np.int64)
-                padded[:, window - size:] = cut
-                rows.append(padded)
-                owners.append(np.full(len(cut), i))
-                lengths.append(np.full(len(cut), size))
-        self.items = [name for name, _ in items]
-        if not rows:
-            self.rows, self.lengths = np.zeros((0, window), np.int64), np.zeros(0, np.int64)
-            self.item, self.bounds = np.zeros(0, np.int64), np.zeros(1, np.int64)
-            return
-        self.rows, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
-        self.lengths = (self.rows > 0).sum(axis=1)
-        pairs = np.unique(np.stack([which.reshape(-1), np.concatenate(owners)], axis=1), axis=0)
-        self.item = pairs[:, 1]
-        self.bounds = np.searchsorted(pairs[:, 0], np.arange(len(self.rows) + 1))
+    ARRAYS = ("vocabulary", "rows", "item", "bounds", "names", "name_bounds")
+
+    def __init__(self, vocabulary, rows, item, bounds, names, name_bounds):
+        self.vocabulary, self.rows, self.item, self.bounds = vocabulary, rows, item, bounds
+        self.names, self.name_bounds = names, name_bounds
+        self.lengths = (rows > 0).sum(axis=1)
+
+    @classmethod
+    def of(cls, names: pa.Array, texts: pa.Array, window: int) -> Phrases:
+        """The phrases of items; one without a name is searched but never named."""
+        words = Words(tx.Hasher(), texts)
+        vocabulary, numbers = np.unique(words.hashes, return_inverse=True)
+        counts = np.diff(words.owner)
+        sizes = np.minimum(counts, window)
+        each = np.where(counts > 0, counts - sizes + 1, 0)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), each)
+        first = words.owner[owner] + tx.runs(each)
+        rows = np.zeros((len(owner), window), np.int32)
+        for k in range(window):  # aligned to the right
+            place = k - (window - sizes[owner])
+            there = place >= 0
+            rows[there, k] = numbers[first[there] + place[there]] + 1
+        order = np.lexsort(rows.T[::-1]) if len(rows) else np.zeros(0, np.int64)
+        rows, owner = rows[order], owner[order]
+        fresh = np.ones(len(rows), bool)
+        fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        pairs = np.unique((np.cumsum(fresh) - 1) * np.int64(max(len(texts), 1)) + owner) if len(rows) else np.zeros(0, np.int64)
+        phrase, item = np.divmod(pairs, max(len(texts), 1))
+        known = names.is_valid().to_numpy(zero_copy_only=False)
+        named = known[item] if len(item) else np.zeros(0, bool)
+        spelled, name_bounds = tx.text_bytes(names)
+        rows = rows[fresh]
+        return cls(vocabulary, rows, item[named].astype(np.int32), np.searchsorted(phrase[named], np.arange(len(rows) + 1)), spelled, name_bounds)
+
+    def write(self, folder: str, number: int) -> None:
+        for name in self.ARRAYS:
+            out = io.BytesIO()
+            np.save(out, getattr(self, name), allow_pickle=False)
+            shared.write_file(f"{folder}/{number}-{name}", [out.getbuffer()])
+
+    @classmethod
+    def read(cls, folder: str, number: int) -> Phrases:
+        """Mapped where the folder is mounted, read elsewhere."""
+        found = []
+        for name in cls.ARRAYS:
+            system, path = shared.located(f"{folder}/{number}-{name}")
+            if isinstance(system, pafs.LocalFileSystem):
+                found.append(np.load(path, mmap_mode="r"))
+            else:
+                with system.open_input_file(path) as source:
+                    found.append(np.load(io.BytesIO(source.read_buffer()), allow_pickle=False))
+        return cls(*found)
+
+    def name(self, item: int) -> str:
+        return self.names[self.name_bounds[item]:self.name_bounds[item + 1]].tobytes().decode()
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Word numbers, 0 for words of no phrase."""
@@ -182,11 +217,17 @@ def occurrences(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]
     text, at = indexed_text(phrases.numbers(words.hashes), words.owner, int(phrases.lengths.min()))
     if not len(text):
         return none
+    present = np.zeros(len(phrases.vocabulary) + 1, bool)
+    present[text] = True
+    present[0] = True  # stands for no word
+    able = np.flatnonzero(present[phrases.rows].all(axis=1))
+    if not len(able):
+        return none
     index = FMIndex(text, len(phrases.vocabulary))
-    which, low, high = index.search(phrases.rows)
+    which, low, high = index.search(np.asarray(phrases.rows[able], dtype=np.int64))
     sizes = high - low
     places = index.locate(np.repeat(low, sizes) + tx.runs(sizes))
-    return at[places], np.repeat(which, sizes)
+    return at[places], np.repeat(able[which], sizes)
 
 
 def hits(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,73 +255,109 @@ def merged(words: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.searchsorted(words.owner, first, side="right") - 1, first, last
 
 
-def phrase_sets(benchmark: DataFrame, window: int, limit: int = PHRASE_BYTES) -> list[Phrases]:
-    """The benchmark's phrases, in as many sets as its size asks for; rows without item_id or text have none."""
-    rows = benchmark.where("item_id is not null and text is not null").selectExpr("cast(item_id as string) i", "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    sets = -(-size // limit)
-    return [
-        Phrases([tuple(r) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(sets)) == k).collect()], window)
-        for k in range(sets)
-    ]
+@dataclasses.dataclass
+class PhraseSets:
+    """Where the benchmark's phrases lie, in sets that tasks hold one at a time (a single one throughout)."""
+
+    folder: str
+    count: int
+
+    def each(self) -> Iterator[Phrases]:
+        for number in range(self.count):
+            if self.count > 1 or not hasattr(self, "_only"):
+                found = Phrases.read(self.folder, number)
+                if self.count > 1:
+                    yield found
+                    continue
+                self._only = found
+            yield self._only
+
+
+def phrase_sets(benchmark: DataFrame, window: int, limit: int = PHRASE_BYTES) -> PhraseSets:
+    """Writes the benchmark's phrases to files, in as many sets as its size asks for; tasks make them.
+
+    Rows without text have none; those without item_id are searched like others.
+    """
+    spark = benchmark.sparkSession
+    rows = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item"), "text").distinct()
+    sets = -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // limit)
+    found = PhraseSets(shared.folder(spark, "phrases"), sets)
+    if not sets:
+        return found
+    folder = found.folder
+
+    def write(group: pa.Table) -> pa.Table:
+        number = group.column("part")[0].as_py()
+        order = group.sort_by([("item", "ascending"), ("text", "ascending")])
+        names, texts = (pa.concat_arrays(order.column(c).chunks) if order.num_rows else pa.array([], pa.string()) for c in ("item", "text"))
+        Phrases.of(names, texts, window).write(folder, number)
+        return pa.table({"part": pa.array([number], pa.int32())})
+
+    dealt = rows.select(F.pmod(F.xxhash64("item", "text"), F.lit(sets)).cast("int").alias("part"), "item", "text")
+    made = {r.part for r in dealt.groupBy("part").applyInArrow(write, "part int").collect()}
+    for number in set(range(sets)) - made:
+        Phrases.of(pa.array([], pa.string()), pa.array([], pa.string()), window).write(folder, number)
+    return found
+
+
+def found_in(words: Words, sets: PhraseSets) -> tuple[np.ndarray, list[set[str]]]:
+    """Which words are hit by a phrase of any set, and each text's items."""
+    hit = np.zeros(len(words.first), dtype=bool)
+    items: list[set[str]] = [set() for _ in range(len(words.owner) - 1)]
+    for phrases in sets.each():
+        own, document, item = hits(words, phrases)
+        hit |= own
+        names = {k: phrases.name(k) for k in np.unique(item).tolist()}
+        for i, k in zip(document.tolist(), item.tolist(), strict=True):
+            items[i].add(names[k])
+    return hit, items
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = PHRASE_BYTES,
          keep_text: bool = True) -> DataFrame:
     """The documents with ``n_words``, ``spans`` (word ranges hit, the last word excluded) and ``items``.
 
-    ``items`` are the sorted distinct item_ids, as strings, with occurring windows.  An item
-    of fewer words than a window, but not none, is one window.  Null and empty texts have no
-    words and no hits; repeated rows are marked alike; an empty benchmark marks nothing.  A
-    column of the input with the name of an added one is replaced.
+    ``items`` are the sorted distinct item_ids, as strings, with occurring windows; items
+    without an id hit words but are not among them.  An item of fewer words than a window,
+    but not none, is one window.  Null and empty texts have no words and no hits; repeated
+    rows are marked alike; an empty benchmark marks nothing.  A column of the input with the
+    name of an added one is replaced.
     """
-    spark = docs.sparkSession
     added = ["n_words", "spans", "items"]
     out = docs.drop(*added).withColumns({
         "n_words": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "items": F.array().cast("array<string>")})
-    sets = phrase_sets(benchmark, window, limit) or [Phrases([], window)]
-    for k, phrases in enumerate(sets, 1):
-        schema = out.schema if keep_text or k < len(sets) else out.drop("text").schema
-        out = out.mapInArrow(_marker(shared.sent(spark, phrases), schema.names), schema)
-    return out
+    schema = out.schema if keep_text else out.drop("text").schema
+    return docs.drop(*added).mapInArrow(_marker(phrase_sets(benchmark, window, limit), schema.names), schema)
 
 
-def _marker(sent, names: list[str]):
+def _marker(sets: PhraseSets, names: list[str]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, hasher = shared.received(sent), tx.Hasher()
+        hasher = tx.Hasher()
         for block in tx.blocks(batches):
             words = Words(hasher, block.column("text"))
-            hit, document, item = hits(words, phrases)
-            earlier = block.column("spans")
-            owner = pc.list_parent_indices(earlier).to_numpy()
-            if len(owner):
-                ends = [pc.struct_field(earlier.flatten(), x).to_numpy() + words.owner[owner] for x in ("first", "last")]
-                for a, b in zip(*(x.tolist() for x in ends), strict=True):
-                    hit[a:b] = True
+            hit, items = found_in(words, sets)
             holder, first, last = merged(words, hit)
             base = words.owner[holder]
             spans = pa.ListArray.from_arrays(
                 pa.array(np.searchsorted(holder, np.arange(block.num_rows + 1)), pa.int32()),
                 pa.StructArray.from_arrays([pa.array(first - base), pa.array(last - base)], ["first", "last"]))
-            items = block.column("items").to_pylist() if len(owner) else [[]] * block.num_rows
-            for i in np.unique(document).tolist():
-                items[i] = sorted({*items[i], *(phrases.items[k] for k in item[document == i].tolist())})
             columns = {name: block.column(name) for name in block.schema.names}
-            columns |= {"n_words": pa.array(np.diff(words.owner)), "spans": spans, "items": pa.array(items, pa.list_(pa.string()))}
+            columns |= {"n_words": pa.array(np.diff(words.owner)), "spans": spans,
+                        "items": pa.array([sorted(own) for own in items], pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([columns[name] for name in names], names=names)
 
     return task
 
 
-def cut_spans(block: pa.RecordBatch, phrases: Phrases, hasher: tx.Hasher) -> tuple[list, np.ndarray]:
-    """Texts without their spans, until no window occurs, and whether any word is left in those that were cut."""
+def cut_spans(block: pa.RecordBatch, sets: PhraseSets, hasher: tx.Hasher) -> tuple[list, np.ndarray]:
+    """Texts without their spans, until no window of any set occurs, and whether any word is left in those that were cut."""
     texts = block.column("text").to_pylist()
     emptied = np.zeros(block.num_rows, dtype=bool)
     todo = np.arange(block.num_rows)
     column = block.column("text")
     while len(todo):
         words = Words(hasher, column)
-        hit, _, _ = hits(words, phrases)
+        hit, _ = found_in(words, sets)
         holder, first, last = merged(words, hit)
         changed = np.unique(holder)
         raw = words.data.tobytes()
@@ -291,7 +368,7 @@ def cut_spans(block: pa.RecordBatch, phrases: Phrases, hasher: tx.Hasher) -> tup
                 at = int(words.last[b - 1])
             pieces.append(raw[at:words.offsets[i + 1]])
             texts[todo[i]] = b"".join(pieces).decode()
-            emptied[todo[i]] = not hit[words.owner[i]:words.owner[i + 1]].size or hit[words.owner[i]:words.owner[i + 1]].all()
+            emptied[todo[i]] = hit[words.owner[i]:words.owner[i + 1]].all()
         todo = todo[changed]
         column = pa.array([texts[i] for i in todo], pa.string())
     return texts, emptied
@@ -300,21 +377,18 @@ def cut_spans(block: pa.RecordBatch, phrases: Phrases, hasher: tx.Hasher) -> tup
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = PHRASE_BYTES) -> DataFrame:
     """The documents, benchmark passages cut out of their texts; ``n_chars``, if there, follows.
 
-    Cutting is repeated while the joined rest holds a window.  A document left without words
-    by the cut goes; all others, null and empty texts included, stay.
+    Cutting is repeated while the joined rest holds a window of any set, so the result does
+    not depend on the sets.  A document left without words by the cut goes; all others, null
+    and empty texts included, stay.
     """
-    spark = docs.sparkSession
-    out = docs
-    for phrases in phrase_sets(benchmark, window, limit):
-        out = out.mapInArrow(_remover(shared.sent(spark, phrases)), docs.schema)
-    return out
+    return docs.mapInArrow(_remover(phrase_sets(benchmark, window, limit)), docs.schema)
 
 
-def _remover(sent):
+def _remover(sets: PhraseSets):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, hasher = shared.received(sent), tx.Hasher()
+        hasher = tx.Hasher()
         for block in tx.blocks(batches):
-            texts, emptied = cut_spans(block, phrases, hasher)
+            texts, emptied = cut_spans(block, sets, hasher)
             columns = {name: block.column(name) for name in block.schema.names}
             columns["text"] = pa.array(texts, block.schema.field("text").type)
             if "n_chars" in columns:

@@ -49,7 +49,7 @@ FROM placed"""
 
 _DECONTAMINATION = f"""
 WITH items AS (
-  SELECT item_id::VARCHAR AS item, {_words('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+  SELECT item_id::VARCHAR AS item, {_words('text')} AS w FROM benchmark),
 phrases AS (
   SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
   FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i
@@ -63,7 +63,7 @@ found AS (SELECT doc_id, i, k, item FROM windows JOIN phrases USING (k, phrase))
 hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS word FROM found) GROUP BY 1),
 named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+  FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""

@@ -15,10 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yearloom.llm import shared
 from yearloom.llm import tokens as tk
 
+#: Ids of unfinished sequences that one task packs again.
+REST_IDS = 4_000_000
+
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("start", T.LongType()),
@@ -102,12 +107,27 @@ def fill(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int], lea
     return np.array(placed, dtype=np.int64).reshape(-1, 6)
 
 
+def _crcs(ids: np.ndarray, first: np.ndarray, length: np.ndarray) -> pa.Array:
+    raw = ids.astype("<u4", copy=False)
+    return pa.array([zlib.crc32(raw[a:b]) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)], pa.int64())
+
+
+def unfinished(pieces: np.ndarray, limits: tuple[int, int, int], least: int) -> np.ndarray:
+    """Which pieces lie in sequences that could take more: room for ``least`` ids, a segment and loss."""
+    _, _, length, sequence, _, loss = pieces.T
+    n = int(sequence.max(initial=-1)) + 1
+    ids, bears = np.bincount(sequence, length, n), np.bincount(sequence, loss, n)
+    open_ = (limits[0] - ids >= least) & (np.bincount(sequence, minlength=n) < limits[1]) & (limits[2] - bears >= least)
+    return open_[sequence]
+
+
 def pack(docs: DataFrame, tokenizer: str, end: int, limits: tuple[int, int, int], least: int = 32) -> DataFrame:
     """Packs the ids of all documents, cut freely, into sequences; one row per piece.
 
     A document's ids are those of its whole text and then ``end``; its first id bears no
-    loss.  Documents are packed within their input partition, block by block, so nothing is
-    shuffled and one sequence per block may be short.  Sequences are padded to the limit.
+    loss.  Documents are packed where they lie, block by block.  What a block cannot finish,
+    less than a sequence's ids in the main, is gathered with their ids and packed again, so
+    the fill does not depend on how the input is split.  Sequences are padded to the limit.
 
     Null and empty texts are the end id alone; repeated rows are packed as often as they
     occur; an empty table gives no pieces.  Other columns are not read.
@@ -119,13 +139,33 @@ def pack(docs: DataFrame, tokenizer: str, end: int, limits: tuple[int, int, int]
             sizes = np.diff(bounds)
             pieces = fill(sizes, sizes - 1, limits, least)
             example, start, length, sequence, offset, loss = pieces.T
+            rest = unfinished(pieces, limits, least)
             raw = ids.astype("<u4", copy=False)
             first = bounds[example] + start
-            crcs = [zlib.crc32(raw[a:b]) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
+            held = [raw[a:b].tobytes() if left else None
+                    for a, b, left in zip(first.tolist(), (first + length).tolist(), rest.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id").take(pa.array(example)), pa.array(start), pa.array(length), _crcs(ids, first, length),
+                 pa.array(sizes[example]), pa.array(sequence + base), pa.array(offset), pa.array(loss), pa.array(held, pa.binary())],
+                names=[*PIECES.names, "ids"])
+            base += int(sequence.max()) + 1 if len(sequence) else 0
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = 1 << 62 | TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
+            size, before = (batch.column(c).to_numpy() for c in ("length", "start"))
+            pieces = fill(size, batch.column("loss_tokens").to_numpy(), limits, least)
+            example, start, length, sequence, offset, loss = pieces.T
+            first = (np.cumsum(size) - size)[example] + start
+            own = pa.array(example)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").take(pa.array(example)), pa.array(start), pa.array(length),
-                 pa.array(crcs, pa.int64()), pa.array(sizes[example]), pa.array(sequence + base),
-                 pa.array(offset), pa.array(loss)], names=PIECES.names)
+                [batch.column("doc_id").take(own), pa.array(before[example] + start), pa.array(length), _crcs(ids, first, length),
+                 batch.column("doc_tokens").take(own), pa.array(sequence + base), pa.array(offset), pa.array(loss)], names=PIECES.names)
             base += int(sequence.max()) + 1 if len(sequence) else 0
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(task, PIECES)
+    schema = T.StructType([*PIECES.fields, T.StructField("ids", T.BinaryType())])
+    placed = shared.stored(docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(task, schema), "packed")
+    rest = placed.where("ids is not null")
+    tasks = -(-(rest.agg(F.sum("length")).first()[0] or 0) // REST_IDS) or 1
+    return placed.where("ids is null").drop("ids").unionByName(rest.repartition(tasks).mapInArrow(again, PIECES))

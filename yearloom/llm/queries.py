@@ -15,8 +15,9 @@ __all__ = ["ORACLE", "QUERIES"]
 #: Tokenizer files lie in the folder this setting names, if it is set.
 TOKENIZERS = "spark.yearloom.tokenizers"
 
-#: Ids, segments and loss-bearing ids of a sequence.
-PACK_LIMITS = (2048, 128, 2047)
+#: Ids, segments and loss-bearing ids of a sequence.  The first id of a segment bears no loss, so the
+#: third limit binds in sequences of fewer than eight segments.
+PACK_LIMITS = (2048, 128, 2040)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
