@@ -64,8 +64,10 @@ def test_large_group_is_compared_in_tiles(spark, group, monkeypatch):
 def test_threshold_is_met_exactly():
     """Ten 5-grams against eight of them: 0.8 is linked, seven of ten is not."""
     sets = [np.arange(n, dtype=np.uint64) for n in (10, 8, 7)]
-    u, v = jc.linked(sets[:1], sets[1:], 0.8)
+    u, v = jc.linked(sets[:1], sets[1:], np.ones((1, 2), bool), 0.8)
     assert (u.tolist(), v.tolist()) == ([0], [0])
+    u, v = jc.linked(sets[:1], sets[1:], np.array([[False, True]]), 0.8)
+    assert len(u) == len(v) == 0
 
 
 def test_odd_rows(spark):
@@ -82,6 +84,57 @@ def test_rows_of_one_id_with_different_texts(spark):
     assert got(jc.similar(docs)) == [(1, 1, 0), (1, 1, 1), (2, 1, 1)]
 
 
+def test_rows_without_id_link_and_take_the_class(spark):
+    t, u = "a b c d e f", "g h i j k l"
+    docs = spark.createDataFrame([(None, t), (3, t), (None, u), (None, u), (None, None)], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in jc.similar(docs).collect()), key=str) == [
+        (3, 3, 1), (None, 3, 1), (None, None, 0), (None, None, 1), (None, None, 1)]
+
+
+def test_one_of_each_class_stays(spark):
+    t, u, w = "a b c d e f", "g h i j k l", "m n o p q r"
+    rows = [(3, t, 1), (3, u, 2), (1, u, 3), (None, t, 4), (5, w, 5), (5, w, 6), (5, None, 7), (5, None, 8), (None, "", 9), (6, "", 10), (2, w + " z", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component int")
+    left = [(r.doc_id, r.text) for r in jc.one_per_class(docs).collect()]
+    assert sorted(left, key=str) == sorted([(3, t), (1, u), (5, w), (5, None), (None, ""), (6, ""), (2, w + " z")], key=str)
+    assert jc.one_per_class(docs).columns == docs.columns
+
+
+def test_a_chain_of_unlike_texts_is_not_compared_all_with_all(spark, monkeypatch, tmp_path):
+    """Each text shares half of its words with the next: chance bands tie long chains, but only neighbours meet."""
+    n, step = 700, 30
+    stream = [f"c{i}" for i in range((n + 2) * step)]
+    rows = [(i, " ".join(stream[i * step:(i + 2) * step])) for i in range(n)]
+    rows += [(10_000 + i, " ".join(stream[i * step:(i + 2) * step]) + " end") for i in range(0, n, 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pairs = spark.sparkContext.accumulator(0)
+    compare = jc.linked
+
+    def counted(first, second, met, threshold):
+        pairs.add(int(met.sum()))
+        return compare(first, second, met, threshold)
+
+    monkeypatch.setattr(jc, "linked", counted)
+    found = jc.similar(docs).collect()
+    assert sum(r.n_links for r in found) == 2 * 14
+    assert pairs.value < 3 * n  # all pairs would be 255,000
+
+
+def test_cells_of_many_homes_miss_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(jc, "TILE", 3)
+    rng = random.Random(9)
+    rows = []
+    for g in range(12):  # groups that overlap by a common half
+        base = [f"h{i}" for i in range(40)] + [f"g{g // 2}-{i}" for i in range(80)]
+        for k in range(10):
+            own = list(base)
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+            rows.append((g * 100 + k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(jc.similar(docs)) == brute(rows)
+
+
 def test_banding_reaches_its_recall():
     n_bands, rows = jc.choose_bands()
     assert n_bands * rows <= jc.MOST_HASHES

@@ -1,10 +1,12 @@
 """Joining near-duplicate texts: MinHash banding, verified on full sets of word n-grams.
 
-Texts with the same set of n-grams are one class with many copies; from there on only its
-smallest document takes part.  Classes that share a band hash are tied together, and the
-classes of each tied cluster are compared on their full sets, tile by tile, so a large
-cluster is spread over many tasks and no list of its pairs is made: tiles report, per
-class, the number of links and one tie to the smallest class it was linked with.
+Texts with the same set of n-grams are one class with many copies; from there on each class
+takes part once.  Classes meet where they share a band hash, and only such pairs are compared,
+on their full sets.  So that sets travel little, a class has its home in the largest band it
+meets others in; the classes of a home lie in cells of like size, and cells are compared two by
+two wherever a band has members in both, whole homes cell by cell, other cells by the members
+concerned.  Hot bands are spread over many such tiles, and no list of pairs is made: tiles
+report, per class, the number of links and one tie to the smallest class it was linked with.
 """
 
 from __future__ import annotations
@@ -29,16 +31,16 @@ SHINGLE = 5
 THRESHOLD = 0.8
 
 #: Share of the pairs at the threshold that must meet in a band.
-RECALL = 0.9995
+RECALL = 0.99999
 
 #: MinHash values a text may take.
 MOST_HASHES = 160
 
-#: Classes of a cluster compared side by side with as many others; in large clusters the root of their number.
+#: Classes of a cell; in large homes the root of their number.
 TILE = 64
 
-#: Bits of the map that tells which documents' sets are wanted; its size does not grow with the data.
-MAP_BITS = 1 << 25
+#: Bits for each wanted document, and at least and at most in all, of the map that tells whose sets are wanted.
+MAP_SHARE, MAP_LEAST, MAP_MOST = 16, 1 << 20, 1 << 30
 
 #: Distinct n-grams of a tile counted at once.
 COLUMNS = 1 << 16
@@ -108,7 +110,7 @@ def set_keys(grams: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def sign(docs: DataFrame, threshold: float, recall: float, size: int) -> DataFrame:
-    """doc_id, the keys of its set of n-grams (null for no words), their number, and band hashes."""
+    """doc_id, a hash of the text, the keys of its set of n-grams (null for no words), their number, and band hashes."""
     n_bands, rows = choose_bands(threshold, recall)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,12 +122,12 @@ def sign(docs: DataFrame, threshold: float, recall: float, size: int) -> DataFra
             a, b = set_keys(grams, bounds)
             values = (bands(grams, bounds, n_bands, rows) + marks).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(a, mask=none), pa.array(b, mask=none), pa.array(np.diff(bounds)),
+                [block.column("doc_id"), block.column("text_key"), pa.array(a, mask=none), pa.array(b, mask=none), pa.array(np.diff(bounds)),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(none) + 1, dtype=np.int32) * n_bands), pa.array(values.reshape(-1)))],
-                names=["doc_id", "set_a", "set_b", "n", "bands"])
+                names=["doc_id", "text_key", "set_a", "set_b", "n", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        task, "doc_id long, set_a long, set_b long, n long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        task, "doc_id long, text_key long, set_a long, set_b long, n long, bands array<long>")
 
 
 def overlaps(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
@@ -148,11 +150,24 @@ def overlaps(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def linked(first: list[np.ndarray], second: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of sets with Jaccard similarity of at least ``threshold``."""
-    shared_grams = overlaps(first, second)
-    union = np.array([len(s) for s in first])[:, None] + np.array([len(s) for s in second]) - shared_grams
-    return np.nonzero(shared_grams / union >= threshold)
+def meeting(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which rows of band hashes share one in the same place."""
+    out = np.zeros((len(first), len(second)), bool)
+    for k in range(first.shape[1]):
+        out |= first[:, k, None] == second[:, k]
+    return out
+
+
+def linked(first: list[np.ndarray], second: list[np.ndarray], met: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of sets that have met and have a Jaccard similarity of at least ``threshold``."""
+    u, v = np.flatnonzero(met.any(axis=1)), np.flatnonzero(met.any(axis=0))
+    if not len(u):
+        return u, v
+    a, b = [first[i] for i in u], [second[i] for i in v]
+    shared_grams = overlaps(a, b)
+    union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b]) - shared_grams
+    x, y = np.nonzero((shared_grams / union >= threshold) & met[np.ix_(u, v)])
+    return u[x], v[y]
 
 
 def similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE) -> DataFrame:
@@ -161,81 +176,115 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     Two documents are linked if the Jaccard similarity of their sets of ``size`` consecutive
     words (runs of 0-9, a-z, characters beyond ASCII; A-Z lower-cased) is at least
     ``threshold``; ``class_id`` is the smallest doc_id reachable by links, itself included, and
-    ``n_links`` counts the documents linked directly.  Null texts and texts without words link
+    ``n_links`` counts the documents linked directly.  A pair at the threshold is found with
+    the chance ``recall``, nearer ones almost surely.  Null texts and texts without words link
     with nothing; a text of fewer words is one n-gram; repeated rows are documents of their
-    own; an empty table gives an empty result.  Other columns are not read.
+    own, as are different texts under one doc_id; a row without doc_id counts as a link and has
+    the class of those it is linked with, null if none has an id; an empty table gives an empty
+    result.  Other columns are not read.
     """
+    return _classified(docs, threshold, recall, size).select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def _classified(docs: DataFrame, threshold: float, recall: float, size: int) -> DataFrame:
+    """Per document doc_id, text_key, component (null without words), class_id and n_links."""
     signed = shared.stored(sign(docs, threshold, recall, size), "jaccard-signed")
     classes = shared.stored(
         signed.where("n > 0").groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "jaccard-classes")
-    met = classes.where("rep is not null").select("rep", F.explode("bands").alias("band"))
-    leads = met.groupBy("band").agg(F.min("rep").alias("lead"), F.count("*").alias("met")).where("met > 1").drop("met")
-    ties = met.join(leads, "band").where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b"))
-    clusters = components(ties)
-    clusters = clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct())
-    links = shared.stored(_verified(docs, classes, clusters, threshold, size), "jaccard-links")
-    degrees = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    named = classes.select("set_a", "set_b", "rep", "copies").join(degrees, "rep", "left").join(joined, "rep", "left")
-    found = named.select("set_a", "set_b", F.coalesce("component", "rep").alias("class_id"),
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+        .withColumn("node", F.xxhash64("set_a", "set_b")), "jaccard-classes")
+    links = shared.stored(_verified(docs, classes, threshold, size), "jaccard-links")
+    degrees = links.groupBy("node").agg(F.sum("links").alias("links"))
+    joined = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    joined = joined.unionByName(joined.select(F.col("component").alias("node"), "component").distinct())
+    least = joined.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("class_id"))
+    named = (
+        classes.select("set_a", "set_b", "node", "rep", "copies").join(degrees, "node", "left")
+        .join(joined.join(least, "component"), "node", "left")
+    )
+    found = named.select("set_a", "set_b", F.coalesce("component", "node").alias("component"), F.coalesce("class_id", "rep").alias("class_id"),
                          (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return signed.select("doc_id", "set_a", "set_b").join(found, ["set_a", "set_b"], "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return signed.select("doc_id", "text_key", "set_a", "set_b").join(found, ["set_a", "set_b"], "left")
 
 
-def _verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, threshold: float, size: int) -> DataFrame:
-    """(rep, links, root) from the full sets of the classes of each cluster, in tiles."""
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("members"))
-    tile = F.greatest(F.lit(TILE), F.floor(F.sqrt("members")).cast("int"))
-    members = (
-        clusters.join(sizes, "component").withColumn("blocks", F.ceil(F.col("members") / tile).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .join(classes.select(F.col("rep").alias("node"), "set_a", "set_b", "copies"), "node")
-        .select(F.col("node").alias("rep"), "component", "blocks", "block", "set_a", "set_b", "copies")
-    )
+def _tiles(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, shipments): classes that share a band with their cells, and the tiles each one is wanted in.
+
+    A tile is two cells (home, number), the smaller first.
+    """
+    met = classes.select("node", F.explode("bands").alias("band"))
+    leads = met.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("met")).where("met > 1")
+    shared_bands = shared.stored(met.join(leads, "band"), "jaccard-bands")
+    homes = shared_bands.groupBy("node").agg(F.max(F.struct("met", "lead")).getField("lead").alias("home"))
+    sizes = homes.groupBy("home").agg(F.count("*").alias("size")).where("size > 1")
+    tile = F.greatest(F.lit(TILE), F.floor(F.sqrt("size")).cast("int"))
+    cells = F.coalesce(F.ceil(F.col("size") / tile).cast("int"), F.lit(1))
+    members = homes.join(sizes, "home", "left").withColumn("cells", cells).withColumn(
+        "cell", F.pmod(F.xxhash64("node"), "cells").cast("int")).join(
+        classes.select("node", "set_a", "set_b", "rep", "copies", "bands"), "node")
     members = shared.stored(members, "jaccard-members")
-    wanted = shared.sent(docs.sparkSession, _id_map(members))
+
+    def pair(home, number, other_home, other_number) -> list:
+        own, other = F.struct(home.alias("home"), number.alias("cell")), F.struct(other_home.alias("home"), other_number.alias("cell"))
+        return [F.least(own, other).alias("x"), F.greatest(own, other).alias("y"), own.alias("own")]
+
+    inside = members.where("size > 1").select("node", "home", "cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"))
+    inside = inside.select("node", *pair(F.col("home"), F.col("cell"), F.col("home"), F.col("other")))
+    placed = shared_bands.select("node", "band").join(members.select("node", "home", "cell"), "node")
+    mixed = placed.groupBy("band").agg(F.min("home").alias("a"), F.max("home").alias("b")).where("a <> b").select("band")
+    crossing = shared.stored(placed.join(mixed, "band"), "jaccard-crossing")
+    others = crossing.groupBy("band", F.col("home").alias("other_home"), F.col("cell").alias("other_cell")).agg(F.lit(1).alias("one")).drop("one")
+    between = crossing.join(others, "band").where("home <> other_home").select(
+        "node", *pair(F.col("home"), F.col("cell"), F.col("other_home"), F.col("other_cell"))).distinct()
+    return members, inside.unionByName(between)
+
+
+def _verified(docs: DataFrame, classes: DataFrame, threshold: float, size: int) -> DataFrame:
+    """(node, links, root) from the full sets of the classes that share a band, in tiles."""
+    members, shipments = _tiles(classes)
+    bits, wanted = _id_map(members)
+    sent = shared.sent(docs.sparkSession, wanted)
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, bits = tx.Hasher(), shared.received(wanted)
+        hasher, held = tx.Hasher(), shared.received(sent)
         for batch in batches:
-            place = _map_place(pc.fill_null(batch.column("doc_id"), -1).to_numpy())
-            some = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            place = _map_place(pc.fill_null(batch.column("doc_id"), -1).to_numpy(), bits)
+            some = batch.filter(pa.array((held[place >> 3] >> (place & 7) & 1).astype(bool)))
             for part in tx.blocks(iter([some])):
                 grams, bounds = shingles(hasher, part.column("text"), size)
                 raw = [grams[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(x) for x in set_keys(grams, bounds)), pa.array(raw, pa.binary())],
-                    names=["rep", "set_a", "set_b", "grams"])
+                    names=["doc_id", "own_a", "own_b", "grams"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
         for batch in batches:
             for row in batch.to_pylist():
-                if (row["component"], row["x"], row["y"]) != key:
+                if (row["x"], row["y"]) != key:
                     yield from compared(held, key)
-                    held, key = [], (row["component"], row["x"], row["y"])
+                    held, key = [], (row["x"], row["y"])
                 held.append(row)
         yield from compared(held, key)
 
     def compared(rows: list[dict], key) -> Iterator[pa.RecordBatch]:
-        rows = list({row["rep"]: row for row in rows}.values())  # a repeated row counts once
+        rows = list({row["node"]: row for row in rows}.values())  # a repeated row counts once
         if len(rows) < 2:
             return
-        _, x, y = key
-        first = [r for r in rows if r["block"] == x]
-        second = [r for r in rows if r["block"] == y]
-        sets = [[np.frombuffer(r["grams"], np.uint64) for r in side] for side in (first, second)]
+        x, y = key
+        first = [r for r in rows if r["own"] == x]
+        second = first if x == y else [r for r in rows if r["own"] == y]
         if not first or not second:
             return
-        u, v = linked(*sets, threshold)
+        sets = [[np.frombuffer(r["grams"], np.uint64) for r in side] for side in (first, second)]
+        met = meeting(*(np.array([r["bands"] for r in side]) for side in (first, second)))
         if x == y:
-            u, v = u[u < v], v[u < v]
-            second = []
-        every = first + second
-        v = v + (len(first) if second else 0)
-        ids = np.array([r["rep"] for r in every])
+            met = np.triu(met, 1)
+        u, v = linked(*sets, met, threshold)
+        every = first if x == y else first + second
+        v = v + (0 if x == y else len(first))
+        ids = np.array([r["node"] for r in every])
         order = np.argsort(ids)
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
@@ -246,38 +295,58 @@ def _verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, threshol
         np.add.at(links, v, copies[u])
         some = np.flatnonzero(links)
         yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[roots[some]])],
-                                         names=["rep", "links", "root"])
+                                         names=["node", "links", "root"])
 
-    with_sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        full_sets, "rep long, set_a long, set_b long, grams binary").join(members, ["rep", "set_a", "set_b"])
-    tiles = with_sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "rep", "component", "block", "copies", "grams", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    return tiles.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y", "rep").mapInArrow(
-        compare, "rep long, links long, root long")
+    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        full_sets, "doc_id long, own_a long, own_b long, grams binary")
+    with_sets = sets.join(members.select("node", "set_a", "set_b", "rep", "copies", "bands"), (
+        (F.col("own_a") == F.col("set_a")) & (F.col("own_b") == F.col("set_b")) & F.col("doc_id").eqNullSafe(F.col("rep")))).select(
+        "node", "copies", "bands", "grams")
+    tiles = with_sets.join(shipments, "node")
+    return tiles.repartition("x", "y").sortWithinPartitions("x", "y", "node").mapInArrow(compare, "node long, links long, root long")
 
 
-def _map_place(ids: np.ndarray) -> np.ndarray:
-    return (tx.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(MAP_BITS)).astype(np.int64)
+def _map_place(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (tx.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
 
 
-def _id_map(members: DataFrame) -> np.ndarray:
-    """Bits set for the members' ids.  Other ids may meet a bit that is set: the join that follows is exact."""
+def _id_map(members: DataFrame) -> tuple[int, np.ndarray]:
+    """A map of bits, set for the documents that stand for the members; and their number.
+
+    Other ids may meet a bit that is set: the join that follows is exact.
+    """
+    wanted = members.count() * MAP_SHARE
+    bits = min(max(1 << max(wanted - 1, 1).bit_length(), MAP_LEAST), MAP_MOST)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_map_place(batch.column("rep").to_numpy()))], names=["place"])
+            place = _map_place(pc.fill_null(batch.column("rep"), -1).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(place)], names=["place"])
 
     bit = F.expr("shiftleft(1, cast(place % 8 as int))")
     found = members.select("rep").mapInArrow(task, "place long").groupBy(F.expr("place div 8").alias("byte")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(MAP_BITS // 8, np.uint8)
+    out = np.zeros(bits // 8, np.uint8)
     out[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
-    return out
+    return bits, out
 
 
 def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE) -> DataFrame:
-    """The documents, unchanged, of which no other of their class has a smaller doc_id.
+    """The documents, unchanged, one of each class: that with the smallest doc_id, then text hash; ids before none.
 
-    Rows that repeat a kept document's id and text are dropped as its copies.
+    Of rows that repeat a doc_id and text one is kept.  Rows without words are classes of their own.
     """
-    kept = similar(docs, threshold, recall, size).where("doc_id <=> class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    found = _classified(docs, threshold, recall, size)
+    rows = shared.stored(found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n")), "jaccard-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
+    kept = rows.where("component is not null").groupBy("component").agg(F.min(place).alias("kept"))
+    marked = rows.join(kept, "component", "left").withColumn("gone", F.coalesce(F.col("kept") != place, F.lit(False)))
+    marked = shared.stored(marked.where("gone or n > 1").select(
+        F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "gone"), "jaccard-marked")
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    same = keyed["doc_id"].cast("long").eqNullSafe(F.col("_doc_id")) & (keyed["_key"] == F.col("_text_key"))
+    left = keyed.join(marked.where("gone"), same, "left_anti")
+    repeated = marked.where("not gone")
+    if not repeated.isEmpty():
+        once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+        left = left.join(repeated, same, "left_anti").unionByName(once)
+    return left.select(*docs.columns)
