@@ -3,7 +3,7 @@
 Texts with the same set of n-grams are one class with many copies; from there on each class
 takes part once.  Classes meet where they share a band hash, and only such pairs are compared,
 on their full sets.  So that sets travel little, a class has its home in the largest band it
-meets others in; the classes of a home lie in cells of like size, and cells are compared two by
+meets others in (the largest of that band's lead, if it is large); the classes of a home lie in cells of like size, and cells are compared two by
 two wherever a band has members in both, whole homes cell by cell, other cells by the members
 concerned.  Hot bands are spread over many such tiles, and no list of pairs is made: tiles
 report, per class, the number of links and one tie to the smallest class it was linked with.
@@ -39,6 +39,9 @@ MOST_HASHES = 160
 #: Classes of a cell; in large homes the root of their number.
 TILE = 64
 
+#: Doublings of the way from a lead to its home.
+HOPS = 4
+
 #: Bits for each wanted document, and at least and at most in all, of the map that tells whose sets are wanted.
 MAP_SHARE, MAP_LEAST, MAP_MOST = 16, 1 << 20, 1 << 30
 
@@ -216,7 +219,8 @@ def _tiles(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = classes.select("node", F.explode("bands").alias("band"))
     leads = met.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("met")).where("met > 1")
     shared_bands = shared.stored(met.join(leads, "band"), "jaccard-bands")
-    homes = shared_bands.groupBy("node").agg(F.max(F.struct("met", "lead")).getField("lead").alias("home"))
+    largest = shared.stored(shared_bands.groupBy("node").agg(F.max(F.struct("met", "lead")).alias("b")).select("node", "b.met", "b.lead"), "jaccard-leads")
+    homes = _settled(largest)
     sizes = homes.groupBy("home").agg(F.count("*").alias("size")).where("size > 1")
     tile = F.greatest(F.lit(TILE), F.floor(F.sqrt("size")).cast("int"))
     cells = F.coalesce(F.ceil(F.col("size") / tile).cast("int"), F.lit(1))
@@ -240,6 +244,24 @@ def _tiles(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, inside.unionByName(between)
 
 
+def _settled(largest: DataFrame) -> DataFrame:
+    """(node, home): the lead of each class's largest band, or of large bands the home of that lead in turn.
+
+    Near copies of one text meet in many bands of about the same members; their leads' homes
+    lie in one another, so the group gets few homes.  Leads are few: one a large band.
+    """
+    large = largest.where(F.col("met") > TILE)
+    hop = large.select(F.col("lead").alias("home")).distinct().join(
+        largest.select(F.col("node").alias("home"), F.col("lead").alias("next")), "home")
+    for _ in range(HOPS):
+        onward = hop.select(F.col("home").alias("next"), F.col("next").alias("after"))
+        hop = hop.join(onward, "next", "left").select("home", F.coalesce("after", "next").alias("next"))
+    hop = shared.stored(hop, "jaccard-hops")
+    onward = F.when(F.col("met") > TILE, F.col("next"))
+    return largest.withColumnRenamed("lead", "home").join(hop, "home", "left").select(
+        "node", F.coalesce(onward, "home").alias("home"))
+
+
 def _verified(docs: DataFrame, classes: DataFrame, threshold: float, size: int) -> DataFrame:
     """(node, links, root) from the full sets of the classes that share a band, in tiles."""
     members, shipments = _tiles(classes)
