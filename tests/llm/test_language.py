@@ -82,3 +82,48 @@ def test_scripts_narrow_candidates(spark):
     assert {r.doc_id: r.lang_pred for r in lg.label(docs, model).collect()} == {1: "en", 2: "ru", 3: "el"}
 
 
+
+
+def test_many_stray_languages(spark):
+    """More labels than a file holds, most of one text each; no label is left out and good ones still win."""
+    rows = [(i, f"{'abcdefghij'[i % 10] * 3} {'klmnopqrst'[i // 10 % 10] * 4} zz{i}", f"stray {i:04d}") for i in range(1_300)]
+    rows += [(5_000 + i, "the of and thintion ing ereding that with for this " * 3, "en") for i in range(20)]
+    rows += [(6_000 + i, "der die das und nicht mit sich ein steinsch enerach den " * 3, "de") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = lg.fit(docs)
+    assert len(model.languages) == 1_302 and model.weights.shape[0] == 1_302 and model.block_bytes() < lg.BLOCK_BYTES
+    own = spark.createDataFrame([(1, "that ereding the of thintion", False), (2, "nicht die steinsch und das", False)],
+                                "doc_id long, text string, held_out boolean")
+    assert {r.doc_id: r.lang_pred for r in lg.label(own, model).collect()} == {1: "en", 2: "de"}
+
+
+def test_learned_counts_against_a_plain_count(spark):
+    """Shares of hashed n-grams from all words of a language, one by one."""
+    docs = spark.createDataFrame([(1, "Ab abc. ÉA", "x"), (2, "b abc", "x"), (3, None, "x"), (4, "", "z"), (5, "q", None), (6, "éa 12 q", "y")],
+                                 "doc_id long, text string, lang string").repartition(3)
+    model = lg.fit(docs)
+    assert model.languages == ["x", "y", "z"]
+    words = {"x": ["ab", "abc", "éa", "b", "abc"], "y": ["éa", "q"], "z": []}
+    for row, name in zip(model.weights, model.languages, strict=True):
+        counts = np.full(1 << lg.TABLE_BITS, 0.5)
+        for word in words[name]:
+            raw = b"_" + word.encode() + b"_"
+            for size in lg.ORDERS:
+                for i in range(len(raw) - size + 1):
+                    value = int.from_bytes(raw[i:i + size], "little") + (size << 56)
+                    mixed = lg.tx.mix(np.array([value], np.uint64))
+                    counts[int(mixed[0] >> np.uint64(64 - lg.TABLE_BITS))] += 1
+        assert np.allclose(row, np.log(counts / counts.sum()) / len(lg.ORDERS), atol=1e-6)
+
+
+def test_scores_against_a_plain_sum(spark, model):
+    """Each word's score is the sum of its n-grams' weights, held to the cap below the best candidate."""
+    words = lg.Words(lg.tx.Hasher(), __import__("pyarrow").array(["the enerach привет the", "là"]))
+    got = lg.word_scores(words, model)
+    for k, at in enumerate(words.sample):
+        raw = b"_" + words.data[words.first[at]:words.last[at]].tobytes() + b"_"
+        values = np.array([int.from_bytes(raw[i:i + n], "little") + (n << 56) for n in lg.ORDERS for i in range(len(raw) - n + 1)], np.uint64)
+        sums = model.weights[:, (lg.tx.mix(values) >> np.uint64(64 - lg.TABLE_BITS)).astype(int)].sum(axis=1)
+        allowed = model.scripts[words.scripts()[k]]
+        want = np.where(allowed, np.maximum(sums - sums[allowed].max(), -lg.WORD_CAP), -2 * lg.WORD_CAP)
+        assert np.allclose(got[k], want, atol=1e-4)

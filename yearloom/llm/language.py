@@ -35,15 +35,16 @@ WORD_CAP = 12.0
 #: A language needs so many training words in a script to be a candidate for it.
 SCRIPT_SHARE = 0.001
 
-#: Bytes of text labelled at once; scores of all words and languages are held meanwhile.
-BLOCK_BYTES = 1_000_000
+#: Bytes of text labelled at once, for up to so many languages; with more of them less, as the scores
+#: of all words under all languages are held meanwhile.
+BLOCK_BYTES, BLOCK_LANGUAGES, LEAST_BYTES = 1_000_000, 16, 20_000
 
-#: Languages the model can hold; more are an error.
-MOST_LANGUAGES = 1_000
+#: Languages of a file of the model (256 kB each).
+FILE_LANGUAGES = 64
 
 UNDETERMINED = "und"
 
-# Lead-byte ranges (first, last) of UTF-8 by script, as far as a lead pair tells them apart.
+# Code points (first, last) by script.
 SCRIPTS = (
     ("latin", 0x0041, 0x024F),
     ("greek", 0x0370, 0x03FF),
@@ -74,12 +75,24 @@ LABELS = ("doc_id long, held_out boolean, lang_pred string, score double, "
 
 @dataclasses.dataclass
 class Model:
-    """Log shares of hashed n-grams by language, and which scripts each language uses."""
+    """Which scripts each language uses; the log shares of hashed n-grams lie in files, some languages each."""
 
     languages: list[str]
-    weights: np.ndarray  # languages x table
+    folder: str
     scripts: np.ndarray  # scripts x languages, true for candidates
 
+    def parts(self) -> Iterator[np.ndarray]:
+        """Log shares, languages x table, file by file; mapped where the folder is mounted."""
+        for number in range(-(-len(self.languages) // FILE_LANGUAGES)):
+            yield shared.read_array(f"{self.folder}/{number}", np.float32).reshape(-1, 1 << TABLE_BITS)
+
+    @property
+    def weights(self) -> np.ndarray:
+        return np.concatenate([*self.parts()]) if self.languages else np.zeros((0, 1 << TABLE_BITS), np.float32)
+
+    def block_bytes(self) -> int:
+        return max(BLOCK_BYTES * BLOCK_LANGUAGES // max(BLOCK_LANGUAGES, len(self.languages)), LEAST_BYTES)
+
 
 class Words:
     """The words of a block of texts, and its distinct ones."""
@@ -151,6 +164,15 @@ def fit(train: DataFrame) -> Model:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts = tx.Hasher(), {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for name, own in counts.items():
+                places_used = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(places_used), pa.string()), pa.array(places_used.astype(np.int32)), pa.array(own[places_used])],
+                    names=["lang", "place", "n"])
+            counts.clear()
+
         for block in tx.blocks(batches, limit=BLOCK_BYTES):
             words = Words(hasher, block.column("text"))
             places, word = words.n_grams()
@@ -158,14 +180,13 @@ def fit(train: DataFrame) -> Model:
             langs = block.column("lang").dictionary_encode()
             owner = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(words.owner))
             for k, name in enumerate(langs.dictionary.to_pylist()):
+                if name not in counts and len(counts) >= FILE_LANGUAGES:
+                    yield from told()
                 seen = np.bincount(words.which[owner == k], minlength=len(words.sample))
                 own = counts.setdefault(name, np.zeros(table + len(SCRIPT_NAMES), np.int64))
                 own[:table] += np.bincount(places, weights=seen[word], minlength=table).astype(np.int64)
                 own[table:] += np.bincount(scripts, weights=seen, minlength=len(SCRIPT_NAMES)).astype(np.int64)
-        for name, own in counts.items():
-            used = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(used)), pa.array(used.astype(np.int32)), pa.array(own[used])], names=["lang", "place", "n"])
+        yield from told()
 
     counts = (
         train.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
@@ -173,27 +194,41 @@ def fit(train: DataFrame) -> Model:
     )
     spark = train.sparkSession
     languages = sorted(r[0] for r in train.where("text is not null and lang is not null").select(
-        F.col("lang").cast("string")).distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    totals = np.zeros((len(languages), table + len(SCRIPT_NAMES)))
-    if languages:
-        found = counts.toArrow()
-        row = found.column("lang").combine_chunks().dictionary_encode()
-        number = np.array([languages.index(x) for x in row.dictionary.to_pylist()], np.int64)
-        totals[number[row.indices.to_numpy()] if len(number) else [], found.column("place").to_numpy()] = found.column("n").to_numpy()
-    grams, scripts = totals[:, :table] + 0.5, totals[:, table:]
-    weights = np.log(grams / grams.sum(axis=1, keepdims=True)) / len(ORDERS)
+        F.col("lang").cast("string").alias("lang")).distinct().collect())
+    folder, width = shared.folder(spark, "languages"), table + len(SCRIPT_NAMES)
+    model = Model(languages, folder, np.ones((len(SCRIPT_NAMES), len(languages)), dtype=bool))
+    if not languages:
+        return model
+
+    def write(group: pa.Table) -> pa.Table:
+        """The weights of a file's languages; returns their words by script."""
+        part = group.column("part")[0].as_py()
+        here = min(FILE_LANGUAGES, len(languages) - part * FILE_LANGUAGES)
+        totals = np.zeros((here, width))
+        known = group.filter(group.column("place").is_valid())
+        totals[known.column("number").to_numpy() - part * FILE_LANGUAGES, known.column("place").to_numpy()] = known.column("n").to_numpy()
+        grams = totals[:, :table] + 0.5
+        weights = np.log(grams / grams.sum(axis=1, keepdims=True)) / len(ORDERS)
+        shared.write_array(f"{folder}/{part}", weights.astype("<f4"))
+        return pa.table({"number": pa.array(part * FILE_LANGUAGES + np.arange(here), pa.int32()),
+                         "scripts": pa.array(totals[:, table:].tolist(), pa.list_(pa.float64()))})
+
+    numbered = spark.createDataFrame(list(enumerate(languages)), "number int, lang string")
+    told = numbered.join(counts, "lang", "left").select(
+        F.floor(F.col("number") / FILE_LANGUAGES).cast("int").alias("part"), "number", "place", "n")
+    scripts = np.zeros((len(languages), len(SCRIPT_NAMES)))
+    for row in told.groupBy("part").applyInArrow(write, "number int, scripts array<double>").collect():
+        scripts[row.number] = row.scripts
     used = scripts > SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
-    candidates = used.T.copy()
-    candidates[~candidates.any(axis=1)] = True  # a script that nobody uses rules nobody out
-    return Model(languages, weights.astype(np.float32), candidates)
+    model.scripts = used.T.copy()
+    model.scripts[~model.scripts.any(axis=1)] = True  # a script that nobody uses rules nobody out
+    return model
 
 
 def word_scores(words: Words, model: Model) -> np.ndarray:
     """Scores of the distinct words under each language, at most ``WORD_CAP`` below the best candidate."""
     places, word = words.n_grams()
-    out = np.stack([np.bincount(word, weights=w[places], minlength=len(words.sample)) for w in model.weights], axis=1)
+    out = np.stack([np.bincount(word, weights=w[places], minlength=len(words.sample)) for part in model.parts() for w in part], axis=1)
     allowed = model.scripts[words.scripts()]
     best = np.where(allowed, out, -np.inf).max(axis=1, keepdims=True)
     return np.where(allowed, np.maximum(out - best, -WORD_CAP), -2 * WORD_CAP)
@@ -203,9 +238,10 @@ def best_path(scores: np.ndarray, owner: np.ndarray, penalty: float = SWITCH) ->
     """The language of each word on the best path through its text.
 
     ``scores``: words x languages, all texts one after another; ``owner``: each text's
-    first word.  Texts are cut into stretches, the best paths between all first and last
-    languages of a stretch are found side by side, and joined text by text; the result
-    is that of one search over the whole text.
+    first word.  Texts are cut into stretches, the values of the best paths between all first
+    and last languages of a stretch are found side by side, and joined text by text; then each
+    stretch is searched once more from the language it is entered with.  The result is that of
+    one search over the whole text.
     """
     n_languages = scores.shape[1]
     per_text = -(-np.diff(owner) // STRETCH)
@@ -216,17 +252,11 @@ def best_path(scores: np.ndarray, owner: np.ndarray, penalty: float = SWITCH) ->
     active = np.searchsorted(-sizes[order], -np.arange(STRETCH), side="left")  # stretches longer than t
     state = np.full((len(starts), n_languages, n_languages), -np.inf)
     state[:, np.arange(n_languages), np.arange(n_languages)] = 0.0
-    back = np.zeros((int(sizes.sum()), n_languages, n_languages), np.int16 if n_languages > 127 else np.int8)
-    own = np.arange(n_languages)
     for t in range(int(sizes.max(initial=0))):
         live = state[:active[t]]
-        at = starts[order[:active[t]]] + t
-        leader = live.argmax(axis=2)
-        switch = np.take_along_axis(live, leader[:, :, None], axis=2) - penalty
-        stay = live >= switch
-        back[at] = np.where(stay, own, leader[:, :, None])
+        switch = live.max(axis=2, keepdims=True) - penalty
         np.maximum(live, switch, out=live)
-        live += scores[at][:, None, :]
+        live += scores[starts[order[:active[t]]] + t][:, None, :]
     spans = np.empty_like(state)
     spans[order] = state
     first_stretch = np.concatenate([[0], np.cumsum(per_text)])
@@ -245,12 +275,23 @@ def best_path(scores: np.ndarray, owner: np.ndarray, penalty: float = SWITCH) ->
         final[at] = current[rows]
         entry[at] = came[at, current[rows]]
         current[rows] = entry[at]
+    own = np.arange(n_languages)
+    back = np.zeros((len(scores), n_languages), np.int32 if n_languages > 1 << 15 else np.int16)
+    state = np.where(entry[order][:, None] == own, 0.0, -np.inf)
+    for t in range(int(sizes.max(initial=0))):
+        live = state[:active[t]]
+        at = starts[order[:active[t]]] + t
+        leader = live.argmax(axis=1)
+        switch = np.take_along_axis(live, leader[:, None], axis=1) - penalty
+        back[at] = np.where(live >= switch, own, leader[:, None])
+        np.maximum(live, switch, out=live)
+        live += scores[at]
     labels = np.zeros(len(scores), np.int64)
     for t in reversed(range(int(sizes.max(initial=0)))):
         here = np.flatnonzero(sizes > t)
         at = starts[here] + t
         labels[at] = final[here]
-        final[here] = back[at, entry[here], final[here]]
+        final[here] = back[at, final[here]]
     return labels
 
 
@@ -301,7 +342,7 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeler = Labeler(shared.received(sent))
-        for block in tx.blocks(batches, limit=BLOCK_BYTES):
+        for block in tx.blocks(batches, limit=labeler.model.block_bytes()):
             names, score, spans = labeler.block(block.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), block.column("held_out"), pa.array(names, pa.string()), pa.array(score), spans],
@@ -316,7 +357,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFr
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeler = Labeler(shared.received(sent))
-        for block in tx.blocks(batches, limit=BLOCK_BYTES):
+        for block in tx.blocks(batches, limit=labeler.model.block_bytes()):
             names, score, _ = labeler.block(block.column("text"))
             kept = np.array([n != UNDETERMINED for n in names]) & (score >= least)
             yield block.filter(pa.array(kept))
