@@ -95,6 +95,6 @@ def test_odd_documents_pass_all_stages(spark):
 
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.QUERIES) <= set(entry.queries()) and entry.queries()["pipeline"] is pipeline.run
     assert set(queries.ORACLE) <= set(queries.QUERIES)
