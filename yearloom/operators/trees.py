@@ -38,7 +38,7 @@ TREES_TOGETHER = 16
 #: Prime modulus of the draws.
 MODULUS = 2**31 - 1
 #: Splits of a model up to which it is compiled to conditions.
-COMPILED_SPLITS = 4_000
+COMPILED_SPLITS = 500
 #: Chances that a row is drawn at most 0, 1, 2, .. times as often as on average once.
 POISSON = [math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) for k in range(9)]
 MOST_WEIGHT = len(POISSON)
