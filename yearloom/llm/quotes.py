@@ -26,9 +26,6 @@ LEAST_WORDS = 3
 #: Rounds of following chains, each twice as long as the one before.
 MOST_ROUNDS = 60
 
-#: Messages and chains ranked together; see ``_positions``.
-STEP = 1_024
-
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 ATTRIBUTION = re.compile(r"(?:wrote|writes|said|schrieb|écrit|a écrit|escribió) ?:$", re.IGNORECASE)
 WORD = re.compile(r"\w+")
@@ -147,26 +144,23 @@ def chain_starts(links: DataFrame) -> DataFrame:
     raise RuntimeError("reply chains did not settle")
 
 
-def _positions(rows: DataFrame) -> DataFrame:
-    """Places 0, 1, .. of a conversation's messages by (root, turn), however many it has.
+def _positions(messages: DataFrame, chains: DataFrame) -> DataFrame:
+    """(row, reply_to, root, position): places 0, 1, .. of a conversation's messages by (root, turn), however many it has.
 
-    Chains are ranked in groups of ``STEP`` neighbouring roots, and messages of a chain in
-    groups of ``STEP`` neighbouring turns; counts of earlier groups move them up.
+    They come from a distributed sort of the keys, stored so that it cannot change: a message's
+    number in its partition, plus the conversation's messages in earlier partitions.  Messages
+    of one turn are told apart by hash and row, so that a conversation without turns, too, is
+    spread over partitions.
     """
-    rows = rows.withColumns({"far": F.floor(F.col("root") / STEP), "near": F.floor(F.col("t") / STEP)})
-    small = rows.groupBy("c", "far", "root", "near").agg(F.count("*").alias("n"))
-    large = small.groupBy("c", "far").agg(F.sum("n").alias("n"))
-
-    def earlier(*within: str):
-        return Window.partitionBy(*within).rowsBetween(Window.unboundedPreceding, -1)
-
-    large = large.select("c", "far", F.coalesce(F.sum("n").over(earlier("c").orderBy("far")), F.lit(0)).alias("base"))
-    small = small.select("c", "far", "root", "near", F.coalesce(F.sum("n").over(earlier("c", "far").orderBy("root", "near")), F.lit(0)).alias("before"))
-    own = F.row_number().over(Window.partitionBy("c", "far", "root", "near").orderBy("t", "role", "text"))
-    return (
-        rows.withColumn("own", own).join(small, ["c", "far", "root", "near"]).join(large, ["c", "far"])
-        .withColumn("position", F.col("base") + F.col("before") + F.col("own") - 1).drop("far", "near", "own", "base", "before")
-    )
+    rows = messages.select("c", "t", "row", F.xxhash64("role", "text").alias("tie")).join(chains, ["c", "t"], "left")
+    rows = shared.stored(rows.withColumn("root", F.coalesce("root", "t")), "placed")
+    keys = ["c", "root", "t", "tie", "row"]
+    ranked = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("c", "row", "reply_to", "root", F.monotonically_increasing_id().alias("at"))
+    ranked = shared.stored(ranked, "ranked").withColumn("part", F.shiftright("at", 33))
+    earlier = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = ranked.groupBy("c", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    bases = pieces.select("c", "part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    return ranked.join(bases, ["c", "part"]).select("row", "reply_to", "root", (F.col("at") - F.col("first") + F.col("base")).alias("position"))
 
 
 def unquoted(conversations: DataFrame, unfound: bool = False) -> DataFrame:
@@ -175,18 +169,17 @@ def unquoted(conversations: DataFrame, unfound: bool = False) -> DataFrame:
     ``text`` is the message without its quotes and the lines that introduce them; ``reply_to``
     the turn of the message it quotes, null if none is found; ``root_turn`` the turn its chain
     of replies starts with, its own without one; ``position`` counts from 0 without gaps by
-    root_turn and turn.  Null texts stay null; null turns count as -1 and null conversations
+    root_turn and turn, ties by a hash of role and text.  Null texts stay null; null turns count as -1 and null conversations
     as one; repeated rows and rows of one turn are messages of their own, which share
     reply_to; an empty table gives an empty result.  Other columns are not read.  With
     ``unfound`` a last column of that name holds the quoted runs, without their marks, of
     which no passage has an original.
     """
-    messages = shared.stored(_parsed(conversations), "messages")
-    chains = chain_starts(reply_links(messages))
+    messages = shared.stored(_parsed(conversations).withColumn("row", F.monotonically_increasing_id()), "messages")
+    places = _positions(messages, chain_starts(reply_links(messages)))
     columns = ["conv_id", "position", "turn", "role", "reply_to", F.col("root").alias("root_turn"), "n_quotes", "text"]
     if unfound:
         lost = F.filter("quoted", lambda q: ~F.coalesce(F.array_contains("keys", q["key"]), F.lit(False)))
         messages = messages.join(found_runs(messages), ["c", "t"], "left").withColumn("unfound", F.transform(lost, lambda q: q["text"])).drop("keys")
         columns.append("unfound")
-    placed = messages.drop("found", "quoted").join(chains, ["c", "t"], "left").withColumn("root", F.coalesce("root", "t"))
-    return _positions(placed).select(*columns)
+    return messages.drop("found", "quoted", "c", "t").join(places, "row").select(*columns)
