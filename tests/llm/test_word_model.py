@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from cases import NONSPACE, crc, documents, words
 
 from yearloom.llm import ngram_counts as nc
@@ -117,6 +118,45 @@ def test_counts_beyond_a_byte_and_many_shards(spark, monkeypatch):
         agree(got[i], Brute(texts), t)
 
 
+def test_short_keys_of_pairs_and_many_word_shards(spark, monkeypatch):
+    """Keys with hardly any bits for the word before, many shards of words, and arrays that are closed again."""
+    monkeypatch.setattr(wm, "KEY_BITS", 12)
+    monkeypatch.setattr(wm, "SHARD_WORDS", 5)
+    monkeypatch.setattr(nc, "shards_for", lambda total: 30)
+    monkeypatch.setattr(wm, "MOST_OPEN", 2)
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{k}" for k in (rng.zipf(1.4, 40) % 90)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate([*texts, "w1 never seen w2", ""])], "doc_id long, text string, held_out boolean")
+    model = wm.fit(docs.where("not held_out"))
+    assert model.word_shards > 8 and model.pair_shards > 30 and 1 << model.before_bits < model.words
+    brute = Brute(r.text for r in docs.where("not held_out").collect())
+    got = {r.doc_id: r for r in wm.score(docs, model).collect()}
+    for r in docs.collect():
+        agree(got[r.doc_id], brute, r.text)
+    scorer = wm.Scorer(model)
+    scorer.texts(pa.array(texts))
+    assert len(scorer.vocabulary.open) <= 2 and len(scorer.table.open) <= 2
+
+
+def test_pair_keys_are_told_apart():
+    """Of any two pairs in one shard the keys differ, and they name their words, whatever the number of words."""
+    rng = np.random.default_rng(2)
+    for words in (1, 50, 3_000, 1 << 33, 1 << 45):
+        n = min(words, 3_000)
+        counts = rng.integers(1, 9, n)
+        first = words - n  # the last words of a vocabulary; those before them have one token each
+        earlier = first + np.cumsum(counts) - counts
+        model = wm.Model("", 10, 1, words, int(first + counts.sum())).sized()
+        b = rng.integers(0, n, 20_000)
+        w = rng.integers(0, words, 20_000)
+        shard, keys = model.pair_keys(first + b, counts[b], earlier[b], w)
+        assert len({*zip(shard.tolist(), keys.tolist())}) == len({*zip(b.tolist(), w.tolist())})
+        for s in np.unique(shard)[:50].tolist():
+            own = shard == s
+            before, word = model.words_of(keys[own], int(first + b[own].min()))
+            assert (before == first + b[own]).all() and (word == w[own]).all()
+
+
 def test_blobs_round_trip():
     rng = np.random.default_rng(0)
     keys, counts = nc.tally(rng.integers(0, 2**63, 500, dtype=np.uint64) // np.uint64(2**40), rng.integers(1, 9, 500))

@@ -54,17 +54,20 @@ def to_blobs(keys: np.ndarray, counts: np.ndarray | None, shard: np.ndarray) ->
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def collected(parts: Iterator[tuple[np.ndarray, np.ndarray]], shard_of, limit: int = HELD_KEYS) -> Iterator[pa.RecordBatch]:
-    """Tallies of a task's parts, merged while they fit, as blob rows."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def collected(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], limit: int = HELD_KEYS) -> Iterator[pa.RecordBatch]:
+    """Shards, keys and counts of a task's parts, merged while they fit, as blob rows."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
 
     def flush() -> pa.RecordBatch:
-        keys, counts = tally(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        return to_blobs(keys, counts, shard_of(keys))
-
-    for keys, counts in parts:
-        held.append((keys, counts))
+        shard, keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((keys, shard))
+        shard, keys, counts = shard[order], keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])]))
+        return to_blobs(keys[first], np.add.reduceat(counts, first), shard[first])
+
+    for shard, keys, counts in parts:
+        held.append((shard, keys, counts))
         size += len(keys)
         if size > limit:
             yield flush()
