@@ -177,3 +177,25 @@ def test_worst_stretch():
     found = ql.worst_stretch(values, np.array([0, 11, 13, 14]))
     wanted = [24 / 8 - ql.DOUBLING * 2, 13 / 8, 1 / 8]
     assert ql.STRETCH == 8 and np.allclose(found, wanted) and len(ql.worst_stretch(np.zeros(0), np.zeros(1, int))) == 0
+
+
+def test_files_of_answers(tmp_path):
+    rng = np.random.default_rng(3)
+    folder = f"file://{tmp_path}"
+    blocks = {int(n): rng.random(int(n) % 7, np.float32) for n in rng.integers(-2**63, 2**63, 40)}
+    for file in range(3):
+        ql.write_answers(folder, 3, {n: x for n, x in blocks.items() if n % 3 == file})
+    for name, values in blocks.items():
+        assert ql.read_answers(folder, 3, name).tolist() == values.tolist()
+    assert ql.read_answers(folder, 3, 5) is None and ql.read_answers(folder, 7, 6) is None
+
+
+def test_division_of_work_does_not_matter(spark, monkeypatch):
+    docs = documents(spark)
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    want = sorted(tuple(r) for r in ql.classify(docs, labels).drop("lang").fillna(0.0).collect())
+    for name, value in (("SHARD_GRAMS", 1_000), ("TASK_BYTES", 3_000), ("FILE_BYTES", 100_000)):
+        monkeypatch.setattr(ql, name, value)
+    model = ql.fit(docs, ql.folds(docs, ql.trusted_documents(labels))[0])
+    assert model.shards > 16 and model.slices > 1 and model.files > 1
+    assert sorted(tuple(r) for r in ql.classify(docs, labels).drop("lang").fillna(0.0).collect()) == want

@@ -3,8 +3,9 @@
 The model is a table of n-grams of one to four characters with interpolated modified
 Kneser-Ney probabilities and back-off weights, made by Spark joins of counts.  Texts do not
 move: each block of documents asks for its distinct n-grams, the questions are joined with
-the shards of the table, and the answers come back as one file per block, which a second
-pass over the same blocks reads.  A block that finds no answers (its table was split
+the shards of the table, and the answers come back in files of many blocks, which a second
+pass over the same blocks reads.  The shards grow with the table, the tasks that answer for
+a shard and the files of answers with the texts.  A block that finds no answers (its table was split
 differently the second time) takes them from the table's files, with the same result.
 
 A document is kept if its perplexity, less a fixed allowance per text, does not exceed a
@@ -33,6 +34,11 @@ ORDER = 4
 #: Bytes of text in a block.
 BLOCK_BYTES = 3_000_000
 
+#: N-grams of a shard of the table, bytes of text whose questions a task answers, and of those a file of answers is for.
+SHARD_GRAMS = 1 << 18
+TASK_BYTES = 16_000_000
+FILE_BYTES = 64_000_000
+
 #: Trusted documents the model learns from, those with the smallest hash of their id.
 MOST_TRUSTED = 20_000
 
@@ -139,11 +145,14 @@ def _numbered(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclasses.dataclass
 class Model:
-    """Where the table's files are and what an unseen character costs."""
+    """Where the table's files are and what an unseen character costs; among how many tasks the questions
+    to a shard are divided, and in how many files the answers come."""
 
     folder: str
     shards: int
     unseen: float
+    slices: int = 1
+    files: int = 1
 
     def shard(self, keys: np.ndarray) -> np.ndarray:
         return ((keys >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)).astype(np.int64)
@@ -185,8 +194,8 @@ def _counts(trusted: DataFrame, order: int) -> DataFrame:
     return rows.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def table(trusted: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]:
-    """The model's rows (key, log, rest) and the log probability of a character never seen."""
+def table(trusted: DataFrame, order: int = ORDER) -> tuple[DataFrame, float, int]:
+    """The model's rows (key, log, rest), the log probability of a character never seen, and the number of n-grams."""
     levels = [None] * order + [shared.stored(_counts(trusted, order), "quality-counts")]
     for m in range(order - 1, 0, -1):  # below the top, how many different characters come before
         names = [f"g{k}" for k in range(1, m + 1)] + [f"c{k}" for k in range(2, m + 1)]
@@ -224,7 +233,7 @@ def table(trusted: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]:
         part = part.select("key", *[F.ln(name).alias(x) if y == name else F.lit(None).cast("double").alias(x)
                                     for x, y in (("log", "p"), ("rest", "rest"))])
         rows = part if rows is None else rows.unionByName(part)
-    return rows.groupBy("key").agg(F.max("log").alias("log"), F.max("rest").alias("rest")), math.log(floor)
+    return rows.groupBy("key").agg(F.max("log").alias("log"), F.max("rest").alias("rest")), math.log(floor), sum(seen[5] for _, seen in cuts)
 
 
 def fit(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER) -> Model:
@@ -233,8 +242,9 @@ def fit(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER) -> Model:
     folder = shared.folder(spark, "quality-model")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     trusted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(trusted_ids), "doc_id").where("text is not null")
-    rows, unseen = table(trusted, order)
-    model = Model(folder, min(4_096, max(16, size // 16_000_000)), unseen)
+    rows, unseen, grams = table(trusted, order)
+    shards = max(16, -(-grams // SHARD_GRAMS))
+    model = Model(folder, shards, unseen, max(1, -(-size // (shards * TASK_BYTES))), max(1, -(-size // FILE_BYTES)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pa.Table.from_batches(list(batches), ROWS)
@@ -280,39 +290,54 @@ def answers(docs: DataFrame, model: Model, order: int = ORDER) -> str:
                  pa.array([nc.squeeze(x) for _, x in found], pa.binary())], names=["block", "shard", "n", "log", "rest"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name = [], None
+        held: dict[int, list] = {}
+        last = None
         for row in (r for batch in batches for r in batch.to_pylist()):
-            if row["block"] != name and held:
-                yield flush(name, held)
-                held = []
-            name = row["block"]
-            if not held or held[-1][0] != row["shard"]:  # equal blocks ask twice
-                held.append((row["shard"], *(nc.unsqueeze(row[c], row["n"], np.float32) for c in ("log", "rest"))))
+            if last != (row["block"], row["shard"]):  # equal blocks ask twice
+                held.setdefault(row["block"], []).append([nc.unsqueeze(row[c], row["n"], np.float32) for c in ("log", "rest")])
+            last = row["block"], row["shard"]
         if held:
-            yield flush(name, held)
-
-    def flush(name: int, held: list) -> pa.RecordBatch:
-        shared.write_file(f"{folder}/{name & (1 << 64) - 1:016x}", [np.concatenate([x[k] for x in held]) for k in (1, 2)])
-        return pa.RecordBatch.from_pydict({"block": [name]})
+            write_answers(folder, model.files, {name: np.concatenate([x[k] for k in (0, 1) for x in parts]) for name, parts in held.items()})
+            yield pa.RecordBatch.from_pydict({"block": list(held)})
 
+    task = F.col("shard") * model.slices + F.pmod("block", F.lit(model.slices)).cast("int")
+    file = F.pmod("block", F.lit(model.files)).cast("int")
     (
         docs.select("text").mapInArrow(ask, "block long, shard int, n long, keys binary")
-        .repartitionById(model.shards, "shard").sortWithinPartitions("shard")
+        .repartitionById(model.shards * model.slices, task)
         .mapInArrow(answer, "block long, shard int, n long, log binary, rest binary")
-        .repartition("block").sortWithinPartitions("block", "shard").mapInArrow(write, "block long").agg(F.count("*")).collect()
+        .repartitionById(model.files, file).sortWithinPartitions("block", "shard").mapInArrow(write, "block long").agg(F.count("*")).collect()
     )
     return folder
 
 
+def write_answers(folder: str, files: int, blocks: dict[int, np.ndarray]) -> None:
+    """One file of the answers to some blocks, all of the same remainder: their number, names, places and sizes, then the values."""
+    sizes = np.array([len(x) for x in blocks.values()], np.int64)
+    first = 8 + 24 * len(blocks) + 4 * (np.cumsum(sizes) - sizes)
+    head = np.concatenate([[len(blocks)], list(blocks), first, sizes]).astype(np.int64)
+    shared.write_file(f"{folder}/{next(iter(blocks)) % files:06d}", [head, *blocks.values()])
+
+
+def read_answers(folder: str, files: int, name: int) -> np.ndarray | None:
+    """The answers to a block, None where it is not known."""
+    path = f"{folder}/{name % files:06d}"
+    try:
+        n = int(shared.read_range(path, np.int64, 0, 1)[0])
+    except FileNotFoundError:
+        return None
+    names, first, sizes = shared.read_range(path, np.int64, 8, 3 * n).reshape(3, n)
+    at = np.flatnonzero(names == name)
+    return shared.read_range(path, np.float32, int(first[at[0]]), int(sizes[at[0]])) if len(at) else None
+
+
 def block_values(grams: Grams, model: Model, folder: str) -> np.ndarray:
     """Log probability of each character of the texts, their ends included."""
     keys = grams.questions()
-    try:
-        raw = shared.read_array(f"{folder}/{grams.name() & (1 << 64) - 1:016x}", np.float32)
+    raw = read_answers(folder, model.files, grams.name())
+    if raw is not None and len(raw) == 2 * len(keys):
         log, rest = raw.reshape(2, -1)
-        if len(log) != len(keys):
-            raise FileNotFoundError
-    except FileNotFoundError:
+    else:
         shard = model.shard(keys)
         parts = [model.answer(s, keys[shard == s]) for s in np.unique(shard).tolist()]
         log, rest = (np.concatenate([p[k] for p in parts]) for k in (0, 1))

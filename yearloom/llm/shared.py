@@ -56,6 +56,15 @@ def read_array(address: str, kind) -> np.ndarray:
         return np.frombuffer(source.read_buffer(), dtype=kind)
 
 
+def read_range(address: str, kind, start: int, n: int) -> np.ndarray:
+    """``n`` values from byte ``start`` of a file on: memory-mapped where the file system is mounted, read elsewhere."""
+    system, path = located(address)
+    if isinstance(system, pafs.LocalFileSystem):
+        return np.memmap(path, dtype=kind, mode="r", offset=start, shape=(n,)) if n else np.zeros(0, kind)
+    with system.open_input_file(path) as source:
+        return np.frombuffer(source.read_at(n * np.dtype(kind).itemsize, start), dtype=kind)
+
+
 def sent(spark: SparkSession, value) -> Broadcast:
     """Broadcasts an object with its class, so workers need not import it; the caller bounds its size."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
