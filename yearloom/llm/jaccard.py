@@ -362,7 +362,8 @@ def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     found = _classified(docs, threshold, recall, size)
     rows = shared.stored(found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n")), "jaccard-rows")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
-    kept = rows.where("component is not null").groupBy("component").agg(F.min(place).alias("kept"))
+    # stored, so that a component with many rows is split in the join
+    kept = shared.stored(rows.where("component is not null").groupBy("component").agg(F.min(place).alias("kept")), "jaccard-kept")
     marked = rows.join(kept, "component", "left").withColumn("gone", F.coalesce(F.col("kept") != place, F.lit(False)))
     marked = shared.stored(marked.where("gone or n > 1").select("doc_id", "text_key", "gone"), "jaccard-marked")
     bits, wanted = _id_map(marked.select(F.xxhash64("doc_id", "text_key").alias("rep")))
