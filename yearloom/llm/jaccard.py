@@ -356,8 +356,7 @@ def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     """The documents, unchanged, one of each class: that with the smallest doc_id, then text hash; ids before none.
 
     Of rows that repeat a doc_id and text one is kept.  Rows without words are classes of their own.
-    Other columns may have any names.  Documents move only if a map of bits says that they may be
-    copies or repeated; the joins after it are exact.
+    Other columns may have any names.
     """
     found = _classified(docs, threshold, recall, size)
     rows = shared.stored(found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n")), "jaccard-rows")
@@ -366,25 +365,14 @@ def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     kept = shared.stored(rows.where("component is not null").groupBy("component").agg(F.min(place).alias("kept")), "jaccard-kept")
     marked = rows.join(kept, "component", "left").withColumn("gone", F.coalesce(F.col("kept") != place, F.lit(False)))
     marked = shared.stored(marked.where("gone or n > 1").select("doc_id", "text_key", "gone"), "jaccard-marked")
-    bits, wanted = _id_map(marked.select(F.xxhash64("doc_id", "text_key").alias("rep")))
-    sent = shared.sent(docs.sparkSession, wanted)
-
-    @F.arrow_udf("boolean")
-    def suspected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = shared.received(sent)
-        for batch in batches:
-            at = _map_place(batch.to_numpy(zero_copy_only=False), bits)
-            yield pa.array((held[at >> 3] >> (at & 7) & 1).astype(bool))
-
     key = "_key"
     while key in [c.lower() for c in docs.columns]:
         key = "_" + key
-    suspect = suspected(F.xxhash64(docs["doc_id"].cast("long"), F.xxhash64(docs["text"])))
-    left = docs.where(suspect).withColumn(key, F.xxhash64("text"))
+    left = docs.withColumn(key, F.xxhash64("text"))
     same = left["doc_id"].cast("long").eqNullSafe(marked["doc_id"]) & (left[key] == marked["text_key"])
     left = left.join(marked.where("gone"), same, "left_anti")
     repeated = marked.where("not gone")
     if not repeated.isEmpty():
         once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", key])
         left = left.join(repeated, same, "left_anti").unionByName(once)
-    return docs.where(~suspect).unionByName(left.drop(key))
+    return left.drop(key)
